@@ -43,6 +43,26 @@ def parse_log(text, schema: T.StructType = LOG_SCHEMA) -> Column:
     return F.from_json(_c(text), schema)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parse_checked(text, schema: T.StructType = LOG_SCHEMA) -> Column:
+    """One parse giving both the typed struct and a validity flag.
+
+    Returns ``struct(ok boolean, j struct)``: ``ok`` is the rule of
+    ``is_json_object`` (Jackson marks arrays, scalars, ``null`` and broken
+    text as corrupt; the end guards reject empty text and a trailing tail),
+    computed from the same ``from_json`` call that yields ``j``.  Text that
+    Jackson does not mark corrupt yet is no object (empty, blank) has no
+    closing brace, so the end guard alone covers it.
+    """
+    t = _c(text)
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    j = F.from_json(t, full, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    ok = F.coalesce(j.getField(CORRUPT).isNull() & t.rlike(r"\}\s*$"), F.lit(False))
+    return F.struct(ok.alias("ok"), j.alias("j"))
+
+
 def set_field(m, key: str, value: Column) -> Column:
     """``put(key, value)`` on a string map."""
     return F.map_concat(F.map_filter(_c(m), lambda k, v: k != F.lit(key)),

@@ -10,20 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonfmt import LOG_SCHEMA, is_json_object, parse_log, set_field
+from ..functions.jsonfmt import CORRUPT, LOG_SCHEMA, parse_checked, set_field
+
+
+def _parsed_once(raw: DataFrame, value: str, keep) -> DataFrame:
+    """Rows with ``_p = parse_checked(value)``, parsed exactly once.
+
+    A filter on a projected ``from_json`` result is pushed below the
+    projection by the optimizer, which then evaluates the parse once per
+    use (six times for the log split).  A one-element ``explode`` is a
+    barrier filters are not pushed through, so each line is parsed once.
+    """
+    return raw.select(*keep, F.explode(F.array(parse_checked(value, LOG_SCHEMA))).alias("_p"))
 
 
 def dirty_lines(raw: DataFrame, value: str = "value") -> DataFrame:
     """Lines that are not one JSON object (K8 dead letters)."""
-    return raw.filter(~is_json_object(value))
+    return (_parsed_once(raw, value, raw.columns)
+               .filter(~F.col("_p.ok")).drop("_p"))
 
 
 def parse_lines(raw: DataFrame, value: str = "value", keep=("seq",)) -> DataFrame:
     """Good lines parsed to ``common/page/start/displays/ts`` (+ kept columns)."""
     keep = [c for c in keep if c in raw.columns]
-    return (raw.filter(is_json_object(value))
-               .select(*keep, parse_log(value, LOG_SCHEMA).alias("j"))
-               .select(*keep, "j.*"))
+    fields = [f.name for f in LOG_SCHEMA.fields]
+    return (_parsed_once(raw, value, keep)
+               .filter(F.col("_p.ok"))
+               .select(*keep, *[F.col("_p.j").getField(f).alias(f) for f in fields]))
 
 
 def repair_new_visitor(df: DataFrame, key: str, flag: str, ts: str, seq: str) -> DataFrame:

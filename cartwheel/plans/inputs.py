@@ -34,7 +34,8 @@ class Inputs:
 
     @cached_property
     def display_log(self) -> DataFrame:
-        return logsplit.display_log(self.parsed_log)
+        """Displays carry no visitor flag, so they skip the repair's extra pass."""
+        return logsplit.display_log(logsplit.parse_lines(self.raw_log))
 
     # -- business rows
     @cached_property

@@ -23,6 +23,7 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -36,7 +37,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         b = b.config(k, v)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.driver.memory", os.environ.get("CARTWHEEL_DRIVER_MEM", "8g"))
-          .config("spark.sql.session.timeZone", "UTC"))
+          .config("spark.sql.session.timeZone", "UTC")
+          # Local runs: broadcast only really small sides (dimensions); fact
+          # tables of a few MB join faster as parallel shuffle joins here.
+          .config("spark.sql.autoBroadcastJoinThreshold", str(2 << 20)))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
