@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import COMMERCE_TZ, TEXT_FORMAT, ms_to_wallclock, text_to_ms, text_to_wallclock, window_text
+from ..functions.timefmt import COMMERCE_TZ, TEXT_FORMAT, ms_to_text, ms_to_wallclock, text_to_ms, wallclock_to_ms
 from .joins import lookup
 
 # Fixed value: appraise code of a good comment.
@@ -22,21 +22,32 @@ APPRAISE_GOOD = "1201"
 MONEY_SUM = "decimal(18,2)"
 
 
-def _windowed(df: DataFrame, ts_ms: str, size: str, tz: str):
-    return df.withColumn("_w", F.window(ms_to_wallclock(ts_ms, tz), size))
+def _windowed(df: DataFrame, ts_ms, size: str, watermark: str | None = None) -> DataFrame:
+    """Add ``_w`` = tumbling window over the instant ``timestamp_millis(ts_ms)``.
+
+    Tumbling windows align to the epoch, so bounds do not depend on any zone;
+    a streaming caller passes ``watermark`` (late rows behind it are dropped,
+    W2-W4, W7) and the same function serves batch and stream.
+    """
+    ms = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
+    d = df.withColumn("_et", F.timestamp_millis(ms))
+    if watermark is not None:
+        d = d.withWatermark("_et", watermark)
+    return d.withColumn("_w", F.window("_et", size))
 
 
-def _stt_edt(fmt: str = TEXT_FORMAT):
-    s, e = window_text(F.col("_w"), fmt)
-    return [s.alias("stt"), e.alias("edt")]
+def _stt_edt(tz: str = "UTC", fmt: str = TEXT_FORMAT):
+    return [ms_to_text(F.unix_millis(F.col("_w.start")), tz, fmt).alias("stt"),
+            ms_to_text(F.unix_millis(F.col("_w.end")), tz, fmt).alias("edt")]
 
 
-def tumble_counts(df: DataFrame, ts_ms: str, size: str, keys=(), tz: str = "UTC") -> DataFrame:
+def tumble_counts(df: DataFrame, ts_ms: str, size: str, keys=(), tz: str = "UTC",
+                  watermark: str | None = None) -> DataFrame:
     """Rows per tumbling window (and keys), with ``stt``/``edt`` text."""
     keys = list(keys)
-    return (_windowed(df, ts_ms, size, tz).groupBy("_w", *keys)
+    return (_windowed(df, ts_ms, size, watermark).groupBy("_w", *keys)
             .agg(F.count(F.lit(1)).alias("ct"), F.min(ts_ms).alias("ts"))
-            .select(*_stt_edt(), *keys, "ct", "ts"))
+            .select(*_stt_edt(tz), *keys, "ct", "ts"))
 
 
 # ---------------------------------------------------------------- visitors
@@ -56,11 +67,13 @@ def visitor_rows(page: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows(uv, 1, 0, F.lit(0), 0, F.lit(0)), rows(uj, 0, 0, F.lit(0), 1, F.lit(0)), pv])
 
 
-def visitor_stats(rows: DataFrame, size: str = "10 seconds", tz: str = "UTC") -> DataFrame:
-    """5 sums per (window, ar, ch, vc, is_new); ``ts`` = earliest row."""
-    return (_windowed(rows, "ts", size, tz).groupBy("_w", "ar", "ch", "vc", "is_new")
+def visitor_stats(rows: DataFrame, size: str = "10 seconds", tz: str = "UTC",
+                  watermark: str | None = None) -> DataFrame:
+    """5 sums per (window, ar, ch, vc, is_new); ``ts`` = earliest row.
+    Streams: ``watermark="14 seconds"`` as the reference (W3)."""
+    return (_windowed(rows, "ts", size, watermark).groupBy("_w", "ar", "ch", "vc", "is_new")
             .agg(*[F.sum(m).alias(m) for m in VISITOR_MEASURES], F.min("ts").alias("ts"))
-            .select(*_stt_edt(), *VISITOR_KEYS, *VISITOR_MEASURES, "ts"))
+            .select(*_stt_edt(tz), *VISITOR_KEYS, *VISITOR_MEASURES, "ts"))
 
 
 # ---------------------------------------------------------------- products
@@ -141,7 +154,7 @@ def product_union(*feeds: DataFrame) -> DataFrame:
 
 
 def product_aggregate(feeds: DataFrame, size: str = "10 seconds", tz: str = "UTC",
-                      streaming: bool = False) -> DataFrame:
+                      streaming: bool = False, watermark: str | None = None) -> DataFrame:
     """Sums, and distinct order counts per role, per (window, SKU).
 
     Every feed row carries at most one order id (of one role: order, paid,
@@ -153,7 +166,7 @@ def product_aggregate(feeds: DataFrame, size: str = "10 seconds", tz: str = "UTC
     chain aggregates, so the streaming form keeps ``collect_set`` per window
     (bounded by the window's rows).
     """
-    w = _windowed(feeds, "ts", size, tz)
+    w = _windowed(feeds, "ts", size, watermark)
     sums = [F.sum(m).alias(m) for m in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
     if streaming:
         agg = (w.groupBy("_w", "sku_id")
@@ -171,7 +184,7 @@ def product_aggregate(feeds: DataFrame, size: str = "10 seconds", tz: str = "UTC
                          *[F.count(F.when(F.col("_role") == k, F.col("_id"))).alias(n)
                            for k, n in enumerate(PRODUCT_SETS.keys())],
                          F.min("ts").alias("ts")))
-    return agg.select(*_stt_edt(), "sku_id", *[F.col(m).cast("bigint").alias(m) for m in PRODUCT_COUNTS],
+    return agg.select(*_stt_edt(tz), "sku_id", *[F.col(m).cast("bigint").alias(m) for m in PRODUCT_COUNTS],
                       *[F.col(m).cast(MONEY_SUM).alias(m) for m in PRODUCT_AMOUNTS],
                       *[F.col(n).cast("bigint").alias(n) for n in PRODUCT_SETS], "ts")
 
@@ -189,16 +202,17 @@ def product_dims(stats: DataFrame, dims: dict, how: str = "left") -> DataFrame:
 
 # ---------------------------------------------------------------- provinces
 
-def province_stats(ow: DataFrame, size: str = "10 seconds", streaming: bool = False) -> DataFrame:
+def province_stats(ow: DataFrame, size: str = "10 seconds", streaming: bool = False,
+                   watermark: str | None = None) -> DataFrame:
     """A1: amount and distinct orders per (window, province); event time is the
-    wall-clock ``create_time`` text (P6/F11); money keeps its cents (Q9)."""
-    rt = text_to_wallclock("create_time")
+    wall-clock ``create_time`` text (P6/F11, read as UTC so window text equals
+    the input text); money keeps its cents (Q9)."""
     keys = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
     cnt = (F.size(F.collect_set("order_id")) if streaming else F.count_distinct("order_id")).cast("bigint")
-    return (ow.withColumn("_w", F.window(rt, size)).groupBy("_w", *keys)
+    d = ow.withColumn("_ms", text_to_ms("create_time", "UTC"))
+    return (_windowed(d, "_ms", size, watermark).groupBy("_w", *keys)
             .agg(F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount"),
-                 cnt.alias("order_count"),
-                 F.min(text_to_ms("create_time", "UTC")).alias("ts"))
+                 cnt.alias("order_count"), F.min("_ms").alias("ts"))
             .select(*_stt_edt(), *keys, "order_amount", "order_count", "ts"))
 
 
@@ -211,12 +225,14 @@ def keyword_filter(page: DataFrame) -> DataFrame:
                         ms_to_wallclock("ts").alias("rt")))
 
 
-def keyword_stats(words: DataFrame, size: str = "10 seconds", source: str = "search") -> DataFrame:
-    """A2 + P27: ``count(*)`` per (window, word); ``ts`` = first event."""
-    return (words.withColumn("_w", F.window("rt", size)).groupBy("_w", "word")
-            .agg(F.count(F.lit(1)).alias("ct"), F.min("rt").alias("_rt"))
-            .select(F.col("word").alias("keyword"), "ct", F.lit(source).alias("source"), *_stt_edt(),
-                    F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("_rt")).alias("ts")))
+def keyword_stats(words: DataFrame, size: str = "10 seconds", source: str = "search",
+                  watermark: str | None = None) -> DataFrame:
+    """A2 + P27: ``count(*)`` per (window, word); ``ts`` = first event.
+    ``rt`` is wall-clock (NTZ, read as UTC)."""
+    d = words.withColumn("_ms", wallclock_to_ms("rt", "UTC"))
+    return (_windowed(d, "_ms", size, watermark).groupBy("_w", "word")
+            .agg(F.count(F.lit(1)).alias("ct"), F.min("_ms").alias("ts"))
+            .select(F.col("word").alias("keyword"), "ct", F.lit(source).alias("source"), *_stt_edt(), "ts"))
 
 
 # ---------------------------------------------------------------- serving
