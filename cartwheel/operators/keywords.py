@@ -44,6 +44,8 @@ def register_split_udtf(spark, name: str = "SplitFunction", pattern: str = LATIN
     except ImportError:  # pragma: no cover
         return None
     rx = re.compile(pattern)
+    from ..session import ship_package
+    ship_package(spark)
 
     @udtf(returnType="word: string")
     class _Split:

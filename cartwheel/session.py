@@ -60,3 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cartwheel`` importable in Python workers (state functions and
+    UDTFs are pickled by reference).  Zips the package once per session and
+    hands it to ``addPyFile``, which distributes it with the job."""
+    if spark.conf.get("cartwheel.shipped", "false") == "true":
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="cartwheel-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "cartwheel"), "zip", os.path.dirname(pkg), "cartwheel")
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("cartwheel.shipped", "true")

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..session import ship_package
+
 PAGE_SCHEMA = ("mid string, ar string, ch string, vc string, is_new string, page_id string, "
                "last_page_id string, item string, item_type string, during_time bigint, ts bigint, seq bigint")
 PAGE_COLS = [c.split()[0] for c in PAGE_SCHEMA.split(", ")]
@@ -50,6 +52,7 @@ def _repair_fn(key, pdfs, state):
 def repair_new_visitor_stream(page: DataFrame) -> DataFrame:
     """T1 on a stream: the state is one flag per device (never expires, as in
     the reference)."""
+    ship_package(page.sparkSession)
     return page.groupBy("mid").applyInPandasWithState(
         _repair_fn, PAGE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
 
@@ -86,6 +89,7 @@ def unique_visit_stream(page: DataFrame, ttl_ms: int | None = 86_400_000) -> Dat
     remembered day.  The day is forgotten ``ttl_ms`` of processing time after
     it was written (the reference's one-day state TTL)."""
     timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+    ship_package(page.sparkSession)
     return page.groupBy("mid").applyInPandasWithState(
         _make_uv_fn(ttl_ms), PAGE_SCHEMA, "day string", "append", timeout)
 
@@ -138,6 +142,7 @@ def user_jump_stream(page: DataFrame, within_ms: int) -> DataFrame:
     (next settled row is an entry within ``within_ms``), a time-out (no row
     within ``within_ms``) or nothing.  ``page`` must carry a watermark on an
     event-time column (``with_event_time``)."""
+    ship_package(page.sparkSession)
     return page.groupBy("mid").applyInPandasWithState(
         _make_jump_fn(within_ms), PAGE_SCHEMA + ", kind string", "buf string", "append",
         GroupStateTimeout.EventTimeTimeout)
