@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "cartwheel") -> SparkSession:
     """A local session for tests and the bench (not for cluster jobs)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp"))
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -50,15 +51,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the cluster (a shared file system); it is
-    only invented here when the setting is missing, which happens in local
-    tests.
+    On a cluster the folder is set by the cluster (a shared file system); it
+    is only invented here when the setting is missing, which happens in local
+    tests (``spark.checkpoint.dir`` cannot be changed on a running session,
+    so the folder is handed to the context instead).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -48,7 +48,8 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
-def log_split_job(spark: SparkSession, raw: DataFrame, out: str, name: str = "log_split", trigger=None):
+def log_split_job(spark: SparkSession, raw: DataFrame, out: str, name: str = "log_split", trigger=None,
+                  checkpoint: str | None = None):
     """Log split (T6, K8, P2, P12-P14) as one streaming query.
 
     Each micro-batch is parsed once and persisted, then written to the
@@ -68,7 +69,7 @@ def log_split_job(spark: SparkSession, raw: DataFrame, out: str, name: str = "lo
         finally:
             b.unpersist()
 
-    w = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path(spark, name))
+    w = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint or checkpoint_path(spark, name))
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     return w.start()
 

@@ -90,9 +90,14 @@ def test_log_split_job(spark, tmp):
     with open(os.path.join(src, "a.log"), "w") as f:
         f.write('{"common":{"mid":"1"},"start":{"entry":"icon"},"ts":1}\nbad{\n'
                 '{"common":{"mid":"1"},"page":{"page_id":"h"},"displays":[{"item":"7"}],"ts":2}\n')
-    spark.conf.set("spark.checkpoint.dir", os.path.join(tmp, "ckpt"))
-    q = jobs.log_split_job(spark, jobs.text_stream(spark, src), os.path.join(tmp, "out"), trigger={"availableNow": True})
+    q = jobs.log_split_job(spark, jobs.text_stream(spark, src), os.path.join(tmp, "out"),
+                           trigger={"availableNow": True}, checkpoint=os.path.join(tmp, "ckpt"))
     q.awaitTermination()
     out = os.path.join(tmp, "out")
     counts = {k: spark.read.json(os.path.join(out, k)).count() for k in ("dirty", "start", "page", "display")}
     assert counts == {"dirty": 1, "start": 1, "page": 1, "display": 1}
+
+
+def test_checkpoint_dir_from_session(spark):
+    d = jobs.checkpoint_path(spark, "q")
+    assert d.endswith("/q") and d.startswith(spark.conf.get("spark.checkpoint.dir"))
