@@ -110,3 +110,9 @@ def tumble(event_time: Column, size: str) -> Column:
 def window_text(win: Column, fmt: str = TEXT_FORMAT):
     """``stt``/``edt`` text of a window struct."""
     return F.date_format(win.getField("start"), fmt), F.date_format(win.getField("end"), fmt)
+
+
+def processing_time_ms(now_ms: int | None = None) -> Column:
+    """F14 ``UNIX_TIMESTAMP()*1000``: wall-clock ms of the query, or a fixed
+    value when injected (tests and oracle checks must not depend on it)."""
+    return F.lit(now_ms).cast("bigint") if now_ms is not None else F.unix_millis(F.current_timestamp())

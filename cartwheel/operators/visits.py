@@ -83,18 +83,30 @@ def next_within(df: DataFrame, key: str, ts: str, seq: str, within_ms: int, carr
     return j.drop("_b", "_nts", "_f", *[f"_n_{o}" for o in carry])
 
 
-def user_jump(page: DataFrame, within_ms: int, key: str = "mid", ts: str = "ts", seq: str = "seq") -> DataFrame:
-    """T3 bounce, batch form, with a ``kind`` column (U3 union of both outputs).
-
-    An entry page (``last_page_id`` NULL) followed, less than ``within_ms``
-    later, by another entry page is a ``match``; with no row at all in that
-    interval it is a ``timeout`` (a gap of exactly ``within_ms`` times out, Q21).
-    Followed by a non-entry page it is no bounce.
+def followed_by(df: DataFrame, first, following, within_ms: int, key: str = "mid", ts: str = "ts",
+                seq: str = "seq") -> DataFrame:
+    """``begin(first).next(following).within(within_ms)`` per key, batch form.
+
+    ``first``/``following`` are boolean Columns over a row.  For each row that
+    satisfies ``first``, look at the key's next row (strict contiguity):
+    ``kind = 'match'`` when it comes less than ``within_ms`` later and
+    satisfies ``following``; ``'timeout'`` when no row comes within
+    ``within_ms`` (a gap of exactly ``within_ms`` times out, Q21); no output
+    when the next row breaks the pattern.  Returns the first rows + ``kind``.
     """
-    cols = page.columns
-    e = page.withColumn("_entry", F.col("last_page_id").isNull())
-    n = next_within(e, key, ts, seq, within_ms, {"_next_entry": "_entry"})
+    cols = df.columns
+    e = df.withColumn("_first", first).withColumn("_follow", following)
+    n = next_within(e, key, ts, seq, within_ms, {"_next_follow": "_follow"})
     kind = (F.when(F.col("_next_ts").isNull(), "timeout")
-             .when(F.col("_next_entry"), "match"))
-    return (n.filter(F.col("_entry")).withColumn("kind", kind)
+             .when(F.col("_next_follow"), "match"))
+    return (n.filter(F.col("_first")).withColumn("kind", kind)
              .filter(F.col("kind").isNotNull()).select(*cols, "kind"))
+
+
+def user_jump(page: DataFrame, within_ms: int, key: str = "mid", ts: str = "ts", seq: str = "seq") -> DataFrame:
+    """T3 bounce, batch form, with a ``kind`` column (U3 union of both outputs):
+    an entry page (``last_page_id`` NULL) directly followed by another entry
+    page within ``within_ms`` is a ``match``; with no row in that interval it
+    is a ``timeout``."""
+    entry = F.col("last_page_id").isNull()
+    return followed_by(page, entry, entry, within_ms, key, ts, seq)

@@ -276,7 +276,8 @@ def product_stats_dims(spark, sf):
 
 @query("gmv_by_day")
 def gmv_by_day(spark, sf):
-    return stats.gmv(_product_stats_full(Inputs(spark, sf)))
+    # GMV reads only order_amount: the aggregate, not the dimension-joined rows.
+    return stats.gmv(product_stats(spark, sf))
 
 
 # ------------------------------------------------------------------ keywords

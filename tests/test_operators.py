@@ -238,3 +238,11 @@ def test_visitor_stats_rows(spark):
     out = stats.visitor_stats(stats.visitor_rows(page, uv, uj), "10 seconds").first()
     assert (out.uv_ct, out.pv_ct, out.sv_ct, out.uj_ct, out.dur_sum) == (1, 2, 1, 0, 2000)
     assert (out.stt, out.edt) == ("1970-01-01 00:00:00", "1970-01-01 00:00:10")
+
+
+def test_followed_by_generic(spark):
+    df = page_df(spark, [("m", 0, "a"), ("m", 1000, "b"), ("m", 5000, "a"), ("m", 20000, "b")])
+    got = {(r.ts, r.kind) for r in visits.followed_by(df, F.col("last_page_id") == "a",
+                                                       F.col("last_page_id") == "b", 10_000).collect()}
+    assert got == {(0, "match"), (5000, "timeout")}
+    assert spark.range(1).select(timefmt.processing_time_ms(42).alias("t")).first().t == 42
