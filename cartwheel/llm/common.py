@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
+
 # Text handed to one numpy or tokenizer step, in bytes.  A longer document is a
 # step of its own: texts are never cut here.
 STEP_BYTES = 1 << 20
@@ -53,4 +55,11 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         for b in batches:
             for s in steps(b, text):
                 yield fn(s)
+    return map_batches(df, run, schema)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: str) -> DataFrame:
+    """``mapInArrow`` with this package made importable on the executors."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
