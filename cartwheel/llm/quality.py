@@ -6,7 +6,7 @@ how accurate every rule is and how many documents are good, and a document is
 kept when its posterior probability of being good reaches a threshold.
 
 Scale: one scan computes the statistics of a text inside its row, without a
-shuffle.  The only shuffle is the count of vote patterns; rules are fixed, so
+shuffle; they are stored for the second step.  The only shuffle is the count of vote patterns; rules are fixed, so
 there are at most 3^rules patterns however large the corpus is, and the
 iteration runs over that table of counts.
 
@@ -22,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpoint, table
+
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -186,11 +188,16 @@ def posterior(model: dict, pattern: tuple[int | None, ...]) -> float:
     return 1 / (1 + math.exp(-x)) if x >= 0 else 1 - 1 / (1 + math.exp(x))
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Statistics, votes ``v_<rule>``, posterior ``p_good``, ``base_failed`` and ``kept``."""
+def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", reuse: bool = True) -> DataFrame:
+    """Statistics, votes ``v_<rule>``, posterior ``p_good``, ``base_failed`` and ``kept``.
+
+    ``reuse`` stores ids, statistics and votes between the two uses of them;
+    without it they are computed twice, which suits ids as wide as a text."""
     rules = votes()
     cols = [f"v_{r}" for r in rules]
     voted = text_stats(docs, id_col, text).select("*", *[v.cast("int").alias(f"v_{r}") for r, v in rules.items()])
+    if reuse:
+        voted = checkpoint(voted)
     counted = voted.groupBy(*cols).count().collect()  # 3^rules rows at most
     model = fit(sorted(((tuple(r[c] for c in cols), r["count"]) for r in counted),
                        key=lambda x: tuple(-1 if v is None else v for v in x[0])))
@@ -205,8 +212,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    return score(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return score(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                               "base_failed", "kept", "p_good")
 
 
@@ -215,4 +221,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     The verdict is computed in the row itself, so no join is needed."""
     stamped = docs.select(F.struct(*docs.columns).alias("doc_id"), F.col("text").alias("text"))
-    return score(stamped).filter("kept").select("doc_id.*")
+    return score(stamped, reuse=False).filter("kept").select("doc_id.*")
