@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from .minhash import op7_minhash_near_dedup
+from .mixing import op9_mix_sources
 from .pii import op3_pii
 from .piece import op2_sentencepiece
 from .quality import op8_quality_rules
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_pii, op7_minhash_near_dedup, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_pii, op7_minhash_near_dedup, op8_quality_rules, op9_mix_sources)}
 
 ORACLE_SQL: dict[str, str] = {}
