@@ -20,17 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage into the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    The files are on the shared file system, so a lost executor costs only its
-    running tasks.  A folder is invented only where the setting is missing, as
-    in local tests.
-    """
-    sc = df.sparkSession.sparkContext
+    One is invented only where the setting is missing, as in local tests."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
                             or tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage; the files are in the shared folder, so a lost executor
+    costs only its running tasks."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -15,6 +15,11 @@ _WINDOW = 1 << 18          # bytes hashed in one numpy step
 _LONG_WORD = 1 << 16       # longer words are hashed one by one
 
 
+def times(k: int) -> np.uint64:
+    """``k`` steps of the golden ratio, modulo 2^64."""
+    return np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads every input bit over the 64 bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -82,7 +87,7 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def combine(columns: list[np.ndarray], seed: int = 0) -> np.ndarray:
     """Hash of equally long columns, row by row; the order of columns counts."""
-    acc = np.full(len(columns[0]), np.uint64(seed) * GOLDEN + np.uint64(1), dtype=np.uint64)
+    acc = np.full(len(columns[0]), times(seed) ^ np.uint64(1), dtype=np.uint64)
     for c in columns:
         acc = mix(acc * np.uint64(BASE) + c)
     return acc

@@ -96,13 +96,13 @@ def superminhash(elements: np.ndarray, off: np.ndarray, m: int = SIGNATURE) -> n
                 row, seeds, perm = row[keep], seeds[keep], perm[keep]
         place = _place(seeds, j, m)
         target = place if perm is None else _swap(perm, j, place)
-        fraction = (H.mix(seeds + np.uint64(2 * j + 2) * H.GOLDEN) >> np.uint64(11)) * 2.0 ** -53
+        fraction = (H.mix(seeds + H.times(2 * j + 2)) >> np.uint64(11)) * 2.0 ** -53
         np.minimum.at(flat, row * m + target, fraction + j)
     return sig
 
 
 def _place(seeds: np.ndarray, j: int, m: int) -> np.ndarray:
-    r = H.mix(seeds + np.uint64(2 * j + 1) * H.GOLDEN) >> np.uint64(32)
+    r = H.mix(seeds + H.times(2 * j + 1)) >> np.uint64(32)
     return (j + ((r * np.uint64(m - j)) >> np.uint64(32)).astype(np.int64))
 
 

@@ -147,8 +147,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
     Rows are told apart by a hash of all their columns; rows that are equal
     throughout share their draws.  The texts are shuffled once."""
-    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    drawn = draw(keyed.select(F.col("_row").alias("doc_id"), "source", "text"))
-    copies = drawn.groupBy(F.col("doc_id").alias("_row")).agg(F.count("*").cast("int").alias("_copies"))
-    one = keyed.dropDuplicates(["_row"])
-    return one.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.xxhash64(*row).alias("id"), F.struct(*row).alias("row"), "source", "text")
+    drawn = draw(keyed.select(F.col("id").alias("doc_id"), "source", "text"))
+    copies = drawn.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").cast("int").alias("copies"))
+    one = keyed.select("id", "row").dropDuplicates(["id"])
+    return one.join(copies, "id").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

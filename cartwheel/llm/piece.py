@@ -332,18 +332,6 @@ def memory(model: str) -> Memory:
     return Memory(load(model))
 
 
-def encode(docs: DataFrame, model: str = MODEL, add_end: bool = True) -> DataFrame:
-    """``doc_id``, ``ids`` (decimal, joined by spaces), ``n_tokens``, ``decoded``, ``n_corrected``."""
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = _encode_texts(batch.column("text").to_pylist(), model, add_end)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int64())],
-            names=["doc_id", "ids", "n_tokens", "decoded", "n_corrected"])
-    return map_arrow(docs.select("doc_id", "text"), step,
-                     f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids string, n_tokens long, decoded string, n_corrected long")
-
-
 def _encode_texts(texts: list[str | None], model: str, add_end: bool) -> list[tuple[str, int, str, int]]:
     pieces, known = load(model), memory(model)
     parts = [segments_of(t or "") for t in texts]
@@ -375,5 +363,21 @@ def encode_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
                      "decoded_sha256 string, n_corrected long")
 
 
+def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
+    """``doc_id``, ``source``, ``ids`` (with the end id), ``n_tokens`` and the decoded ``text`` of every row."""
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = _encode_texts(batch.column("text").to_pylist(), model, True)
+        ids = [np.array(r[0].split(), np.int32) for r in rows]
+        off = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("source"),
+             pa.ListArray.from_arrays(off.astype(np.int32), np.concatenate(ids) if ids else np.empty(0, np.int32)),
+             pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())],
+            names=["doc_id", "source", "ids", "n_tokens", "text"])
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "source")}
+    return map_arrow(docs.select("doc_id", "source", "text"), step,
+                     f"doc_id {kinds['doc_id']}, source {kinds['source']}, ids array<int>, n_tokens long, text string")
+
+
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"))
