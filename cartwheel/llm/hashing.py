@@ -51,12 +51,21 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)) * np.uint8(32)).astype(np.uint8)
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word ``[^\\x20\\x09-\\x0D]+`` and the first word of each row."""
+def not_space(data: np.ndarray) -> np.ndarray:
+    return ~((data == 32) | ((data >= 9) & (data <= 13)))
+
+
+def letter_or_digit(data: np.ndarray) -> np.ndarray:
+    """ASCII letters and digits, and every byte of other characters."""
+    return (data >= 128) | ((data >= 48) & (data <= 57)) | ((data >= 97) & (data <= 122)) | ((data >= 65) & (data <= 90))
+
+
+def words(data: np.ndarray, off: np.ndarray, inside_of=not_space) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, a run of bytes ``inside_of``, and the first word of each row."""
     if not len(data):
         none = np.empty(0, np.int64)
         return none, none, np.zeros(len(off), np.int64)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = inside_of(data)
     edge = np.zeros(len(data) + 1, bool)
     edge[off] = True
     starts = np.flatnonzero(inside & (edge[:-1] | np.concatenate(([True], ~inside[:-1]))))

@@ -8,8 +8,9 @@ from .pii import op3_pii
 from .piece import op2_sentencepiece
 from .quality import op8_quality_rules
 from .sentences import op10_sentence_spans
+from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_pii, op7_minhash_near_dedup, op8_quality_rules, op9_mix_sources,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_pii, op7_minhash_near_dedup, op8_quality_rules, op9_mix_sources,
                                    op10_sentence_spans)}
 
 ORACLE_SQL: dict[str, str] = {}
