@@ -38,14 +38,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def steps(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with at most STEP_BYTES of text, one row at least."""
+def steps(batch: pa.RecordBatch, text: str = "text", most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with at most ``most`` bytes of text, one row at least."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):
-        if i > start and total + n > STEP_BYTES:
+        if i > start and total + n > most:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n
@@ -53,11 +53,11 @@ def steps(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
-              text: str = "text") -> DataFrame:
+              text: str = "text", most: int = STEP_BYTES) -> DataFrame:
     """``mapInArrow`` whose ``fn`` sees slices of bounded size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in steps(b, text):
+            for s in steps(b, text, most):
                 yield fn(s)
     return map_batches(df, run, schema)
 

@@ -39,7 +39,8 @@ from .common import map_arrow, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 24              # segments up to so many characters are merged in a matrix
-REMEMBERED = 300_000    # distinct segments in each of the two generations that a worker keeps
+REMEMBERED = 500_000    # distinct segments in each of the two generations that a worker keeps
+STEP = 1 << 22          # bytes of text encoded together
 _NONE = -0x7FFFFFFF     # no symbol
 _EMPTY = np.iinfo(np.int32).max
 
@@ -360,7 +361,7 @@ def encode_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"])
     return map_arrow(docs.select("doc_id", "text"), step,
                      f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, "
-                     "decoded_sha256 string, n_corrected long")
+                     "decoded_sha256 string, n_corrected long", most=STEP)
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
@@ -376,7 +377,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
             names=["doc_id", "source", "ids", "n_tokens", "text"])
     kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "source")}
     return map_arrow(docs.select("doc_id", "source", "text"), step,
-                     f"doc_id {kinds['doc_id']}, source {kinds['source']}, ids array<int>, n_tokens long, text string")
+                     f"doc_id {kinds['doc_id']}, source {kinds['source']}, ids array<int>, n_tokens long, text string", most=STEP)
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
