@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import maxscore
 from .attribution import op6_section_tokens
+from .mainpage import op5_main_text
 from .maxscore import op4_maxscore
 from .minhash import op7_minhash_near_dedup
 from .mixing import op9_mix_sources
@@ -13,7 +14,8 @@ from .quality import op8_quality_rules
 from .sentences import op10_sentence_spans
 from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_pii, op4_maxscore, op6_section_tokens, op7_minhash_near_dedup, op8_quality_rules, op9_mix_sources,
-                                   op10_sentence_spans)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_sentencepiece, op3_pii, op4_maxscore, op5_main_text, op6_section_tokens, op7_minhash_near_dedup,
+    op8_quality_rules, op9_mix_sources, op10_sentence_spans)}
 
 ORACLE_SQL: dict[str, str] = {"op4_maxscore": maxscore.ORACLE_SQL}
