@@ -108,7 +108,7 @@ def votes() -> dict[str, Column]:
         "repeated_windows": bad_if(repeats > 0.25),
         "repeated_lines": bad_if((F.col("n_lines") >= 4) & (lines > 0.3)),
         "upper_case": bad_if((F.col("n_letters") >= 50) & (upper > 0.5)),
-        "letters": F.when(letters < 0.7, 0).when((letters >= 0.85) & (symbols <= 0.05), 1),
+        "letters": F.when(letters < 0.6, 0).when((letters >= 0.85) & (symbols <= 0.05), 1),
         "plain_prose": F.when((length >= 2.5) & (length <= 12) & (upper <= 0.2) & (symbols <= 0.05) & (repeats <= 0.25), 1),
     }
 
