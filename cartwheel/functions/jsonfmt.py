@@ -13,6 +13,17 @@ from pyspark.sql import types as T
 
 STR_MAP = T.MapType(T.StringType(), T.StringType())
 
+# Typed rows of the order, order detail and payment topics.
+ORDER_INFO_SCHEMA = ("id bigint, province_id bigint, order_status string, user_id bigint, total_amount decimal(16,2), "
+                     "activity_reduce_amount decimal(16,2), coupon_reduce_amount decimal(16,2), "
+                     "original_total_amount decimal(16,2), feight_fee decimal(16,2), expire_time string, "
+                     "create_time string, operate_time string")
+ORDER_DETAIL_SCHEMA = ("id bigint, order_id bigint, sku_id bigint, order_price decimal(16,2), sku_num bigint, "
+                       "sku_name string, create_time string, split_total_amount decimal(16,2), "
+                       "split_activity_amount decimal(16,2), split_coupon_amount decimal(16,2)")
+PAYMENT_INFO_SCHEMA = ("id bigint, order_id bigint, user_id bigint, total_amount decimal(16,2), subject string, "
+                       "payment_type string, create_time string, callback_time string")
+
 # Parsed shape of one app log line (common / page / start / displays / ts).
 LOG_SCHEMA = T.StructType([
     T.StructField("common", STR_MAP),
@@ -27,40 +38,36 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def is_json_object(text) -> Column:
-    """True when ``text`` is one JSON object.
+def _one_object(text) -> Column:
+    """``array<map<string,string>>`` of the line between brackets: one entry,
+    not null, exactly when the line is one JSON object.
 
-    ``from_json`` to a map rejects arrays, scalars, ``null``, empty and broken
-    text, but accepts trailing garbage after a closing brace; the end-of-text
-    guard rejects that tail.  NULL input is not an object.
-    """
-    t = _c(text)
-    return F.coalesce(F.from_json(t, STR_MAP).isNotNull() & t.rlike(r"\}\s*$"), F.lit(False))
+    Between brackets a second object, a tail or a broken end all break the
+    array, and so does an array or a scalar in place of the object."""
+    return F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), T.ArrayType(STR_MAP))
 
 
-def parse_log(text, schema: T.StructType = LOG_SCHEMA) -> Column:
-    """JSON text -> typed struct (P1/P3); callers split dirty rows first."""
-    return F.from_json(_c(text), schema)
+def is_json_object(text) -> Column:
+    """True when ``text`` is one JSON object and nothing else (P2); NULL is not."""
+    m = _one_object(text)
+    return F.coalesce((F.size(m) == 1) & F.get(m, F.lit(0)).isNotNull(), F.lit(False))
+
 
+def parse_strict(text, schema) -> Column:
+    """JSON text -> typed struct; a bad text fails the job."""
+    return F.from_json(_c(text), schema, {"mode": "FAILFAST"})
 
-CORRUPT = "_corrupt_record"
 
+def parse_row(text, schema) -> Column:
+    """JSON text -> typed struct (P3); fields that do not fit are NULL."""
+    return F.from_json(_c(text), schema)
 
-def parse_checked(text, schema: T.StructType = LOG_SCHEMA) -> Column:
-    """One parse giving both the typed struct and a validity flag.
 
-    Returns ``struct(ok boolean, j struct)``: ``ok`` is the rule of
-    ``is_json_object`` (Jackson marks arrays, scalars, ``null`` and broken
-    text as corrupt; the end guards reject empty text and a trailing tail),
-    computed from the same ``from_json`` call that yields ``j``.  Text that
-    Jackson does not mark corrupt yet is no object (empty, blank) has no
-    closing brace, so the end guard alone covers it.
-    """
-    t = _c(text)
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    j = F.from_json(t, full, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    ok = F.coalesce(j.getField(CORRUPT).isNull() & t.rlike(r"\}\s*$"), F.lit(False))
-    return F.struct(ok.alias("ok"), j.alias("j"))
+def typed_field(raw: Column, kind: T.DataType) -> Column:
+    """One field of a parsed object from its JSON text: nested kinds are parsed,
+    others cast; a value of another kind is NULL and spoils no other field."""
+    nested = isinstance(kind, (T.MapType, T.ArrayType, T.StructType))
+    return F.from_json(raw, kind) if nested else raw.try_cast(kind)
 
 
 def set_field(m, key: str, value: Column) -> Column:

@@ -4,13 +4,12 @@ The reference calls a third-party Chinese segmenter per row.  Here a text
 becomes an array of tokens with built-in functions, so the work stays in the
 JVM and inside whole-stage code generation:
 
-* ``latin_tokens``: maximal runs of the token pattern (default ``[A-Za-z0-9]+``),
-  lower-cased.
+* ``word_tokens``: maximal runs of letters and digits of any script, lower-cased
+  (or of another pattern).
 * ``cjk_bigrams``: overlapping character pairs of each run of Han characters
   (the usual dictionary-free fallback for Chinese search terms).
-* ``dictionary_candidates``: every substring up to ``max_len`` characters with
-  its position; a join with a dictionary DataFrame keeps real words (see
-  ``operators.keywords.dictionary_words``).
+
+Dictionary segmentation is a join: ``operators.keywords.dictionary_words``.
 """
 
 from __future__ import annotations
@@ -19,8 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Default token pattern and the Han character class.
-LATIN_TOKEN = r"[A-Za-z0-9]+"
-UNICODE_TOKEN = r"[\p{L}\p{N}]+"
+WORD_TOKEN = r"[\p{L}\p{N}]+"
 HAN_RUN = r"\p{IsHan}+"
 
 
@@ -28,7 +26,7 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def latin_tokens(text, pattern: str = LATIN_TOKEN) -> Column:
+def word_tokens(text, pattern: str = WORD_TOKEN) -> Column:
     """All matches of ``pattern`` in the whole text, lower-cased."""
     return F.transform(F.regexp_extract_all(_c(text), F.lit(pattern), 0), lambda w: F.lower(w))
 
@@ -44,13 +42,3 @@ def cjk_bigrams(text) -> Column:
 
     return F.flatten(F.transform(runs, grams))
 
-
-def dictionary_candidates(text, max_len: int) -> Column:
-    """Array of ``struct(pos, word)`` for all substrings of 1..max_len chars."""
-    t = _c(text)
-    n = F.length(t)
-    return F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(max_len), n - i + 1)),
-            lambda k: F.struct(i.alias("pos"), F.substring(t, i, k).alias("word")))))

@@ -47,18 +47,16 @@ def drop_deletes(changes: DataFrame, type_col: str = "type") -> DataFrame:
 
 
 def current_state(changes: DataFrame, pk: str = "id", version: str = "version") -> DataFrame:
-    """The last change per key (by ``version``), deletes removed.
+    """The last change per key (by ``version``, unique per key), deletes removed.
 
-    An aggregate (``max_by``) instead of ``row_number`` over the key: the map
-    side keeps one candidate per key and task, so a hot key never piles up in
-    one task.  The key is read from ``after`` or, for deletes, ``before``.
+    The last version per key is a hash aggregate over two narrow columns,
+    combined before the shuffle, and is joined back; a hot key never piles up
+    in one task.  The key is read from ``after`` or, for deletes, ``before``.
     """
-    key = F.coalesce(F.col("after")[pk], F.col("before")[pk])
-    row = F.struct(*[F.col(c) for c in changes.columns])
-    last = (changes.withColumn("_pk", key)
-                   .groupBy("_pk").agg(F.max_by(row, F.col(version)).alias("_r"))
-                   .select("_r.*"))
-    return last.filter(~F.col("type").eqNullSafe("delete"))
+    keyed = changes.withColumn("_pk", F.coalesce(F.col("after")[pk], F.col("before")[pk]))
+    last = keyed.groupBy("_pk").agg(F.max(version).alias("_last"))
+    return (keyed.join(last, (keyed["_pk"] == last["_pk"]) & (keyed[version] == last["_last"]), "left_semi").drop("_pk")
+            .filter(~F.col("type").eqNullSafe("delete")))
 
 
 def typed_after(changes: DataFrame, schema: dict) -> DataFrame:

@@ -1,10 +1,8 @@
 """Interval join (J1/J2) and dimension lookup.
 
 Lookups are joins against a dimension DataFrame, not per-row remote calls.
-Whether a dimension is broadcast is decided from its size: by default Spark's
-planner and AQE do it from statistics (``autoBroadcastJoinThreshold``); with
-``broadcast=True`` the dimension is counted first and only hinted when it has
-at most ``max_broadcast_rows`` rows, otherwise the join stays a shuffle join.
+Whether a dimension is broadcast is Spark's choice, from statistics and, under
+AQE, from the size that a side turns out to have.
 """
 
 from __future__ import annotations
@@ -12,53 +10,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when ``dim`` provably has at most ``max_rows`` rows."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_ts: str, right_ts: str, lower_ms: int, upper_ms: int,
-                  how: str = "inner") -> DataFrame:
+                  how: str = "inner", watermark: str | None = None) -> DataFrame:
     """Rows with equal keys and ``left_ts + lower_ms <= right_ts <= left_ts + upper_ms``.
 
-    Bounds are inclusive.  The equi-key makes this a hash/sort-merge join with
-    a residual range condition (never a nested loop); on streams, give both
-    sides a watermark and Spark bounds the join state with these bounds.
-    Column names of the two sides must not clash.
+    Bounds are inclusive, times are epoch milliseconds.  The equi-key makes
+    this a hash or sort-merge join with a residual range condition, never a
+    nested loop.  The range compares event-time columns, so that on streams,
+    with ``watermark`` given, Spark drops state that the watermark has passed:
+    each side is kept for the interval and the delay, no longer.  Column names
+    of the two sides must not clash.
     """
-    cond = ((left[left_key] == right[right_key])
-            & (right[right_ts] >= left[left_ts] + F.lit(lower_ms))
-            & (right[right_ts] <= left[left_ts] + F.lit(upper_ms)))
-    return left.join(right, cond, how)
+    lt, rt = "_left_time", "_right_time"
+    left = left.withColumn(lt, F.timestamp_millis(F.col(left_ts)))
+    right = right.withColumn(rt, F.timestamp_millis(F.col(right_ts)))
+    if watermark is not None:
+        left, right = left.withWatermark(lt, watermark), right.withWatermark(rt, watermark)
+
+    def after(ms: int) -> Column:
+        return F.col(lt) + F.expr(f"INTERVAL '{ms / 1000:.3f}' SECOND")
+
+    cond = ((F.col(left_key) == F.col(right_key)) & (F.col(rt) >= after(lower_ms)) & (F.col(rt) <= after(upper_ms)))
+    return left.join(right, cond, how).drop(lt, rt)
 
 
 def lookup(df: DataFrame, dim: DataFrame, key, columns: dict, dim_key: str = "ID",
-           how: str = "left", broadcast="auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           how: str = "left") -> DataFrame:
     """Enrich ``df`` with dimension columns.
 
-    ``key``: fact column name or Column; the dimension key is text at rest, so
-    the fact key is cast to string.  ``columns``: ``{out_name: dim_col}`` or
+    ``key``: fact column name or Column.  The dimension key is text at rest;
+    it is cast to the type of the fact key, so the larger side joins on its
+    own column (and may be bucketed by it).  ``columns``: ``{out_name: dim_col}`` or
     ``{out_name: (dim_col, type)}``; existing columns of ``df`` with those names
     are replaced.  ``how='left'`` keeps facts whose key is missing (NULL dims);
     ``how='inner'`` drops them, as the reference's failed lookups do (Q4).
     """
     kcol = F.col(key) if isinstance(key, str) else key
-    sel, outs = [F.col(dim_key).alias("_dim_key")], []
+    key_type = df.select(kcol).schema[0].dataType
+    sel, outs = [F.col(dim_key).try_cast(key_type).alias("_dim_key")], []
     for out, spec in columns.items():
         src, typ = (spec, None) if isinstance(spec, str) else spec
         c = F.col(src)
         sel.append((c.cast(typ) if typ else c).alias(f"_dim_{out}"))
         outs.append(out)
     d = dim.select(*sel)
-    if broadcast is True:
-        d = checked_broadcast(d, max_broadcast_rows)
     base = df.drop(*[o for o in outs if o in df.columns])
-    j = base.join(d, kcol.cast("string") == F.col("_dim_key"), how)
+    j = base.join(d, kcol == F.col("_dim_key"), how)
     for out in outs:
         j = j.withColumnRenamed(f"_dim_{out}", out)
     return j.drop("_dim_key")

@@ -5,45 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LATIN_TOKEN, cjk_bigrams, dictionary_candidates, latin_tokens
+from ..functions.text import WORD_TOKEN, cjk_bigrams, word_tokens
 
 
-def keyword_explode(df: DataFrame, text: str = "full_word", pattern: str = LATIN_TOKEN,
+def keyword_explode(df: DataFrame, text: str = "full_word", pattern: str = WORD_TOKEN,
                     cjk: bool = False, keep=("rt",)) -> DataFrame:
     """``LATERAL TABLE(split(text))``: one row per word (inner: a phrase with
     no word yields no row).  ``cjk=True`` adds Han bigrams."""
-    toks = latin_tokens(text, pattern)
+    toks = word_tokens(text, pattern)
     if cjk:
         toks = F.concat(toks, cjk_bigrams(text))
     return df.select(*keep, F.explode(toks).alias("word"))
 
 
-def dictionary_words(df: DataFrame, dictionary: DataFrame, text: str = "full_word", max_len: int = 6,
-                     keep=("rt",)) -> DataFrame:
-    """Dictionary segmentation: every substring up to ``max_len`` characters
-    that is a dictionary word, with its position, so repeats are counted.
+def dictionary_words(df: DataFrame, dictionary: DataFrame, text: str = "full_word", keep=("rt",)) -> DataFrame:
+    """Dictionary segmentation: every substring that is a dictionary word, with
+    its position, so repeats are counted.
 
     ``dictionary`` has one column ``word``; it is joined, not collected, so it
     may be large (Spark broadcasts it only when its statistics are small).
+    Substrings reach as far as the longest word of the dictionary.  Positions
+    are exploded first, so no row holds all substrings of its text.
     """
-    cand = (df.filter(F.length(text) > 0)
-              .select(*keep, F.explode(dictionary_candidates(text, max_len)).alias("c"))
-              .select(*keep, F.col("c.pos").alias("pos"), F.col("c.word").alias("word")))
-    return cand.join(dictionary.select("word").distinct(), "word", "left_semi")
+    words = dictionary.select("word").distinct()
+    longest = words.select(F.max(F.length("word"))).scalar()
+    at = (df.filter(F.length(text) > 0).withColumn("_longest", longest)
+            .select(*keep, F.col("_longest"), F.col(text).alias("_text"), F.explode(F.sequence(F.lit(1), F.length(text))).alias("pos"))
+            .select(*keep, "pos", "_longest", F.substr("_text", F.col("pos"), F.col("_longest")).alias("_rest")))
+    cand = (at.filter(F.length("_rest") > 0)
+              .select(*keep, "pos", "_rest", F.explode(F.sequence(F.lit(1), F.length("_rest"))).alias("_n"))
+              .select(*keep, "pos", F.substr("_rest", F.lit(1), F.col("_n")).alias("word")))
+    return cand.join(words, "word", "left_semi")
 
 
-def register_split_udtf(spark, name: str = "SplitFunction", pattern: str = LATIN_TOKEN):
+def register_split_udtf(spark, name: str = "SplitFunction", pattern: str = WORD_TOKEN):
     """A SQL-callable table function for ``LATERAL`` queries.
 
     Row-at-a-time Python; use ``keyword_explode`` on large inputs.  Returns the
-    registered function, or ``None`` when Python UDTFs are unavailable.
+    registered function, or ``None`` where Python UDTFs or the ``regex`` module are missing.
     """
     try:
-        import re
+        import regex
         from pyspark.sql.functions import udtf
     except ImportError:  # pragma: no cover
         return None
-    rx = re.compile(pattern)
+    rx = regex.compile(pattern)
     from ..session import ship_package
     ship_package(spark)
 

@@ -10,48 +10,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonfmt import CORRUPT, LOG_SCHEMA, parse_checked, set_field
+from ..functions.jsonfmt import LOG_SCHEMA, _one_object, set_field, typed_field
+from .visits import order_key
 
 
 def _parsed_once(raw: DataFrame, value: str, keep) -> DataFrame:
-    """Rows with ``_p = parse_checked(value)``, parsed exactly once.
+    """Rows with ``_p``, the line's object as a map of JSON texts or NULL.
 
     A filter on a projected ``from_json`` result is pushed below the
     projection by the optimizer, which then evaluates the parse once per
-    use (six times for the log split).  A one-element ``explode`` is a
-    barrier filters are not pushed through, so each line is parsed once.
+    use.  A one-element ``explode`` is a barrier filters are not pushed
+    through, so each line is parsed once.
     """
-    return raw.select(*keep, F.explode(F.array(parse_checked(value, LOG_SCHEMA))).alias("_p"))
+    lines = raw.select(*keep, F.explode(F.array(_one_object(value))).alias("_a"))
+    return lines.withColumn("_p", F.when(F.size("_a") == 1, F.get("_a", F.lit(0)))).drop("_a")
 
 
 def dirty_lines(raw: DataFrame, value: str = "value") -> DataFrame:
     """Lines that are not one JSON object (K8 dead letters)."""
-    return (_parsed_once(raw, value, raw.columns)
-               .filter(~F.col("_p.ok")).drop("_p"))
+    return _parsed_once(raw, value, raw.columns).filter(F.col("_p").isNull()).drop("_p")
+
+
+def split_lines(raw: DataFrame, value: str = "value") -> DataFrame:
+    """All lines with ``_p``: NULL for dirty ones, for jobs that write both kinds."""
+    return _parsed_once(raw, value, raw.columns)
+
+
+def typed_lines(split: DataFrame, keep=("seq",)) -> DataFrame:
+    """Good lines of ``split_lines`` as ``common/page/start/displays/ts`` (+ kept columns)."""
+    keep = [c for c in keep if c in split.columns]
+    return split.filter(F.col("_p").isNotNull()).select(
+        *keep, *[typed_field(F.col("_p")[f.name], f.dataType).alias(f.name) for f in LOG_SCHEMA.fields])
 
 
 def parse_lines(raw: DataFrame, value: str = "value", keep=("seq",)) -> DataFrame:
     """Good lines parsed to ``common/page/start/displays/ts`` (+ kept columns)."""
-    keep = [c for c in keep if c in raw.columns]
-    fields = [f.name for f in LOG_SCHEMA.fields]
-    return (_parsed_once(raw, value, keep)
-               .filter(F.col("_p.ok"))
-               .select(*keep, *[F.col("_p.j").getField(f).alias(f) for f in fields]))
+    return typed_lines(_parsed_once(raw, value, [c for c in keep if c in raw.columns]), keep)
 
 
 def repair_new_visitor(df: DataFrame, key: str, flag: str, ts: str, seq: str) -> DataFrame:
     """T1, batch form: per key only the first ``flag = '1'`` row keeps ``'1'``.
 
-    The first flagged row per key is found by an aggregate (map-side partial
-    aggregation, so a hot key costs one row per task before the shuffle) and
-    joined back; rows are never gathered per key.
+    The first flagged row per key is found by a hash aggregate over one packed
+    order key (combined before the shuffle) and joined back; rows are never
+    gathered per key, and AQE can split the rows of a hot key in the join.
+    Rows without a key belong to no device: they stay as they are.
     """
-    firsts = (df.filter(F.col(flag) == "1")
-                .groupBy(key).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))).alias("_first")))
-    j = df.join(firsts, key, "left")
-    me = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
-    fixed = F.when((F.col(flag) == "1") & (me != F.col("_first")), F.lit("0")).otherwise(F.col(flag))
-    return j.withColumn(flag, fixed).drop("_first").select(*df.columns)
+    keyed = df.filter(F.col(key).isNotNull())
+    firsts = keyed.filter(F.col(flag) == "1").groupBy(key).agg(F.min(order_key(ts, seq)).alias("_first"))
+    fixed = F.when((F.col(flag) == "1") & (order_key(ts, seq) != F.col("_first")), F.lit("0")).otherwise(F.col(flag))
+    out = keyed.join(firsts, key, "left").withColumn(flag, fixed).select(*df.columns)
+    return out.unionByName(df.filter(F.col(key).isNull()))
 
 
 def repair_parsed(parsed: DataFrame, seq: str = "seq") -> DataFrame:

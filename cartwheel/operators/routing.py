@@ -9,17 +9,12 @@ from pyspark.sql.window import Window
 
 from ..functions.jsonfmt import keep_fields
 from .cdc import drop_deletes
-from .joins import checked_broadcast
 
 # Sink types of a routing rule.
 SINK_KAFKA, SINK_HBASE, SINK_CLICKHOUSE = "kafka", "hbase", "clickhouse"
 
 CONFIG_COLUMNS = ["sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk", "sinkExtend"]
 
-# A routing table holds one row per (source table, operation); a broadcast of
-# more rows than this is refused and the join stays a shuffle join.
-MAX_CONFIG_ROWS = 100_000
-
 
 def latest_config(config: DataFrame, version: str | None = None) -> DataFrame:
     """Last rule per (sourceTable, operateType).  ``version`` orders updates
@@ -46,12 +41,11 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """J3 + P9 + P10: drop deletes, join the rule of (tableName, type), prune
     ``after`` to ``sinkColumns`` and add ``sinkTable``/``pk``/``sinkType``.
 
-    Rows without a rule are dropped here (see ``unmatched``).  The config is
-    broadcast after its row count is checked.
+    Rows without a rule are dropped here (see ``unmatched``).
     """
-    cfg = checked_broadcast(config.select(
+    cfg = config.select(
         F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot"),
-        "sinkType", "sinkTable", "sinkColumns", F.col("sinkPk").alias("pk")), MAX_CONFIG_ROWS)
+        "sinkType", "sinkTable", "sinkColumns", F.col("sinkPk").alias("pk"))
     c = drop_deletes(changes)
     j = c.join(cfg, (F.col("tableName") == F.col("_st")) & (F.col("type") == F.col("_ot")), "inner")
     return (j.withColumn("after", keep_fields("after", F.col("sinkColumns")))
@@ -70,8 +64,7 @@ def route_dim(changes: DataFrame, config: DataFrame) -> DataFrame:
 
 def unmatched(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Q18: non-delete rows without a rule (a dead letter instead of a print)."""
-    cfg = checked_broadcast(config.select(F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot")),
-                            MAX_CONFIG_ROWS)
+    cfg = config.select(F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot"))
     c = drop_deletes(changes)
     return c.join(cfg, (F.col("tableName") == F.col("_st")) & F.col("type").eqNullSafe(F.col("_ot")), "left_anti")
 

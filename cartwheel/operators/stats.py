@@ -8,17 +8,16 @@ window result, not per event.
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import COMMERCE_TZ, TEXT_FORMAT, ms_to_text, ms_to_wallclock, text_to_ms, wallclock_to_ms
+from ..functions.timefmt import COMMERCE_TZ, TEXT_FORMAT, day_int, ms_to_text, ms_to_wallclock, text_to_ms, wallclock_to_ms
+from ..functions.codes import APPRAISE_GOOD
 from .joins import lookup
 
-# Fixed value: appraise code of a good comment.
-APPRAISE_GOOD = "1201"
-
 MONEY_SUM = "decimal(18,2)"
 
 
@@ -67,6 +66,30 @@ def visitor_rows(page: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows(uv, 1, 0, F.lit(0), 0, F.lit(0)), rows(uj, 0, 0, F.lit(0), 1, F.lit(0)), pv])
 
 
+def visitor_measures(flagged: DataFrame) -> DataFrame:
+    """P19 from ``visits.visit_flags``: the measures of a page row and its
+    visit and bounce rows, which share its keys and time, as one row."""
+    return flagged.select(*VISITOR_KEYS, F.col("uv").cast("bigint").alias("uv_ct"), F.lit(1).cast("bigint").alias("pv_ct"),
+                          F.col("last_page_id").isNull().cast("bigint").alias("sv_ct"),
+                          F.col("uj").cast("bigint").alias("uj_ct"),
+                          F.coalesce(F.col("during_time"), F.lit(0)).cast("bigint").alias("dur_sum"), "ts")
+
+
+def visitor_union(flagged: DataFrame) -> DataFrame:
+    """U1 from ``visits.visit_flags``: page, unique-visit and bounce rows, out of one pass."""
+    m = visitor_measures(flagged)
+    zero = F.lit(0).cast("bigint")
+
+    def kind(uv, pv, sv, uj, dur):
+        return F.struct(*[c.alias(n) for n, c in zip(VISITOR_MEASURES, (uv, pv, sv, uj, dur))])
+
+    rows = F.array_compact(F.array(
+        kind(zero, F.col("pv_ct"), F.col("sv_ct"), zero, F.col("dur_sum")),
+        F.when(F.col("uv_ct") == 1, kind(F.col("uv_ct"), zero, zero, zero, zero)),
+        F.when(F.col("uj_ct") == 1, kind(zero, zero, zero, F.col("uj_ct"), zero))))
+    return m.select(*VISITOR_KEYS, "ts", F.explode(rows).alias("m")).select(*VISITOR_KEYS, "m.*", "ts")
+
+
 def visitor_stats(rows: DataFrame, size: str = "10 seconds", tz: str = "UTC",
                   watermark: str | None = None) -> DataFrame:
     """5 sums per (window, ar, ch, vc, is_new); ``ts`` = earliest row.
@@ -81,6 +104,7 @@ def visitor_stats(rows: DataFrame, size: str = "10 seconds", tz: str = "UTC",
 PRODUCT_COUNTS = ["display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_num", "comment_ct", "good_comment_ct"]
 PRODUCT_AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 PRODUCT_SETS = {"order_ct": "order_id", "paid_order_ct": "paid_order_id", "refund_order_ct": "refund_order_id"}
+# Fixed value: the column order of the table.
 PRODUCT_STATS_COLUMNS = [
     "stt", "edt", "sku_id", "sku_name", "sku_price", "spu_id", "spu_name", "tm_id", "tm_name",
     "category3_id", "category3_name", "display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_num",
@@ -202,18 +226,24 @@ def product_dims(stats: DataFrame, dims: dict, how: str = "left") -> DataFrame:
 
 # ---------------------------------------------------------------- provinces
 
-def province_stats(ow: DataFrame, size: str = "10 seconds", streaming: bool = False,
+PROVINCE_COLUMNS = {"province_name": "NAME", "province_area_code": "AREA_CODE", "province_iso_code": "ISO_CODE",
+                    "province_3166_2_code": "ISO_3166_2"}
+
+
+def province_stats(ow: DataFrame, dim_province: DataFrame, size: str = "10 seconds", streaming: bool = False,
                    watermark: str | None = None) -> DataFrame:
     """A1: amount and distinct orders per (window, province); event time is the
     wall-clock ``create_time`` text (P6/F11, read as UTC so window text equals
-    the input text); money keeps its cents (Q9)."""
-    keys = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
+    the input text); money keeps its cents (Q9).  The province is looked up
+    after the aggregate."""
     cnt = (F.size(F.collect_set("order_id")) if streaming else F.count_distinct("order_id")).cast("bigint")
     d = ow.withColumn("_ms", text_to_ms("create_time", "UTC"))
-    return (_windowed(d, "_ms", size, watermark).groupBy("_w", *keys)
-            .agg(F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount"),
-                 cnt.alias("order_count"), F.min("_ms").alias("ts"))
-            .select(*_stt_edt(), *keys, "order_amount", "order_count", "ts"))
+    agg = (_windowed(d, "_ms", size, watermark).groupBy("_w", "province_id")
+           .agg(F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount"),
+                cnt.alias("order_count"), F.min("_ms").alias("ts"))
+           .select(*_stt_edt(), "province_id", "order_amount", "order_count", "ts"))
+    return lookup(agg, dim_province, "province_id", PROVINCE_COLUMNS).select(
+        "stt", "edt", "province_id", *PROVINCE_COLUMNS, "order_amount", "order_count", "ts")
 
 
 # ---------------------------------------------------------------- keywords
@@ -237,14 +267,31 @@ def keyword_stats(words: DataFrame, size: str = "10 seconds", source: str = "sea
 
 # ---------------------------------------------------------------- serving
 
+def day_range(day: int | None = None) -> tuple[str, str]:
+    """Texts of a day ``yyyyMMdd`` and of the next one; 0 or None is today (UTC)."""
+    d = _dt.datetime.strptime(str(day), "%Y%m%d").date() if day else _dt.datetime.now(_dt.timezone.utc).date()
+    return d.isoformat(), (d + _dt.timedelta(days=1)).isoformat()
+
+
 def gmv(stats: DataFrame, day: int | None = None) -> DataFrame:
-    """GMV = sum of ``order_amount`` of the day (``yyyyMMdd``).
+    """GMV of one day, the sum of ``order_amount``; NULL without rows.
 
-    With ``day``: one row, NULL when there are no rows.  Without: one row per
-    day.  The day predicate compares the ``stt`` text prefix, so it can be
-    pushed to a store partitioned by date.
-    """
-    d = F.regexp_replace(F.substring("stt", 1, 10), "-", "").cast("int")
-    if day is not None:
-        return stats.filter(d == F.lit(day)).agg(F.sum("order_amount").cast(MONEY_SUM).alias("gmv"))
-    return stats.groupBy(d.alias("day")).agg(F.sum("order_amount").cast(MONEY_SUM).alias("gmv"))
+    The day is a range of the ``stt`` text, a plain comparison that reaches
+    the scan of a stored table."""
+    lo, hi = day_range(day)
+    return stats.filter((F.col("stt") >= lo) & (F.col("stt") < hi)).agg(F.sum("order_amount").cast(MONEY_SUM).alias("gmv"))
+
+
+def gmv_by_day(stats: DataFrame) -> DataFrame:
+    """A8 for every day of the statistics."""
+    day = F.regexp_replace(F.substring("stt", 1, 10), "-", "").cast("int")
+    return stats.groupBy(day.alias("day")).agg(F.sum("order_amount").cast(MONEY_SUM).alias("gmv"))
+
+
+def gmv_from_feeds(*feeds: DataFrame, tz: str = "UTC") -> DataFrame:
+    """A8 for every day straight from the product feeds: the windows of the
+    statistics lie inside days, so their sums per day need no windows.  Days
+    with other feeds only have 0."""
+    rows = product_union(*[f.select("ts", "order_amount") for f in feeds]).filter(F.col("ts").isNotNull())
+    return rows.groupBy(day_int(ms_to_wallclock("ts", tz)).alias("day")).agg(
+        F.sum("order_amount").cast(MONEY_SUM).alias("gmv"))

@@ -1,21 +1,35 @@
 """Per-device sequence operators, batch form: unique visit (T2) and bounce.
 
-Neither gathers a device's rows into one task.  Unique visit is an aggregate
-with map-side combining.  Bounce needs the *next* row of the same device; that
-row matters only when it is less than ``within`` later, so rows are ordered
-inside (device, ``within``-wide time bucket) partitions and the last row of a
-bucket looks up the first row of the following bucket by an equi-join.  A hot
-device is thereby spread over its time buckets.
+None gathers a device's rows into one task.  The order of rows is packed into
+one number, so that first rows are found by hash aggregates, which combine
+before the shuffle, and joined back.  Bounce needs the *next* row of the same
+device; that row matters only when it is less than ``within`` later, so rows
+are ordered inside (device, ``within``-wide time bucket) partitions and the
+last row of a bucket looks up the first row of the following bucket by an
+equi-join.  A hot device is thereby spread over its time buckets.  Rows without
+a device belong to no sequence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.timefmt import ms_to_day
 
+# Fixed value: a row number in one order key is below this.
+SEQ_RANGE = 10 ** 18
+
+
+def order_key(ts: str, seq: str) -> Column:
+    """(``ts``, ``seq``) as one decimal that sorts the same way.
+
+    ``seq`` is a row number from 0 to SEQ_RANGE - 1.  A decimal fits a hash
+    aggregate's buffer; a struct would make Spark sort all rows by key."""
+    return (F.col(ts).cast("decimal(19,0)") * F.lit(SEQ_RANGE).cast("decimal(19,0)")
+            + F.col(seq).cast("decimal(19,0)")).cast("decimal(38,0)")
+
 
 def is_entry(last_page_id: str = "last_page_id", empty_counts: bool = True):
     """Entry page: no previous page (``''`` too when ``empty_counts``; Q13)."""
@@ -26,11 +40,31 @@ def is_entry(last_page_id: str = "last_page_id", empty_counts: bool = True):
 def unique_visit(page: DataFrame, key: str = "mid", ts: str = "ts", seq: str = "seq",
                  tz: str = "UTC") -> DataFrame:
     """T2 default: the first entry page per (device, day)."""
-    cols = page.columns
-    e = page.filter(is_entry()).withColumn("_day", ms_to_day(ts, tz))
-    first = (e.groupBy(key, "_day")
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col(ts), F.col(seq))).alias("_r")))
-    return first.select("_r.*")
+    e = page.filter(is_entry() & F.col(key).isNotNull()).withColumn("_day", ms_to_day(ts, tz))
+    first = e.groupBy(key, "_day").agg(F.min(order_key(ts, seq)).alias("_first"))
+    return e.join(first, [key, "_day"]).filter(order_key(ts, seq) == F.col("_first")).select(*page.columns)
+
+
+def visit_flags(page: DataFrame, within_ms: int, key: str = "mid", ts: str = "ts", seq: str = "seq",
+                flag: str = "is_new", tz: str = "UTC") -> DataFrame:
+    """T1, T2 and T3 as columns of the same page rows: ``flag`` repaired, ``uv``
+    (first entry of its device and day) and ``uj`` (bounce).
+
+    One aggregate per (device, day) gives both first rows; a second, over its
+    result, the first flagged row of each device."""
+    keyed = page.filter(F.col(key).isNotNull()).withColumn("_day", ms_to_day(ts, tz))
+    at = order_key(ts, seq)
+    days = keyed.groupBy(key, "_day").agg(F.min(F.when(F.col(flag) == "1", at)).alias("_new"),
+                                          F.min(F.when(is_entry(), at)).alias("_uv"))
+    device = days.groupBy(key).agg(F.min("_new").alias("_first"))
+    firsts = days.join(device, key).select(key, "_day", "_uv", "_first")
+    j = keyed.join(firsts, [key, "_day"], "left")
+    j = (j.withColumn("uv", F.coalesce(is_entry() & (at == F.col("_uv")), F.lit(False)))
+          .withColumn(flag, F.when((F.col(flag) == "1") & (at != F.col("_first")), F.lit("0")).otherwise(F.col(flag))))
+    entry = F.col("last_page_id").isNull()
+    out = jump_kind(j, entry, entry, within_ms, key, ts, seq).withColumn("uj", F.col("kind").isNotNull())
+    out = out.select(*page.columns, "uv", "uj")
+    return out.unionByName(page.filter(F.col(key).isNull()).withColumns({"uv": F.lit(False), "uj": F.lit(False)}))
 
 
 def unique_visit_strict(page: DataFrame, key: str = "mid", ts: str = "ts", seq: str = "seq",
@@ -57,30 +91,26 @@ def unique_visit_strict(page: DataFrame, key: str = "mid", ts: str = "ts", seq:
     return j.filter(prev.isNull() | (prev != F.col("_day"))).select(*cols)
 
 
-def next_within(df: DataFrame, key: str, ts: str, seq: str, within_ms: int, carry: dict) -> DataFrame:
-    """Attach the next row of the same key when it is less than ``within_ms`` later.
+def jump_kind(df: DataFrame, first: Column, following: Column, within_ms: int, key: str, ts: str, seq: str) -> DataFrame:
+    """All rows with ``kind``: see ``followed_by``; NULL where nothing is emitted.
 
-    ``carry`` maps output names to columns of the next row; the output also has
-    ``_next_ts`` (NULL when there is no next row inside the interval).
-    """
-    b = F.floor(F.col(ts) / F.lit(within_ms))
-    d = df.withColumn("_b", b)
+    The next row of a key is found in its (key, ``within_ms``-wide bucket), or
+    is the first row of the following bucket, which one packed number carries:
+    its order key and whether it satisfies ``following``."""
+    d = (df.withColumn("_b", F.floor(F.col(ts) / F.lit(within_ms))).withColumn("_is_first", first)
+           .withColumn("_follow", F.coalesce(following, F.lit(False))))
     w = Window.partitionBy(key, "_b").orderBy(ts, seq)
-    d = d.withColumn("_nts", F.lead(ts).over(w))
-    for out, src in carry.items():
-        d = d.withColumn(f"_n_{out}", F.lead(src).over(w))
-    first = (d.groupBy(key, "_b")
-              .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"),
-                                  *[F.col(src).alias(out) for out, src in carry.items()])).alias("_f"))
-              .withColumn("_b", F.col("_b") - 1))
-    j = d.join(first, [key, "_b"], "left")
-    has_in = F.col("_nts").isNotNull()
-    nts = F.when(has_in, F.col("_nts")).otherwise(F.col("_f.t"))
-    j = j.withColumn("_next_ts", F.when(nts - F.col(ts) < within_ms, nts))
-    for out in carry:
-        j = j.withColumn(out, F.when(F.col("_next_ts").isNotNull(),
-                                     F.when(has_in, F.col(f"_n_{out}")).otherwise(F.col(f"_f.{out}"))))
-    return j.drop("_b", "_nts", "_f", *[f"_n_{o}" for o in carry])
+    d = d.withColumn("_next_ts", F.lead(ts).over(w)).withColumn("_next_follow", F.lead("_follow").over(w))
+    packed = (order_key(ts, seq) * 2 + F.col("_follow").cast("int")).cast("decimal(38,0)")
+    head = d.groupBy(key, "_b").agg(F.min(packed).alias("_head")).withColumn("_b", F.col("_b") - 1)
+    j = d.join(head, [key, "_b"], "left")
+    bucket_ts = F.floor(F.col("_head") / F.lit(2 * SEQ_RANGE).cast("decimal(20,0)")).cast("bigint")
+    inside = F.col("_next_ts").isNotNull()
+    next_ts = F.when(inside, F.col("_next_ts")).otherwise(bucket_ts)
+    follow = F.when(inside, F.col("_next_follow")).otherwise(F.col("_head") % 2 == 1)
+    soon = F.coalesce(next_ts - F.col(ts) < within_ms, F.lit(False))
+    kind = F.when(F.col("_is_first") & ~soon, "timeout").when(F.col("_is_first") & follow, "match")
+    return j.withColumn("kind", kind).drop("_b", "_is_first", "_follow", "_next_ts", "_next_follow", "_head")
 
 
 def followed_by(df: DataFrame, first, following, within_ms: int, key: str = "mid", ts: str = "ts",
@@ -94,13 +124,9 @@ def followed_by(df: DataFrame, first, following, within_ms: int, key: str = "mid
     ``within_ms`` (a gap of exactly ``within_ms`` times out, Q21); no output
     when the next row breaks the pattern.  Returns the first rows + ``kind``.
     """
-    cols = df.columns
-    e = df.withColumn("_first", first).withColumn("_follow", following)
-    n = next_within(e, key, ts, seq, within_ms, {"_next_follow": "_follow"})
-    kind = (F.when(F.col("_next_ts").isNull(), "timeout")
-             .when(F.col("_next_follow"), "match"))
-    return (n.filter(F.col("_first")).withColumn("kind", kind)
-             .filter(F.col("kind").isNotNull()).select(*cols, "kind"))
+    keyed = df.filter(F.col(key).isNotNull())
+    return (jump_kind(keyed, first, following, within_ms, key, ts, seq)
+            .filter(F.col("kind").isNotNull()).select(*df.columns, "kind"))
 
 
 def user_jump(page: DataFrame, within_ms: int, key: str = "mid", ts: str = "ts", seq: str = "seq") -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import COMMERCE_TZ, split_text_time, text_to_ms, text_to_ms_or, wallclock_to_ms
+from ..functions.timefmt import COMMERCE_TZ, split_text_time, text_to_ms, text_to_ms_or
 from .joins import age_years, interval_join, lookup
 
+# Row layouts.
 ORDER_WIDE_COLUMNS = [
     "detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "province_id", "order_status",
     "user_id", "total_amount", "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
@@ -39,13 +40,14 @@ def detail_time(order_detail: DataFrame, tz: str = COMMERCE_TZ) -> DataFrame:
 
 
 def order_interval_join(order_info: DataFrame, order_detail: DataFrame, lower_ms: int, upper_ms: int,
-                        tz: str = COMMERCE_TZ) -> DataFrame:
+                        tz: str = COMMERCE_TZ, watermark: str | None = None) -> DataFrame:
     """J1 + P15: order ⋈ detail on ``id = order_id`` within the interval -> wide row
     (dimension columns still NULL)."""
     o = order_time_parts(order_info, tz).select(
         *[F.col(c).alias(f"o_{c}") for c in order_time_parts(order_info, tz).columns])
     d = detail_time(order_detail, tz).select(*[F.col(c).alias(f"d_{c}") for c in detail_time(order_detail, tz).columns])
-    j = interval_join(o, d, "o_id", "d_order_id", "o_create_ts", "d_create_ts", lower_ms, upper_ms)
+    j = interval_join(o, d, "o_id", "d_order_id", "o_create_ts", "d_create_ts", lower_ms, upper_ms,
+                      watermark=watermark)
     null_s, null_l, null_i = F.lit(None).cast("string"), F.lit(None).cast("bigint"), F.lit(None).cast("int")
     mapping = {
         "detail_id": F.col("d_id"), "order_id": F.col("o_id"), "sku_id": F.col("d_sku_id"),
@@ -107,7 +109,11 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict, lower
 
     ``dims``: ``user, province, sku, spu, trademark, category3`` DataFrames.
     """
-    ow = order_interval_join(order_info, order_detail, lower_ms, upper_ms, tz)
+    return wide_lookups(order_interval_join(order_info, order_detail, lower_ms, upper_ms, tz), dims, as_of_ms, how, age_tz)
+
+
+def wide_lookups(ow: DataFrame, dims: dict, as_of_ms, how: str = "left", age_tz: str = "UTC") -> DataFrame:
+    """J5-J10 on joined order rows."""
     ow = lookup_user(ow, dims["user"], as_of_ms, how, age_tz)
     ow = lookup_province(ow, dims["province"], how)
     ow = lookup_sku(ow, dims["sku"], how)
@@ -115,17 +121,21 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict, lower
 
 
 def payment_interval_join(payment_info: DataFrame, ow: DataFrame, lower_ms: int, upper_ms: int,
-                          tz: str = COMMERCE_TZ) -> DataFrame:
+                          tz: str = COMMERCE_TZ, record_ts: str | None = None,
+                          watermark: str | None = None) -> DataFrame:
     """J2 + P16: payment ⋈ order-wide, order time in [pay + lower, pay + upper].
 
     Same-named columns take the payment's value (``order_id``, ``user_id``,
     ``total_amount``); the two create times keep their own names.  A payment
-    time that does not parse falls back to the order time (F17).
+    time that does not parse falls back to the time of its record, the epoch
+    milliseconds in column ``record_ts`` of ``payment_info`` (F17); without
+    that column such a payment has no time and joins nothing.
     """
     p = payment_info.select(*[F.col(c).alias(f"p_{c}") for c in payment_info.columns])
     o = ow.withColumn("_ow_ts", text_to_ms("create_time", tz))
-    p = p.withColumn("_pay_ts", text_to_ms("p_create_time", tz))
-    j = interval_join(p, o, "p_order_id", "order_id", "_pay_ts", "_ow_ts", -lower_ms, upper_ms)
+    pay_ts = text_to_ms_or("p_create_time", f"p_{record_ts}", tz) if record_ts else text_to_ms("p_create_time", tz)
+    j = interval_join(p.withColumn("_pay_ts", pay_ts), o, "p_order_id", "order_id", "_pay_ts", "_ow_ts", -lower_ms, upper_ms,
+                      watermark=watermark)
     from_payment = {"payment_id": "p_id", "subject": "p_subject", "payment_type": "p_payment_type",
                     "payment_create_time": "p_create_time", "callback_time": "p_callback_time",
                     "order_id": "p_order_id", "user_id": "p_user_id", "total_amount": "p_total_amount"}
@@ -135,7 +145,7 @@ def payment_interval_join(payment_info: DataFrame, ow: DataFrame, lower_ms: int,
             sel.append(F.col(from_payment[c]).alias(c))
         elif c == "order_create_time":
             sel.append(F.col("create_time").alias(c))
-        else:
+        elif c in ow.columns:
             sel.append(F.col(c))
     return j.select(*sel)
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonfmt import map_as_text, to_json_row
-from ..functions.timefmt import COMMERCE_TZ, ms_to_text
 from ..operators import cdc, keywords, logsplit, routing, stats, visits, wide
 from ..operators.joins import lookup
 from ..sinks.writers import upsert_dim
@@ -21,6 +20,8 @@ from ..sources import driver
 from ..sources.driver import SCALE
 from .inputs import Inputs
 
+GMV_DAY = 19950315
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -112,21 +113,18 @@ def tumble_counts(spark, sf):
     return stats.tumble_counts(Inputs(spark, sf).page_log, "ts", "1 hour", keys=["page_id"])
 
 
-def _visitor_rows(i: Inputs) -> DataFrame:
-    page = _repaired_page(i)
-    uv = visits.unique_visit(page)
-    uj = visits.user_jump(page, SCALE["jump_within_ms"]).drop("kind")
-    return stats.visitor_rows(page, uv, uj)
+def _flagged(i: Inputs) -> DataFrame:
+    return visits.visit_flags(i.page_log, SCALE["jump_within_ms"])
 
 
 @query("visitor_union")
 def visitor_union(spark, sf):
-    return _visitor_rows(Inputs(spark, sf))
+    return stats.visitor_union(_flagged(Inputs(spark, sf)))
 
 
 @query("visitor_stats")
 def visitor_stats(spark, sf):
-    return stats.visitor_stats(_visitor_rows(Inputs(spark, sf)), SCALE["visitor_window"])
+    return stats.visitor_stats(stats.visitor_measures(_flagged(Inputs(spark, sf))), SCALE["visitor_window"])
 
 
 # ------------------------------------------------------------------ orders
@@ -213,26 +211,29 @@ def order_wide_merge(spark, sf):
 
 @query("province_rows")
 def province_rows(spark, sf):
-    return wide.province_rows(_order_wide(Inputs(spark, sf)))
+    i = Inputs(spark, sf)
+    return wide.province_rows(wide.lookup_province(_joined(i), i.dims["province"]))
 
 
 @query("province_stats")
 def province_stats(spark, sf):
-    return stats.province_stats(_order_wide(Inputs(spark, sf)), SCALE["stats_window"])
+    i = Inputs(spark, sf)
+    return stats.province_stats(_joined(i), i.dims["province"], SCALE["stats_window"])
 
 
 # ------------------------------------------------------------------ products
 
-def _feeds(i: Inputs, ow: DataFrame | None = None) -> list[DataFrame]:
-    ow = ow if ow is not None else _order_wide(i)
-    pw = _payment_wide(i, ow)
+def _feeds(i: Inputs) -> list[DataFrame]:
+    # orders and payments need no dimension: lookups come after the aggregate
+    joined = _joined(i).select("order_id", "sku_id", "sku_num", "split_total_amount", "create_time")
+    paid = _payment_wide(i, joined)
     return [
         stats.product_clicks(i.page_log, click_page_id="click"),
         stats.product_displays(i.display_log),
         stats.product_favors(driver.favor_info(i.t.events)),
         stats.product_carts(driver.cart_info(i.t.events)),
-        stats.product_orders(ow),
-        stats.product_payments(pw),
+        stats.product_orders(joined),
+        stats.product_payments(paid),
         stats.product_refunds(driver.refund_info(i.t.lineitem)),
         stats.product_comments(driver.comment_info(i.t.labels)),
     ]
@@ -276,12 +277,22 @@ def product_stats_dims(spark, sf):
 
 @query("gmv_by_day")
 def gmv_by_day(spark, sf):
-    # GMV reads only order_amount: the aggregate, not the dimension-joined rows.
-    return stats.gmv(product_stats(spark, sf))
+    return stats.gmv_from_feeds(*_feeds(Inputs(spark, sf)))
+
+
+@query("gmv_day")
+def gmv_day(spark, sf):
+    return stats.gmv(product_stats(spark, sf), GMV_DAY)
 
 
 # ------------------------------------------------------------------ keywords
 
+@query("keyword_filter")
+def keyword_filter(spark, sf):
+    found = stats.keyword_filter(logsplit.page_lines(Inputs(spark, sf).parsed_log))
+    return found.select("full_word", F.date_format("rt", "yyyy-MM-dd HH:mm:ss").alias("rt"))
+
+
 def _keyword_words(i: Inputs) -> DataFrame:
     return keywords.keyword_explode(driver.keyword_source(i.t.documents))
 
@@ -389,9 +400,11 @@ def rename_snake_to_camel(spark, sf):
 @query("decode_codes")
 def decode_codes(spark, sf):
     from ..functions.codes import decode
-    p = Inputs(spark, sf).payment_info
-    return p.select(F.col("id").alias("payment_id"), "payment_type",
-                    decode(F.col("payment_type")).alias("payment_type_name"))
+    o = Inputs(spark, sf).t.orders
+    status = (F.lit(1001) + F.col("o_orderkey") % 6).cast("string")
+    kind = (F.lit(1101) + F.col("o_orderkey") % 4).cast("string")  # the fourth has no name
+    return o.select(F.col("o_orderkey").alias("order_id"), status.alias("order_status"), decode(status).alias("order_status_name"),
+                    kind.alias("payment_type"), decode(kind).alias("payment_type_name"))
 
 
 def queries() -> dict[str, Query]:

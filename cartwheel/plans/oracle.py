@@ -44,7 +44,8 @@ SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id % 7 AS VARCHAR) AS ar,
        event_type AS page_id,
        CASE WHEN event_type IN ('signup', 'view') THEN NULL WHEN event_type = 'error' THEN ''
             ELSE event_type END AS last_page_id,
-       json_extract_string(props, '$.k') AS item, 'sku_id' AS item_type,
+       json_extract_string(props, '$.k') AS item,
+       CASE WHEN event_type = 'error' THEN 'keyword' ELSE 'sku_id' END AS item_type,
        CAST(round(value * 1000) AS BIGINT) AS during_time, epoch_us(ts) // 1000 AS ts, event_id AS seq
 FROM events""")
 
@@ -56,12 +57,19 @@ SELECT mid, ar, ch, vc,
        page_id, last_page_id, item, item_type, during_time, ts, seq
 FROM page_log""")
 
-# Raw JSON lines, every 50th broken; then parsed back.
+# Raw JSON lines, every 50th with a broken tail; then parsed back.
 cte("raw_log", ("page_log",), """
-SELECT seq, CASE WHEN seq % 50 = 0 THEN substr(line, 1, 4) ELSE line END AS value
+SELECT seq, CASE WHEN seq % 50 = 0 THEN line || '{"cut' ELSE line END AS value
 FROM (SELECT seq, CAST(CASE WHEN page_id = 'signup' THEN
         json_object('common', json_object('ar', ar, 'ch', ch, 'is_new', is_new, 'mid', mid, 'vc', vc),
                     'start', json_object('entry', 'icon', 'loading_time', CAST(during_time AS VARCHAR)), 'ts', ts)
+      WHEN page_id = 'view' THEN
+        json_object('common', json_object('ar', ar, 'ch', ch, 'is_new', is_new, 'mid', mid, 'vc', vc),
+                    'page', json_object('page_id', page_id, 'last_page_id', last_page_id, 'item', item,
+                                        'item_type', item_type, 'during_time', CAST(during_time AS VARCHAR)),
+                    'displays', json_array(json_object('item', item, 'item_type', 'sku_id', 'order', '1'),
+                                           json_object('item', mid, 'item_type', 'activity_id', 'order', '2')),
+                    'ts', ts)
       ELSE json_object('common', json_object('ar', ar, 'ch', ch, 'is_new', is_new, 'mid', mid, 'vc', vc),
                     'page', json_object('page_id', page_id, 'last_page_id', last_page_id, 'item', item,
                                         'item_type', item_type, 'during_time', CAST(during_time AS VARCHAR)),
@@ -151,8 +159,7 @@ SELECT CAST(n.n_nationkey AS VARCHAR) AS ID, n.n_name AS NAME, 'A' || CAST(n.n_r
 FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 cte("dim_c3", (), """
-SELECT CAST(dense_rank() OVER (ORDER BY NAME) AS VARCHAR) AS ID, NAME
-FROM (SELECT DISTINCT p_type AS NAME FROM part)""")
+SELECT DISTINCT CAST(CAST('0x' || substr(md5(p_type), 1, 12) AS BIGINT) AS VARCHAR) AS ID, p_type AS NAME FROM part""")
 
 cte("dim_sku", ("dim_c3",), """
 SELECT CAST(p.p_partkey AS VARCHAR) AS ID, p.p_name AS SKU_NAME,
@@ -164,8 +171,7 @@ cte("dim_spu", (), """
 SELECT DISTINCT CAST(p_size AS VARCHAR) AS ID, 'spu-' || CAST(p_size AS VARCHAR) AS SPU_NAME FROM part""")
 
 cte("dim_tm", (), """
-SELECT DISTINCT regexp_extract(p_brand, '#(\\d+)', 1) AS ID, p_brand AS TM_NAME FROM part
-WHERE CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) <= 20""")
+SELECT DISTINCT regexp_extract(p_brand, '#(\\d+)', 1) AS ID, p_brand AS TM_NAME FROM part""")
 
 cte("joined", ("order_info", "order_detail"), f"""
 SELECT d.id AS detail_id, o.id AS order_id, d.sku_id, d.order_price, d.sku_num, d.sku_name, o.province_id,
@@ -260,23 +266,23 @@ cte("product_stats", ("feeds",), PRODUCT_AGG)
 cte("keyword_words", (), """
 SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id), '%Y-%m-%d %H:%M:%S') AS rt, lower(w) AS word,
        epoch_ms(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id)) AS rt_ms
-FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM documents)""")
+FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS w FROM documents)""")
 
 ORDER_MAP = """'create_time=' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',id=' || CAST(o_orderkey AS VARCHAR)
        || ',order_status=' || {status} || ',total_amount=' || CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR)
        || ',user_id=' || CAST(o_custkey AS VARCHAR)"""
 cte("changes", (), f"""
-SELECT 'gmall' AS database, 'order_info' AS tableName, 'insert' AS type, '' AS before_text,
+SELECT 'shop' AS database, 'order_info' AS tableName, 'insert' AS type, '' AS before_text,
        {ORDER_MAP.format(status='o_orderstatus')} AS after_text, o_orderkey AS key, 0 AS version FROM orders
 UNION ALL
-SELECT 'gmall', 'order_info', 'update', {ORDER_MAP.format(status='o_orderstatus')},
+SELECT 'shop', 'order_info', 'update', {ORDER_MAP.format(status='o_orderstatus')},
        {ORDER_MAP.format(status="'U'")}, o_orderkey, 1 FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL
-SELECT 'gmall', 'order_info', 'delete',
+SELECT 'shop', 'order_info', 'delete',
        {ORDER_MAP.format(status="CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END")}, '',
        o_orderkey, 2 FROM orders WHERE o_orderkey % 10 = 0
 UNION ALL
-SELECT 'gmall', 'order_detail', 'read', '',
+SELECT 'shop', 'order_detail', 'read', '',
        'order_id=' || CAST(l_orderkey AS VARCHAR) || ',sku_id=' || CAST(l_partkey AS VARCHAR)
        || ',sku_num=' || CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR), l_orderkey, 0 FROM lineitem""")
 
@@ -430,6 +436,12 @@ SQL: dict[str, str] = {
     "gmv_by_day": _with(("product_stats",), """
         SELECT CAST(replace(substr(stt, 1, 10), '-', '') AS INTEGER) AS day,
                CAST(sum(order_amount) AS DECIMAL(18,2)) AS gmv FROM product_stats GROUP BY 1"""),
+    "gmv_day": _with(("product_stats",), """
+        SELECT CAST(sum(order_amount) AS DECIMAL(18,2)) AS gmv FROM product_stats
+        WHERE stt >= '1995-03-15' AND stt < '1995-03-16'"""),
+    "keyword_filter": _with(("parsed_repaired",), f"""
+        SELECT item AS full_word, {_fmt_ms('ts')} AS rt FROM parsed_repaired
+        WHERE NOT is_start AND item_type = 'keyword' AND item IS NOT NULL"""),
     "keyword_explode": _with(("keyword_words",), "SELECT rt, word FROM keyword_words"),
     "keyword_stats": _with(("keyword_words",), f"""
         SELECT word AS keyword, count(*) AS ct, 'search' AS source, {_win('rt_ms', STATS_WIN_MS)},
@@ -461,10 +473,13 @@ SQL: dict[str, str] = {
                coupon_reduce_amount AS couponReduceAmount, original_total_amount AS originalTotalAmount,
                feight_fee AS feightFee, expire_time AS expireTime, create_time AS createTime,
                operate_time AS operateTime FROM order_info"""),
-    "decode_codes": _with(("payment_info",), """
-        SELECT id AS payment_id, payment_type,
-               CASE payment_type WHEN '1101' THEN 'alipay' WHEN '1102' THEN 'wechat' WHEN '1103' THEN 'unionpay'
-               END AS payment_type_name FROM payment_info"""),
+    "decode_codes": """
+        SELECT o_orderkey AS order_id, CAST(1001 + o_orderkey % 6 AS VARCHAR) AS order_status,
+               CASE o_orderkey % 6 WHEN 0 THEN 'unpaid' WHEN 1 THEN 'paid' WHEN 2 THEN 'cancelled' WHEN 3 THEN 'finished'
+                    WHEN 4 THEN 'refunding' ELSE 'refunded' END AS order_status_name,
+               CAST(1101 + o_orderkey % 4 AS VARCHAR) AS payment_type,
+               CASE o_orderkey % 4 WHEN 0 THEN 'alipay' WHEN 1 THEN 'wechat' WHEN 2 THEN 'unionpay' END AS payment_type_name
+        FROM orders""",
 }
 SQL["user_jump"] = _with(("page_log",), f"""
     SELECT {PAGE_COLS}, kind FROM (

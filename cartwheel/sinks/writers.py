@@ -31,18 +31,16 @@ def upsert_dim(existing: DataFrame, changes: DataFrame, pk: str = "id", version:
     """K3: dimension rows after applying a batch of upserts.
 
     ``changes`` hold the new column values (typed, NULL stays NULL, Q19); the
-    latest change per key wins (``version``, else any one per key), then a
-    full outer join keeps untouched rows and replaces changed ones.  The
-    result is written in place of the old dimension (or merged by a catalog
-    that supports ``MERGE INTO``).
+    latest change per key wins (``version``, unique per key; without one, the
+    greatest by a hash of its values, so a repeated run picks the same), then a
+    full outer join keeps untouched rows and replaces changed ones.
     """
     cols = existing.columns
     ch = changes.select(*[c for c in cols if c in changes.columns], *([version] if version else []))
-    if version:
-        row = F.struct(*[F.col(c) for c in cols if c in ch.columns and c != pk])
-        ch = ch.groupBy(pk).agg(F.max_by(row, F.col(version)).alias("_r")).select(pk, "_r.*")
-    else:
-        ch = ch.dropDuplicates([pk])
+    if version is None:
+        ch, version = ch.distinct().withColumn("_version", F.xxhash64(*ch.columns)), "_version"
+    last = ch.groupBy(F.col(pk).alias("_pk")).agg(F.max(version).alias("_last"))
+    ch = ch.join(last, (F.col(pk) == F.col("_pk")) & (F.col(version) == F.col("_last")), "left_semi").drop(version)
     e = existing.select(pk, *[F.col(c).alias(f"_o_{c}") for c in cols if c != pk])
     n = ch.select(pk, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_n_{c}") for c in ch.columns if c != pk])
     j = e.join(n, pk, "full")

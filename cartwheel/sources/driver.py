@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.timefmt import TEXT_FORMAT, wallclock_to_ms
 from ..functions.jsonfmt import STR_MAP
@@ -20,10 +19,10 @@ from ..functions.jsonfmt import STR_MAP
 MONEY = "decimal(16,2)"
 
 # Fixed values of the mapping (shared with the SQL oracle).
-DATABASE = "gmall"
+DATABASE = "shop"
 CDC_TOPIC_PREFIX = "mysql_binlog"
-DIRTY_EVERY = 50            # every 50th event becomes a broken log line
-TRADEMARK_MAX_ID = 20       # brands above this id are missing from the trademark dim
+DIRTY_EVERY = 50            # every 50th log line gets a broken tail
+DIRTY_TAIL = '{"cut'
 BIRTHDAY_BASE = "1960-01-01"
 AGE_AS_OF = "2024-01-01 00:00:00"
 COMMENT_BASE = "2024-01-01 00:00:00"
@@ -57,7 +56,7 @@ def page_log(events: DataFrame) -> DataFrame:
         F.when(et.isin("signup", "view"), F.lit(None).cast("string"))
          .when(et == "error", "").otherwise(et).alias("last_page_id"),
         F.get_json_object("props", "$.k").alias("item"),
-        F.lit("sku_id").alias("item_type"),
+        F.when(et == "error", "keyword").otherwise("sku_id").alias("item_type"),
         F.round(F.col("value") * 1000).cast("bigint").alias("during_time"),
         _ntz_ms("ts").alias("ts"),
         F.col("event_id").alias("seq"),
@@ -68,8 +67,8 @@ def raw_log(events: DataFrame) -> DataFrame:
     """App log lines as JSON text, the input of the log split.
 
     ``signup`` events are start logs; the rest are page logs, and ``view``
-    pages carry two displays.  Every ``DIRTY_EVERY``-th event is cut to its
-    first four characters, which makes it a broken line.
+    pages carry two displays.  Every ``DIRTY_EVERY``-th line has a second,
+    broken object behind it, as two appends that collided leave it.
     """
     p = page_log(events)
     common = F.create_map(*[x for k in ("ar", "ch", "is_new", "mid", "vc") for x in (F.lit(k), F.col(k))])
@@ -89,7 +88,7 @@ def raw_log(events: DataFrame) -> DataFrame:
         F.col("ts").alias("ts")))
     return p.select(
         F.col("seq"),
-        F.when(F.col("seq") % DIRTY_EVERY == 0, F.substring(line, 1, 4)).otherwise(line).alias("value"))
+        F.when(F.col("seq") % DIRTY_EVERY == 0, F.concat(line, F.lit(DIRTY_TAIL))).otherwise(line).alias("value"))
 
 
 def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -205,22 +204,24 @@ def _brand_id(c="p_brand") -> Column:
     return F.regexp_extract(F.col(c), r"#(\d+)", 1)
 
 
+def _category_id(c="p_type") -> Column:
+    """A category's id from its name alone: 48 bits of its digest, as a number.
+    No order over all names is needed."""
+    return F.conv(F.substring(F.md5(F.col(c)), 1, 12), 16, 10)
+
+
 def dim_base_category3(part: DataFrame) -> DataFrame:
-    types = part.select(F.col("p_type").alias("NAME")).distinct()
-    # Ranking the distinct type names needs one ordered pass; the input is the
-    # set of category names, which is bounded by the catalogue, not the facts.
-    return types.select(F.dense_rank().over(Window.orderBy("NAME")).cast("string").alias("ID"), "NAME")
+    return part.select(_category_id().alias("ID"), F.col("p_type").alias("NAME")).distinct()
 
 
 def dim_sku_info(part: DataFrame) -> DataFrame:
-    cat = dim_base_category3(part).select(F.col("NAME").alias("p_type"), F.col("ID").alias("CATEGORY3_ID"))
-    return part.join(cat, "p_type", "left").select(
+    return part.select(
         F.col("p_partkey").cast("string").alias("ID"),
         F.col("p_name").alias("SKU_NAME"),
         F.col("p_retailprice").cast(MONEY).cast("string").alias("PRICE"),
         F.col("p_size").cast("string").alias("SPU_ID"),
         _brand_id().alias("TM_ID"),
-        "CATEGORY3_ID")
+        _category_id().alias("CATEGORY3_ID"))
 
 
 def dim_spu_info(part: DataFrame) -> DataFrame:
@@ -229,8 +230,7 @@ def dim_spu_info(part: DataFrame) -> DataFrame:
 
 
 def dim_base_trademark(part: DataFrame) -> DataFrame:
-    return (part.select(_brand_id().alias("ID"), F.col("p_brand").alias("TM_NAME")).distinct()
-            .filter(F.col("ID").cast("int") <= TRADEMARK_MAX_ID))
+    return part.select(_brand_id().alias("ID"), F.col("p_brand").alias("TM_NAME")).distinct()
 
 
 # ------------------------------------------------------------ change records
@@ -256,18 +256,18 @@ def debezium_changes(orders: DataFrame, lineitem: DataFrame | None = None) -> Da
     base = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     null_map = F.lit(None).cast(STR_MAP)
     k = F.col("o_orderkey")
-    ins = base.select(topic.alias("topic"), F.lit("c").alias("op"), null_map.alias("before"),
-                      _order_row_map(F.col("o_orderstatus")).alias("after"),
-                      k.alias("key"), F.lit(0).alias("version"))
-    upd = base.filter(k % 3 == 0).select(topic.alias("topic"), F.lit("u").alias("op"),
-                                          _order_row_map(F.col("o_orderstatus")).alias("before"),
-                                          _order_row_map(F.lit("U")).alias("after"),
-                                          k.alias("key"), F.lit(1).alias("version"))
-    last = F.when(k % 3 == 0, F.lit("U")).otherwise(F.col("o_orderstatus"))
-    dele = base.filter(k % 10 == 0).select(topic.alias("topic"), F.lit("d").alias("op"),
-                                            _order_row_map(last).alias("before"), null_map.alias("after"),
-                                            k.alias("key"), F.lit(2).alias("version"))
-    out = ins.unionByName(upd).unionByName(dele)
+    first, last = F.col("o_orderstatus"), F.when(k % 3 == 0, F.lit("U")).otherwise(F.col("o_orderstatus"))
+
+    def change(op: str, before: Column, after: Column, version: int) -> Column:
+        return F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"), F.lit(version).alias("version"))
+
+    # one scan: the changes of an order are an array of its row
+    history = F.array_compact(F.array(
+        change("c", null_map, _order_row_map(first), 0),
+        F.when(k % 3 == 0, change("u", _order_row_map(first), _order_row_map(F.lit("U")), 1)),
+        F.when(k % 10 == 0, change("d", _order_row_map(last), null_map, 2))))
+    out = base.select(topic.alias("topic"), k.alias("key"), F.explode(history).alias("c")).select(
+        "topic", "c.op", "c.before", "c.after", "key", "c.version")
     if lineitem is not None:
         dt = F.lit(f"{CDC_TOPIC_PREFIX}.{DATABASE}.order_detail")
         det = lineitem.select(

@@ -1,4 +1,4 @@
-"""Parquet table reader for the test tables (one file per table)."""
+"""Parquet table reader for the test tables (one file or folder per table)."""
 
 from __future__ import annotations
 
@@ -8,20 +8,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    ``spread``: a scan with fewer splits than half the cores (one file with
-    one row group, as the test tables are) is round-robin repartitioned so
-    the per-row work before the first shuffle is not done by a single task.
-    On a cluster a large table has thousands of splits and this is a no-op.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() * 2 < cores:
-            df = df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
