@@ -38,19 +38,29 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _one_object(text) -> Column:
-    """``array<map<string,string>>`` of the line between brackets: one entry,
-    not null, exactly when the line is one JSON object.
+# Fixed value: key of the object that marks the end of a wrapped line.
+END_MARK = "#end#"
 
-    Between brackets a second object, a tail or a broken end all break the
-    array, and so does an array or a scalar in place of the object."""
-    return F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), T.ArrayType(STR_MAP))
+
+def wrapped_line(text) -> Column:
+    """``array<map<string,string>>`` of the line and an end mark between brackets.
+
+    A second object, a tail or a broken end change the size of the array, or
+    break it, and so does an array or a scalar in place of the object: see
+    ``wrapped_object``."""
+    return F.from_json(F.concat(F.lit("["), _c(text), F.lit(f',{{"{END_MARK}":1}}]')), T.ArrayType(STR_MAP))
+
+
+def wrapped_object(array: Column) -> Column:
+    """The line's object as a map of JSON texts, or NULL unless the line is one
+    JSON object and nothing else (P2, the only rule for it)."""
+    whole = (F.size(array) == 2) & F.map_contains_key(F.get(array, F.lit(1)), F.lit(END_MARK))
+    return F.when(whole, F.get(array, F.lit(0)))
 
 
 def is_json_object(text) -> Column:
-    """True when ``text`` is one JSON object and nothing else (P2); NULL is not."""
-    m = _one_object(text)
-    return F.coalesce((F.size(m) == 1) & F.get(m, F.lit(0)).isNotNull(), F.lit(False))
+    """True when ``text`` is one JSON object and nothing else; NULL is not."""
+    return wrapped_object(wrapped_line(text)).isNotNull()
 
 
 def parse_strict(text, schema) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 # Default token pattern and the Han character class.
 WORD_TOKEN = r"[\p{L}\p{N}]+"
+WORD_TOKEN_NOT_HAN = r"[[\p{L}\p{N}]&&[^\p{IsHan}]]+"
 HAN_RUN = r"\p{IsHan}+"
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD_TOKEN, cjk_bigrams, word_tokens
+from ..functions.text import WORD_TOKEN, WORD_TOKEN_NOT_HAN, cjk_bigrams, word_tokens
 
 
-def keyword_explode(df: DataFrame, text: str = "full_word", pattern: str = WORD_TOKEN,
+def keyword_explode(df: DataFrame, text: str = "full_word", pattern: str | None = None,
                     cjk: bool = False, keep=("rt",)) -> DataFrame:
     """``LATERAL TABLE(split(text))``: one row per word (inner: a phrase with
-    no word yields no row).  ``cjk=True`` adds Han bigrams."""
-    toks = word_tokens(text, pattern)
+    no word yields no row).  ``cjk=True`` cuts Han runs into bigrams instead of
+    keeping them whole."""
+    toks = word_tokens(text, pattern or (WORD_TOKEN_NOT_HAN if cjk else WORD_TOKEN))
     if cjk:
         toks = F.concat(toks, cjk_bigrams(text))
     return df.select(*keep, F.explode(toks).alias("word"))

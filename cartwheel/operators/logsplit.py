@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonfmt import LOG_SCHEMA, _one_object, set_field, typed_field
+from ..functions.jsonfmt import LOG_SCHEMA, set_field, typed_field, wrapped_line, wrapped_object
 from .visits import order_key
 
 
@@ -22,8 +22,8 @@ def _parsed_once(raw: DataFrame, value: str, keep) -> DataFrame:
     use.  A one-element ``explode`` is a barrier filters are not pushed
     through, so each line is parsed once.
     """
-    lines = raw.select(*keep, F.explode(F.array(_one_object(value))).alias("_a"))
-    return lines.withColumn("_p", F.when(F.size("_a") == 1, F.get("_a", F.lit(0)))).drop("_a")
+    lines = raw.select(*keep, F.explode(F.array(wrapped_line(value))).alias("_a"))
+    return lines.withColumn("_p", wrapped_object(F.col("_a"))).drop("_a")
 
 
 def dirty_lines(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -230,22 +230,30 @@ PROVINCE_COLUMNS = {"province_name": "NAME", "province_area_code": "AREA_CODE",
                     "province_3166_2_code": "ISO_3166_2"}
 
 
-def province_stats(ow: DataFrame, dim_province: DataFrame, size: str = "10 seconds", streaming: bool = False,
-                   watermark: str | None = None) -> DataFrame:
-    """A1: amount and distinct orders per (window, province); event time is the
-    wall-clock ``create_time`` text (P6/F11, read as UTC so window text equals
-    the input text); money keeps its cents (Q9).  The province is looked up
-    after the aggregate."""
+def province_windows(ow: DataFrame, size: str = "10 seconds", streaming: bool = False,
+                     watermark: str | None = None) -> DataFrame:
+    """A1: amount and distinct orders per (window, province id); event time is
+    the wall-clock ``create_time`` text (P6/F11, read as UTC so window text
+    equals the input text); money keeps its cents (Q9)."""
     cnt = (F.size(F.collect_set("order_id")) if streaming else F.count_distinct("order_id")).cast("bigint")
     d = ow.withColumn("_ms", text_to_ms("create_time", "UTC"))
-    agg = (_windowed(d, "_ms", size, watermark).groupBy("_w", "province_id")
-           .agg(F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount"),
-                cnt.alias("order_count"), F.min("_ms").alias("ts"))
-           .select(*_stt_edt(), "province_id", "order_amount", "order_count", "ts"))
-    return lookup(agg, dim_province, "province_id", PROVINCE_COLUMNS).select(
+    return (_windowed(d, "_ms", size, watermark).groupBy("_w", "province_id")
+            .agg(F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount"),
+                 cnt.alias("order_count"), F.min("_ms").alias("ts"))
+            .select(*_stt_edt(), "province_id", "order_amount", "order_count", "ts"))
+
+
+def province_names(windows: DataFrame, dim_province: DataFrame) -> DataFrame:
+    """J6 after the aggregate."""
+    return lookup(windows, dim_province, "province_id", PROVINCE_COLUMNS).select(
         "stt", "edt", "province_id", *PROVINCE_COLUMNS, "order_amount", "order_count", "ts")
 
 
+def province_stats(ow: DataFrame, dim_province: DataFrame, size: str = "10 seconds") -> DataFrame:
+    """A1 with the province looked up after the aggregate."""
+    return province_names(province_windows(ow, size), dim_province)
+
+
 # ---------------------------------------------------------------- keywords
 
 def keyword_filter(page: DataFrame) -> DataFrame:

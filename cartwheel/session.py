@@ -49,16 +49,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the folder is set by the cluster (a shared file system); it
-    is only invented here when the setting is missing, which happens in local
-    tests (``spark.checkpoint.dir`` cannot be changed on a running session,
-    so the folder is handed to the context instead).
-    """
+    """The shared folder of ``spark.checkpoint.dir``; an error where it is not
+    set, since a folder of one machine would lose state and offsets with it.
+    ``local_session`` sets one for tests and the bench."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp")
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -1,20 +1,25 @@
-"""Sinks (K1-K10).  Batch writers take a DataFrame; streaming jobs call them
-from ``foreachBatch`` with the batch id, which makes re-runs idempotent.
-
-No Kafka, JDBC driver or HBase client ships with this image, so the topic
-and table sinks are written against folders (parquet/JSON) and Spark's JDBC
-writer; the Kafka path only builds the ``topic``/``value`` columns Spark's
-Kafka sink expects.
+"""Sinks (K1-K10).
+
+Folder sinks take a batch id and write one folder per batch, overwritten when a
+batch is run again, so a replay leaves no duplicate; ``batch`` names a one-off
+run.  Days come from the data, never from the clock, so a replay writes to the
+same day.  No Kafka connector, JDBC driver or HBase client ships with this
+image: the topic and JDBC writers below are thin calls of Spark's own sinks,
+untested here.  Both may see a batch twice after a failure; the receiver has to
+key on ``batch_id`` or on the row's key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.jsonfmt import to_json_row
 
 
+# ---------------------------------------------------------------- topics
+
 def as_topic_records(df: DataFrame, topic_col: str = "sinkTable", value_cols=None) -> DataFrame:
     """K1/K2: ``topic``, ``value`` columns for Spark's Kafka sink; the topic is
     chosen per row."""
@@ -22,10 +27,23 @@ def as_topic_records(df: DataFrame, topic_col: str = "sinkTable", value_cols=Non
     return df.select(F.col(topic_col).alias("topic"), to_json_row(*cols).alias("value"))
 
 
-def write_topic_folder(df: DataFrame, path: str, topic_col: str = "sinkTable", mode: str = "append") -> None:
-    """K2 against a folder: one sub-folder per topic, JSON lines."""
-    as_topic_records(df, topic_col).write.mode(mode).partitionBy("topic").json(path)
+def write_topics(df: DataFrame, servers: str, topic_col: str = "sinkTable") -> None:
+    """K1/K2 into Kafka, topic per row (needs the connector on the classpath)."""
+    as_topic_records(df, topic_col).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int | str, fmt: str = "json", partition: str | None = None) -> None:
+    """One folder per batch; a batch that is run again replaces its own output."""
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition) if partition else w).format(fmt).save(f"{path}/batch_id={batch_id}")
+
 
+def write_topic_folder(df: DataFrame, path: str, batch_id: int | str = "batch", topic_col: str = "sinkTable") -> None:
+    """K2 against a folder: JSON lines, one sub-folder per topic of the batch."""
+    write_batch(as_topic_records(df, topic_col), path, batch_id, "json", "topic")
+
+
+# ------------------------------------------------------------ dimensions
 
 def upsert_dim(existing: DataFrame, changes: DataFrame, pk: str = "id", version: str | None = None) -> DataFrame:
     """K3: dimension rows after applying a batch of upserts.
@@ -55,20 +73,63 @@ def upsert_dim(existing: DataFrame, changes: DataFrame, pk: str = "id", version:
     return j.select(*out)
 
 
-def write_dim(df: DataFrame, path: str) -> None:
-    """K3/K4 against a parquet folder (overwrite = the new version)."""
-    df.write.mode("overwrite").parquet(path)
+def write_dim(df: DataFrame, path: str, version: int) -> None:
+    """K3: a new version of a dimension in a folder of its own, then the switch.
+
+    The version is listed only after its folder is complete, so a reader sees
+    the old one or the new one, and a run that fails half-way, or reads the
+    table it replaces, loses nothing."""
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    df.sparkSession.createDataFrame([(version,)], "version long").write.mode("append").parquet(f"{path}/versions")
+
+
+def dim_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """The last listed version (below ``before``), or None."""
+    listed = spark.read.schema("version long").parquet(f"{path}/versions")
+    if before is not None:
+        listed = listed.filter(F.col("version") < before)
+    return listed.agg(F.max("version")).first()[0]
 
 
-def ensure_dim_table(spark, path: str, schema, properties: str = "") -> None:
-    """K4: create an empty dimension table if it is missing (``mode('ignore')``)."""
-    spark.createDataFrame([], schema).write.mode("ignore").option("comment", properties).parquet(path)
+def read_dim(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The dimension as of its last version (below ``before``)."""
+    return spark.read.parquet(f"{path}/version={dim_version(spark, path, before)}")
 
 
+def ensure_dim_table(spark: SparkSession, path: str, sink_columns: str, sink_pk: str | None = None, extend: str | None = None) -> None:
+    """K4: version 0 of a dimension, empty, if there is none.
+
+    Key and table properties are kept as metadata of the key column, which
+    Parquet stores with the schema (``dim_properties``)."""
+    from ..operators.routing import dim_schema
+    schema, pk = dim_schema(sink_columns, sink_pk)
+    fields = [T.StructField(f.name, f.dataType, True, {"pk": True, "extend": extend or ""} if f.name == pk else {}) for f in schema]
+    spark.createDataFrame([], T.StructType(fields)).write.mode("ignore").parquet(f"{path}/version=0")
+    spark.createDataFrame([(0,)], "version long").write.mode("ignore").parquet(f"{path}/versions")
+
+
+def dim_properties(dim: DataFrame) -> tuple[str | None, str]:
+    """Key column and table properties of a dimension made by ``ensure_dim_table``."""
+    for f in dim.schema:
+        if f.metadata.get("pk"):
+            return f.name, f.metadata.get("extend", "")
+    return None, ""
+
+
+def upsert_dim_table(spark: SparkSession, path: str, changes: DataFrame, batch_id: int, pk: str = "id", version: str | None = None) -> None:
+    """K3 as a table: the batch applied to the version before it gives version
+    ``batch_id + 1``; a replay starts from the same version again."""
+    base = read_dim(spark, path, before=batch_id + 1)
+    merged = upsert_dim(base, changes, pk, version)
+    kept = [F.col(f.name).alias(f.name, metadata=f.metadata) if f.metadata else F.col(f.name) for f in base.schema]
+    write_dim(merged.select(*kept), path, batch_id + 1)
+
+
+# ---------------------------------------------------------------- tables
+
 def positional(df: DataFrame, columns, transient=()) -> DataFrame:
     """K5/K6: drop working columns, then order columns for a positional insert."""
-    d = df.drop(*transient)
-    return d.select(*columns)
+    return df.drop(*transient).select(*columns)
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, columns, batchsize: int = 10_000, props=None) -> None:
@@ -76,25 +137,30 @@ def jdbc_append(df: DataFrame, url: str, table: str, columns, batchsize: int = 1
     positional(df, columns).write.mode("append").option("batchsize", batchsize).jdbc(url, table, properties=props or {})
 
 
-def write_dead_letters(dirty: DataFrame, path: str, day_col=None) -> None:
-    """K8: broken lines, partitioned by day."""
-    d = dirty.withColumn("dt", day_col if day_col is not None else F.current_date().cast("string"))
-    d.write.mode("append").partitionBy("dt").json(path)
+# ----------------------------------------------------------------- lines
+
+def write_dead_letters(dirty: DataFrame, path: str, day: Column, batch_id: int | str = "batch") -> None:
+    """K8: broken lines of a batch by day; ``day`` comes from the record or its file name."""
+    write_batch(dirty.withColumn("dt", day), path, batch_id, "json", "dt")
 
 
-def write_daily_text(lines: DataFrame, path: str, value: str = "value", day_col=None) -> None:
-    """Rolling daily text files."""
-    d = lines.withColumn("dt", day_col if day_col is not None else F.current_date().cast("string"))
-    d.select(value, "dt").write.mode("append").partitionBy("dt").text(path)
+def write_daily_text(lines: DataFrame, path: str, day: Column, batch_id: int | str = "batch", value: str = "value") -> None:
+    """Daily text files."""
+    write_batch(lines.select(F.col(value).alias("value"), day.alias("dt")), path, batch_id, "text", "dt")
 
 
-def write_log_split(parsed: DataFrame, page_path: str, start_path: str, display_path: str) -> None:
-    """One parsed frame, three outputs; persisted once so the input is read once."""
-    from ..operators.logsplit import display_log, page_lines, start_log
-    p = parsed.persist()
+def write_log_split(split: DataFrame, path: str, batch_id: int | str = "batch") -> None:
+    """Lines of ``logsplit.split_lines``, parsed once, into dirty, start, page and display folders."""
+    from ..operators.logsplit import display_log, page_lines, start_log, typed_lines
+    split = split.persist()
     try:
-        page_lines(p).select(to_json_row("common", "page", "displays", "ts").alias("value")).write.mode("append").text(page_path)
-        start_log(p).select(to_json_row("common", "start", "ts").alias("value")).write.mode("append").text(start_path)
-        display_log(p).select(to_json_row(F.col("display"), "page_id", "ts").alias("value")).write.mode("append").text(display_path)
+        typed = typed_lines(split, keep=[c for c in split.columns if c not in ("value", "_p")])
+        if "_is_new" in typed.columns:  # the flag that the repair has decided on
+            from ..functions.jsonfmt import set_field
+            typed = typed.withColumn("common", F.when(F.col("_is_new").isNotNull(), set_field("common", "is_new", F.col("_is_new")))
+                                     .otherwise(F.col("common"))).drop("_is_new")
+        for kind, df in (("dirty", split.filter(F.col("_p").isNull()).select("value")), ("start", start_log(typed)),
+                         ("page", page_lines(typed)), ("display", display_log(typed))):
+            write_batch(df, f"{path}/{kind}", batch_id)
     finally:
-        p.unpersist()
+        split.unpersist()

@@ -15,6 +15,7 @@ from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..session import ship_package
@@ -57,6 +58,37 @@ def repair_new_visitor_stream(page: DataFrame) -> DataFrame:
         _repair_fn, PAGE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
 
 
+LINE_SCHEMA = "value string, mid string, is_new string, ts bigint"
+
+
+def _repair_lines_fn(key, pdfs, state):
+    seen = state.exists and state.get[0] == "1"
+    frames = [p for p in pdfs if len(p)]
+    if not frames:
+        return
+    pdf = pd.concat(frames, ignore_index=True).sort_values("ts", kind="stable")
+    flag = pdf["is_new"].to_numpy(dtype=object).copy()
+    for i, (mid, v) in enumerate(zip(pdf["mid"], flag)):
+        if mid is not None and v == "1":
+            if seen:
+                flag[i] = "0"
+            seen = True
+    if seen:
+        state.update(("1",))
+    yield pdf.assign(is_new=flag)[["value", "mid", "is_new", "ts"]]
+
+
+def repair_lines_stream(lines: DataFrame) -> DataFrame:
+    """T1 on raw lines (``value``, ``mid``, ``is_new``, ``ts``), for the log split.
+
+    Lines without a device (broken ones too) are spread over keys of their own
+    and pass unchanged."""
+    ship_package(lines.sparkSession)
+    device = F.coalesce(F.concat(F.lit("d"), F.col("mid")), F.concat(F.lit("-"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string")))
+    return lines.withColumn("device", device).groupBy("device").applyInPandasWithState(
+        _repair_lines_fn, LINE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
+
+
 # ------------------------------------------------------------------ T2 (+ T5)
 
 def _make_uv_fn(ttl_ms: int | None):
@@ -64,7 +96,10 @@ def _make_uv_fn(ttl_ms: int | None):
         if state.hasTimedOut:
             state.remove()
             return
-        day = state.get[0] if state.exists else None
+        day, until = state.get if state.exists else (None, None)
+        now = state.getCurrentProcessingTimeMs() if ttl_ms else 0
+        if until is not None and now >= until:
+            day = until = None  # expired, though its time-out has not fired yet
         pdf = _sorted(pdfs)
         if len(pdf):
             entry = pdf["last_page_id"].isna() | (pdf["last_page_id"] == "")
@@ -76,10 +111,12 @@ def _make_uv_fn(ttl_ms: int | None):
                     keep.append(i)
             out = pdf.iloc[keep]
             if keep:
-                state.update((day,))
-                if ttl_ms:
-                    # T5: the time-to-live counts from the last write only.
-                    state.setTimeoutDuration(ttl_ms)
+                until = now + ttl_ms if ttl_ms else None
+                state.update((day, until))
+            if ttl_ms and until is not None:
+                # T5: the time to live counts from the write of the day; rows
+                # that write nothing get the rest of it
+                state.setTimeoutDuration(max(1, until - now))
             yield out[PAGE_COLS]
     return fn
 
@@ -91,7 +128,7 @@ def unique_visit_stream(page: DataFrame, ttl_ms: int | None = 86_400_000) -> Dat
     timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
     ship_package(page.sparkSession)
     return page.groupBy("mid").applyInPandasWithState(
-        _make_uv_fn(ttl_ms), PAGE_SCHEMA, "day string", "append", timeout)
+        _make_uv_fn(ttl_ms), PAGE_SCHEMA, "day string, until bigint", "append", timeout)
 
 
 # ------------------------------------------------------------------ T3

@@ -23,6 +23,108 @@ def test_dirty_split(spark):
         [True] + [False] * 7
 
 
+def test_dirty_split_of_mistyped_and_doubled_lines(spark):
+    good = ['{"common":{"mid":"1"},"ts":"1600000000000"}', '{"common":{"mid":"1"},"displays":{},"ts":5}', '{"page":"x","ts":{}}', ' {"a":[1]} ']
+    bad = ['{"a":1}{"b":2}', '{"a":1} junk }', '{"a":1},{"b":2}', '{"a":1}, ', '{"a":1', '[{"a":1}]', '1', 'true', '{"a":1}]', '{"a":1}]}', '{"a":1}}', '],[']
+    df = spark.createDataFrame(list(enumerate(good + bad)), "seq long, value string")
+    rows = {r.seq: r for r in logsplit.parse_lines(df).collect()}
+    assert sorted(rows) == [0, 1, 2, 3]
+    assert rows[0].ts == 1600000000000 and rows[0].common == {"mid": "1"}
+    assert rows[1].ts == 5 and rows[1].displays is None and rows[1].common == {"mid": "1"}
+    assert rows[2].page is None and rows[2].ts is None
+    assert sorted(r.value for r in logsplit.dirty_lines(df).collect()) == sorted(bad)
+
+
+def test_parse_strict_and_typed_rows(spark):
+    import pytest
+    from cartwheel.streaming.jobs import snapshot_then_changes, typed_rows
+    lines = spark.createDataFrame([('{"id":7,"order_id":1,"total_amount":"9.50","create_time":"2024-01-01 00:00:00"}',)], "value string")
+    r = typed_rows(lines, jsonfmt.PAYMENT_INFO_SCHEMA, strict=True).first()
+    assert (r.id, r.order_id, r.total_amount, r.subject) == (7, 1, Decimal("9.50"), None)
+    for schema in (jsonfmt.ORDER_INFO_SCHEMA, jsonfmt.ORDER_DETAIL_SCHEMA):
+        assert typed_rows(lines, schema).first().id == 7
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        typed_rows(spark.createDataFrame([("{broken",)], "value string"), jsonfmt.PAYMENT_INFO_SCHEMA, strict=True).collect()
+    snap = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    ch = spark.createDataFrame([("db", "t", {}, {"id": "1", "v": "z"}, "update", 1, 0)],
+                               "database string, tableName string, before map<string,string>, after map<string,string>, type string, key long, version int")
+    state = cdc.typed_after(cdc.current_state(snapshot_then_changes(snap, ch, "db", "t", "id")), {"id": "int", "v": "string"})
+    assert sorted(tuple(r) for r in state.collect()) == [(1, "z"), (2, "b")]
+
+
+def test_rows_without_a_device(spark):
+    rows = [("m", 0, None, "1"), ("m", 5, None, "1"), (None, 1, None, "1"), (None, 2, None, "1")]
+    df = page_df(spark, rows)
+    fixed = logsplit.repair_new_visitor(df, "mid", "is_new", "ts", "seq")
+    assert sorted((r.mid or "", r.ts, r.is_new) for r in fixed.collect()) == [("", 1, "1"), ("", 2, "1"), ("m", 0, "1"), ("m", 5, "0")]
+    flags = {(r.mid, r.ts): (r.is_new, r.uv, r.uj) for r in visits.visit_flags(df, 10_000).collect()}
+    assert flags == {("m", 0): ("1", True, True), ("m", 5): ("0", False, True), (None, 1): ("1", False, False), (None, 2): ("1", False, False)}
+    assert {r.mid for r in visits.unique_visit(df).collect()} == {"m"}
+
+
+def test_visit_flags_equal_the_single_operators(spark):
+    import random
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), rng.randrange(3 * 86_400_000), rng.choice([None, "", "x"]), rng.choice("01")) for _ in range(300)]
+    df = page_df(spark, rows)
+    flags = visits.visit_flags(df, 3_600_000).cache()
+    repaired = logsplit.repair_new_visitor(df, "mid", "is_new", "ts", "seq")
+    assert {(r.seq, r.is_new) for r in flags.collect()} == {(r.seq, r.is_new) for r in repaired.collect()}
+    assert {r.seq for r in flags.filter("uv").collect()} == {r.seq for r in visits.unique_visit(df).collect()}
+    assert {r.seq for r in flags.filter("uj").collect()} == {r.seq for r in visits.user_jump(df, 3_600_000).collect()}
+    union = stats.visitor_union(flags)
+    three = stats.visitor_rows(repaired, visits.unique_visit(repaired), visits.user_jump(repaired, 3_600_000).drop("kind"))
+    assert sorted(map(tuple, union.select(*three.columns).collect())) == sorted(map(tuple, three.collect()))
+
+
+def test_payment_time_falls_back_to_the_record(spark):
+    oi, od = _order_rows(spark)
+    ow = wide.order_interval_join(oi, od, -5000, 5000)
+    at = 1_704_074_700_000  # 2024-01-01 10:05:00 +08:00
+    pay = spark.createDataFrame([(7, 1, 9, Decimal("90.00"), "s", "1101", "not a time", None, at)],
+                                "id long, order_id long, user_id long, total_amount decimal(16,2), subject string, "
+                                "payment_type string, create_time string, callback_time string, record_ts long")
+    assert wide.payment_interval_join(pay, ow, 15 * 60_000, 5000, record_ts="record_ts").count() == 2
+    assert wide.payment_interval_join(pay.drop("record_ts"), ow, 15 * 60_000, 5000).count() == 0
+
+
+def test_missing_dimension_rows(spark):
+    """A brand above 20 is missing from this trademark dimension: a left lookup keeps the row, an inner one drops it."""
+    from cartwheel.sources import driver
+    part = spark.createDataFrame([(1, "p", "Brand#7", "T", 3, 1.5), (2, "q", "Brand#25", "T", 4, 1.5)],
+                                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    tm = driver.dim_base_trademark(part).filter("cast(ID as int) <= 20")
+    facts = driver.dim_sku_info(part).select(F.col("TM_ID").cast("bigint").alias("tm_id"))
+    assert sorted(r.n or "" for r in lookup(facts, tm, "tm_id", {"n": "TM_NAME"}).collect()) == ["", "Brand#7"]
+    assert lookup(facts, tm, "tm_id", {"n": "TM_NAME"}, how="inner").count() == 1
+
+
+def test_codes(spark):
+    from cartwheel.functions.codes import CODES, decode
+    df = spark.createDataFrame([(c,) for c in [*CODES, "9999", None]], "c string")
+    assert [r.n for r in df.select(decode(F.col("c")).alias("n")).collect()] == [*CODES.values(), None, None]
+
+
+def test_writers_replay_without_duplicates(spark, tmp):
+    from cartwheel.sinks import writers
+    df = spark.createDataFrame([("a", "x", "2024-01-01"), ("b", "y", "2024-01-02")], "sinkTable string, value string, day string")
+    for _ in range(2):  # the same batch twice
+        writers.write_topic_folder(df, f"{tmp}/t", 3)
+        writers.write_dead_letters(df, f"{tmp}/d", F.col("day"), 3)
+        writers.write_daily_text(df, f"{tmp}/l", F.col("day"), 3)
+    assert [spark.read.json(f"{tmp}/{k}").count() for k in "td"] == [2, 2]
+    assert sorted(r.value for r in spark.read.text(f"{tmp}/l/batch_id=3/dt=2024-01-01").collect()) == ["x"]
+    writers.ensure_dim_table(spark, f"{tmp}/dim", "id,name", None, " SALT = 3")
+    writers.ensure_dim_table(spark, f"{tmp}/dim", "id,name", None, "other")
+    one = spark.createDataFrame([("1", "a", 1), ("1", "b", 2), ("2", "c", 1)], "id string, name string, v int")
+    for batch, rows in ((0, one), (1, one.filter("id = 2").withColumn("name", F.lit("z"))), (1, one.filter("id = 2").withColumn("name", F.lit("w")))):
+        writers.upsert_dim_table(spark, f"{tmp}/dim", rows, batch, "id", "v")
+    dim = writers.read_dim(spark, f"{tmp}/dim")
+    assert sorted(map(tuple, dim.collect())) == [("1", "b"), ("2", "w")]
+    assert writers.dim_properties(dim) == ("id", " SALT = 3")
+    assert sorted(map(tuple, writers.read_dim(spark, f"{tmp}/dim", before=2).collect())) == [("1", "b"), ("2", "c")]
+
+
 def test_new_visitor_repair(spark):
     rows = [("m", i * 10, "p", f) for i, f in enumerate("01101")]
     out = logsplit.repair_new_visitor(page_df(spark, rows), "mid", "is_new", "ts", "seq")
@@ -111,8 +213,9 @@ def test_order_wide_payment_precedence(spark):
 def test_province_keeps_cents(spark):
     oi, od = _order_rows(spark)
     ow = wide.order_interval_join(oi, od, -5000, 5000)
-    r = stats.province_stats(ow, "10 seconds").first()
-    assert r.order_amount == Decimal("0.80") and r.order_count == 1
+    dim = spark.createDataFrame([("3", "n", "a", "i", "x")], "ID string, NAME string, AREA_CODE string, ISO_CODE string, ISO_3166_2 string")
+    r = stats.province_stats(ow, dim, "10 seconds").first()
+    assert r.province_name == "n" and r.order_amount == Decimal("0.80") and r.order_count == 1
 
 
 def test_product_stats_one_order(spark):
@@ -186,13 +289,18 @@ def test_dim_upsert(spark):
 def test_keywords(spark):
     df = spark.createDataFrame([("Flink and SPARK, spark 3.5", 1), ("", 2), ("实时数仓", 3)], "full_word string, rt int")
     words = [r.word for r in keywords.keyword_explode(df).collect()]
-    assert words == ["flink", "and", "spark", "spark", "3", "5"]
+    assert words == ["flink", "and", "spark", "spark", "3", "5", "实时数仓"]
+    many = spark.createDataFrame([("Éçan où, naïve Ünß 日本 x1", 1)], "full_word string, rt int")
+    assert [r.word for r in keywords.keyword_explode(many).collect()] == ["éçan", "où", "naïve", "ünß", "日本", "x1"]
     cjk = [r.word for r in keywords.keyword_explode(df.filter("rt = 3"), cjk=True).collect()]
     assert cjk == ["实时", "时数", "数仓"]
     dic = spark.createDataFrame([("spark",), ("and",)], "word string")
     got = sorted((r.pos, r.word) for r in keywords.dictionary_words(
-        df.select(F.lower("full_word").alias("full_word"), "rt"), dic, max_len=5).collect())
+        df.select(F.lower("full_word").alias("full_word"), "rt"), dic).collect())
     assert got == [(7, "and"), (11, "spark"), (18, "spark")]
+    long = spark.createDataFrame([("extraordinarily",)], "word string")
+    found = keywords.dictionary_words(spark.createDataFrame([("an extraordinarily long word", 1)], "full_word string, rt int"), long)
+    assert [r.pos for r in found.collect()] == [4]  # words longer than six characters are found
 
 
 def test_udtf_lateral(spark):
@@ -207,6 +315,12 @@ def test_gmv_and_envelope(spark):
                                "stt string, order_amount decimal(18,2)")
     assert stats.gmv(st, 20240102).first().gmv == Decimal("3.50")
     assert stats.gmv(st, 20240103).first().gmv is None
+    assert [(r.day, r.gmv) for r in stats.gmv_by_day(st).collect()] == [(20240102, Decimal("3.50"))]
+    lo, hi = stats.day_range(20240229)
+    assert (lo, hi) == ("2024-02-29", "2024-03-01")
+    import datetime
+    today = datetime.datetime.now(datetime.timezone.utc).date()
+    assert stats.day_range(0)[0] in (today.isoformat(), (today - datetime.timedelta(days=1)).isoformat())
     env = st.limit(1).select(jsonfmt.envelope(F.lit(Decimal("3.50"))).alias("j")).first().j
     assert env == '{"status":0,"msg":"","data":3.50}'
 
