@@ -50,21 +50,22 @@ def visit_flags(page: DataFrame, within_ms: int, key: str = "mid", ts: str = "ts
     """T1, T2 and T3 as columns of the same page rows: ``flag`` repaired, ``uv``
     (first entry of its device and day) and ``uj`` (bounce).
 
-    One aggregate per (device, day) gives both first rows; a second, over its
-    result, the first flagged row of each device."""
-    keyed = page.filter(F.col(key).isNotNull()).withColumn("_day", ms_to_day(ts, tz))
-    at = order_key(ts, seq)
-    days = keyed.groupBy(key, "_day").agg(F.min(F.when(F.col(flag) == "1", at)).alias("_new"),
-                                          F.min(F.when(is_entry(), at)).alias("_uv"))
-    device = days.groupBy(key).agg(F.min("_new").alias("_first"))
-    firsts = days.join(device, key).select(key, "_day", "_uv", "_first")
-    j = keyed.join(firsts, [key, "_day"], "left")
-    j = (j.withColumn("uv", F.coalesce(is_entry() & (at == F.col("_uv")), F.lit(False)))
-          .withColumn(flag, F.when((F.col(flag) == "1") & (at != F.col("_first")), F.lit("0")).otherwise(F.col(flag))))
-    entry = F.col("last_page_id").isNull()
-    out = jump_kind(j, entry, entry, within_ms, key, ts, seq).withColumn("uj", F.col("kind").isNotNull())
-    out = out.select(*page.columns, "uv", "uj")
-    return out.unionByName(page.filter(F.col(key).isNull()).withColumns({"uv": F.lit(False), "uj": F.lit(False)}))
+    One aggregate per (device, day) gives both first rows; the first flagged
+    row of a device is the least of its days.  A row without a device is a key
+    of its own, so such rows spread, keep their flag and get no marks."""
+    at, entry = order_key(ts, seq), F.col("last_page_id").isNull()
+    keyed = page.withColumn("_key", F.coalesce(F.concat(F.lit("d"), F.col(key)), F.concat(F.lit("-"), F.col(seq).cast("string"))))
+    keyed = keyed.withColumn("_day", ms_to_day(ts, tz))
+    days = keyed.groupBy("_key", "_day").agg(F.min(F.when(F.col(flag) == "1", at)).alias("_new"),
+                                             F.min(F.when(is_entry(), at)).alias("_uv"))
+    firsts = days.select("_key", "_day", "_uv", F.min("_new").over(Window.partitionBy("_key")).alias("_first"))
+    j = jump_kind(keyed, entry, entry, within_ms, "_key", ts, seq).join(firsts, ["_key", "_day"], "left")
+    real = F.col(key).isNotNull()
+    return j.select(
+        *[F.when((F.col(flag) == "1") & (at != F.col("_first")), F.lit("0")).otherwise(F.col(flag)).alias(flag) if c == flag else F.col(c)
+          for c in page.columns],
+        F.coalesce(real & is_entry() & (at == F.col("_uv")), F.lit(False)).alias("uv"),
+        (real & F.col("kind").isNotNull()).alias("uj"))
 
 
 def unique_visit_strict(page: DataFrame, key: str = "mid", ts: str = "ts", seq: str = "seq",

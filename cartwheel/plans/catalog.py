@@ -134,8 +134,8 @@ def order_time_parts(spark, sf):
     return wide.order_time_parts(Inputs(spark, sf).order_info)
 
 
-def _joined(i: Inputs) -> DataFrame:
-    return wide.order_interval_join(i.order_info, i.order_detail, -SCALE["order_detail_ms"], SCALE["order_detail_ms"])
+def _joined(i: Inputs, order_info: DataFrame | None = None) -> DataFrame:
+    return wide.order_interval_join(i.order_info if order_info is None else order_info, i.order_detail, -SCALE["order_detail_ms"], SCALE["order_detail_ms"])
 
 
 @query("order_interval_join")
@@ -225,7 +225,7 @@ def province_stats(spark, sf):
 
 def _feeds(i: Inputs) -> list[DataFrame]:
     # orders and payments need no dimension: lookups come after the aggregate
-    joined = _joined(i).select("order_id", "sku_id", "sku_num", "split_total_amount", "create_time")
+    joined = _joined(i, i.order_amounts).select("order_id", "sku_id", "sku_num", "split_total_amount", "create_time")
     paid = _payment_wide(i, joined)
     return [
         stats.product_clicks(i.page_log, click_page_id="click"),

@@ -91,9 +91,13 @@ def raw_log(events: DataFrame) -> DataFrame:
         F.when(F.col("seq") % DIRTY_EVERY == 0, F.concat(line, F.lit(DIRTY_TAIL))).otherwise(line).alias("value"))
 
 
-def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """order_info rows; province is the customer's nation."""
-    o = orders.join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left")
+def order_info(orders: DataFrame, customer: DataFrame | None) -> DataFrame:
+    """order_info rows; province is the customer's nation, NULL without ``customer``,
+    for readers that need no province."""
+    if customer is None:
+        o = orders.withColumn("c_nationkey", F.lit(None).cast("int"))
+    else:
+        o = orders.join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left")
     total = F.col("o_totalprice").cast(MONEY)
     zero = F.lit(0).cast(MONEY)
     return o.select(

@@ -15,18 +15,52 @@ def test_interval_join_has_equi_key(spark):
     assert "HashJoin" in p or "SortMergeJoin" in p
 
 
-def test_dimension_lookups_broadcast(spark):
+def test_lookups_join_on_the_native_key(spark):
     p = _plan(catalog.lookup_snowflake(spark, SF))
-    assert p.count("BroadcastHashJoin") >= 3
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "cast(sku_id" not in p and "cast(tm_id" not in p and "cast(spu_id" not in p
+
+
+def _below_aggregate(df):
+    """The optimized plan under its topmost aggregate."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    top = next(k for k, x in enumerate(lines) if "Aggregate " in x)
+    depth = lines[top].index("Aggregate ")
+    under = []
+    for x in lines[top + 1:]:
+        if len(x) - len(x.lstrip(" :+-")) <= depth:
+            break
+        under.append(x)
+    return "\n".join(under)
+
+
+def test_statistics_join_no_dimension_below_the_aggregate(spark):
+    # an order with its details; the customer gives it its province
+    assert _below_aggregate(catalog.province_stats(spark, SF)).count("Join ") == 2
+    for name in ("product_stats", "product_stats_dims", "gmv_by_day"):
+        below = _below_aggregate(catalog.REGISTRY[name](spark, SF))
+        # orders with details, and the same again with payments
+        assert below.count("Join ") == 3, name
+        assert "p_partkey" not in below and "c_custkey" not in below and "n_nationkey" not in below, name
+
+
+def test_no_single_partition_window(spark):
+    for name in ("order_wide", "product_stats_dims", "gmv_by_day", "lookup_snowflake", "visitor_stats"):
+        assert "SinglePartition" not in _plan(catalog.REGISTRY[name](spark, SF)), name
+
+
+def test_visitor_statistics_in_one_pass(spark):
+    p = _plan(catalog.visitor_stats(spark, SF))
+    assert p.count("Scan parquet") <= 3 and "SortAggregate" not in p
+    for name in ("visitor_union", "unique_visit", "new_visitor_repair", "user_jump", "cdc_current_state", "dim_upsert"):
+        assert "SortAggregate" not in _plan(catalog.REGISTRY[name](spark, SF)), name
 
 
-def test_product_stats_aggregates_before_lookups(spark):
-    df = catalog.product_stats_dims(spark, SF)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    # the lookups (joins on dimension ID) sit above the final aggregate
-    first_join = plan.find("Join ")
-    first_agg = plan.find("Aggregate ")
-    assert 0 <= first_join < first_agg
+def test_gmv_of_a_day_is_a_range(spark, tmp):
+    from cartwheel.operators import stats
+    spark.createDataFrame([("2024-01-01 00:00:00", 1)], "stt string, order_amount int").write.mode("overwrite").parquet(tmp + "/gmv")
+    p = _plan(stats.gmv(spark.read.parquet(tmp + "/gmv"), 20240101))
+    assert "GreaterThanOrEqual(stt,2024-01-01)" in p and "LessThan(stt,2024-01-02)" in p
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
