@@ -186,7 +186,7 @@ def test_visit_jobs_equal_batch(spark, tmp):
     rows = [("m", 1_000_000, None), ("m", 1_003_000, None), ("m", 1_050_000, "x"), ("k", 1_060_000, ""), ("z", 1_200_000, "x"), ("z", 1_400_000, "x")]
     page = page_df(spark, rows)
     s = _stream(spark, tmp, "pages", page, 6)
-    out, _ = _ran(tmp, jobs.unique_visit_job, s, name="uvj")
+    out, _ = _ran(tmp, jobs.unique_visit_job, s, name="uvj", ttl_ms=None)
     assert _tuples(spark.read.parquet(out), "mid", "ts") == _tuples(visits.unique_visit(page), "mid", "ts")
     out, _ = _ran(tmp, jobs.user_jump_job, s, name="ujj")
     assert _tuples(spark.read.parquet(out), "mid", "ts", "kind") == _tuples(visits.user_jump(page, 10_000), "mid", "ts", "kind")
@@ -203,8 +203,8 @@ def test_routing_job_reads_rules_again(spark, tmp):
         calls.append(1)
         return spark.createDataFrame(versions[min(len(calls), 2) - 1], cols)
 
-    ch = spark.createDataFrame([("o", "insert", {"id": "1", "x": "2"}, 0), ("t", "update", {"id": "5", "name": "a"}, 1),
-                                ("o", "insert", {"id": "2"}, 0), ("t", "update", {"id": "5", "name": "b"}, 2), ("q", "insert", {"id": "9"}, 0)],
+    ch = spark.createDataFrame([("o", "insert", {"id": "1", "x": "2"}, 0), ("t", "update", {"id": "5", "name": "a"}, 1), ("q", "insert", {"id": "9"}, 0),
+                                ("o", "insert", {"id": "2"}, 0), ("t", "update", {"id": "5", "name": "b"}, 2)],
                                "tableName string, type string, after map<string,string>, version int")
     s = _stream(spark, tmp, "ch", ch, 2)
     out, _ = _ran(tmp, jobs.routing_job, s, rules, name="route", dims=f"{tmp}/dims")
@@ -272,6 +272,7 @@ def test_log_split_job(spark, tmp):
     for k, lines in enumerate((['{"common":{"mid":"1","is_new":"1"},"start":{"entry":"icon"},"ts":1}', "bad{", page % 2], [page % 3, "{}{}"])):
         with open(os.path.join(src, f"{k}.log"), "w") as f:
             f.write("\n".join(lines) + "\n")
+        os.utime(os.path.join(src, f"{k}.log"), (1_700_000_000 + k, 1_700_000_000 + k))  # the order they are read in
     out = os.path.join(tmp, "out")
     q = jobs.log_split_job(jobs.text_stream(spark, src, 1), out, trigger={"availableNow": True}, checkpoint=os.path.join(tmp, "ckpt"))
     q.awaitTermination()
