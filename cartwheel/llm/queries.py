@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import maxscore
+from . import maxscore, minhash, sentences
 from .attribution import op6_section_tokens
 from .mainpage import op5_main_text
 from .maxscore import op4_maxscore
@@ -18,4 +18,8 @@ QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_sentencepiece, op3_pii, op4_maxscore, op5_main_text, op6_section_tokens, op7_minhash_near_dedup,
     op8_quality_rules, op9_mix_sources, op10_sentence_spans)}
 
-ORACLE_SQL: dict[str, str] = {"op4_maxscore": maxscore.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_maxscore": maxscore.ORACLE_SQL,
+    "op7_minhash_near_dedup": minhash.ORACLE_SQL,
+    "op10_sentence_spans": sentences.ORACLE_SQL,
+}

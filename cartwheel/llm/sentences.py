@@ -126,3 +126,29 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
 
 def op10_sentence_spans(spark, sf_dir: str) -> DataFrame:
     return remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = rf"""
+WITH cut AS (
+  SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?]\s+|\n\s*)', '\1' || chr(1), 'g'), chr(1)),
+                                   lambda p: p <> '') AS parts FROM documents),
+p AS (
+  SELECT doc_id, unnest(range(1, len(parts) + 1)) AS k, unnest(parts) AS part FROM cut),
+k AS (
+  SELECT doc_id, k, part, trim(regexp_replace(part, '\s+', ' ', 'g')) AS key FROM p),
+c AS (
+  SELECT *, CASE WHEN key = '' THEN 0 ELSE len(string_split(key, ' ')) END AS n FROM k),
+span AS (
+  SELECT a.doc_id, a.k, a.key AS key1, b.key AS key2,
+         row_number() OVER (PARTITION BY a.key, b.key ORDER BY a.doc_id, a.k) AS nth
+  FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k = a.k + 1 WHERE a.n + b.n >= {MIN_WORDS}),
+gone AS (
+  SELECT DISTINCT doc_id, k + unnest([0, 1]) AS k FROM span WHERE nth > 1),
+kept AS (
+  SELECT c.doc_id, string_agg(CASE WHEN g.k IS NULL THEN c.part ELSE '' END, '' ORDER BY c.k) AS text,
+         count(*) AS n_sentences, count(g.k) AS n_removed
+  FROM c LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.k = c.k GROUP BY c.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       coalesce(kept.n_sentences, 0) AS n_sentences, coalesce(kept.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""

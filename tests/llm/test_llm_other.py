@@ -154,7 +154,8 @@ def test_components_of_chains_stars_and_loops(spark):
 def test_oracle_sql_matches(spark):
     import duckdb
     con = duckdb.connect()
-    con.execute(f"create view embeddings as select * from '{SF}/embeddings.parquet'")
+    for t in ("embeddings", "documents"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in ORACLE_SQL.items():
         got = QUERIES[name](spark, SF)
         want = con.execute(sql)
