@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from cartwheel.llm import components, hashing, mainpage, maxscore, minhash, mixing, piece, pii, quality
+from cartwheel.llm import components, hashing, mainpage, maxscore, mixing, piece, pii, quality
 from cartwheel.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
