@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from cartwheel.functions import jsonfmt, text, timefmt
+from cartwheel.functions import jsonfmt, timefmt
 from cartwheel.functions.names import rename_columns_camel, snake_to_camel
 from cartwheel.operators import cdc, keywords, logsplit, routing, stats, visits, wide
 from cartwheel.operators.joins import interval_join, lookup
