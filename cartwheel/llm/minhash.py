@@ -13,7 +13,8 @@ Steps, all keyed by data that spreads:
 3. Within a band bucket everybody is tied to the least id (rows grow with the
    documents, never with pairs).  The components of these ties are candidate
    groups: no link can leave one, short of a miss in all 32 bands, which
-   happens to a pair at 85 % with a chance below 3e-7.
+   happens to a pair at 85 % with a chance below 3e-7.  A component that has
+   become very heavy is looked at bucket by bucket instead.
 4. Candidate groups are verified on full sets.  A large group is cut by set
    size (a link needs sizes within 85 %) and into blocks of bounded total
    size; pairs of blocks are tasks.  A task compares sets by a product of 0/1
@@ -44,6 +45,7 @@ WORDS = 5
 PERCENT = 85
 SIGNATURE, ROWS = 192, 6          # 32 bands of 6 values
 BLOCK = 150_000                   # shingles in a block of a verification task
+HEAVY = 40 * BLOCK                # shingles of a component that is verified bucket by bucket
 _COLUMNS = 4096                   # shingles compared in one matrix product
 
 
@@ -216,23 +218,40 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def candidate_groups(reps: DataFrame) -> DataFrame:
-    """``node``, ``component`` of the documents that share a band bucket with another."""
+def shared_buckets(reps: DataFrame) -> DataFrame:
+    """``doc_id``, ``band``, ``key``, ``head`` of every band bucket with two documents or more."""
     rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     heads = rows.groupBy("band", "key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).filter("head < tail")
-    ties = rows.join(heads.drop("tail"), ["band", "key"]).filter("doc_id > head").select("doc_id", "head").distinct()
-    return connected_components(ties, "doc_id", "head")
+    return rows.join(heads.drop("tail"), ["band", "key"])
 
 
-def verified_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
+def candidate_groups(reps: DataFrame) -> DataFrame:
+    """``node``, ``component``, ``n_shingles``: groups in which links are looked for.
+
+    A group is a component of the documents that share band buckets.  Where a
+    component is heavier than HEAVY its buckets are the groups instead, for a
+    passage that very many documents share can tie them together though few
+    of them are alike; a linked pair shares a bucket either way."""
+    ties = shared_buckets(reps).filter("doc_id > head").select("doc_id", "head").distinct()
+    member = checkpoint(connected_components(ties, "doc_id", "head")
+                        .join(reps.select(F.col("doc_id").alias("node"), "n_shingles"), "node"))
+    weight = member.groupBy("component").agg(F.sum("n_shingles").alias("weight")).filter(F.col("weight") > HEAVY)
+    if weight.isEmpty():
+        return member
+    heavy = weight.select("component")
+    buckets = (member.join(heavy, "component", "left_semi").join(shared_buckets(reps), F.col("node") == F.col("doc_id"))
+               .select("node", F.xxhash64(F.lit("bucket"), "band", "key").alias("component"), "n_shingles"))
+    return member.join(heavy, "component", "left_anti").select("node", "component", "n_shingles").unionByName(buckets)
+
+
+def verified_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """Edges ``a``, ``b``: a spanning set of the links inside each candidate group."""
-    member = groups.join(reps.select(F.col("doc_id").alias("node"), "n_shingles"), "node")
     # a link needs sizes within 85 %, so it stays in one size class or joins two neighbours
     step = float(-np.log(PERCENT / 100))
     size_class = F.floor(F.log(F.col("n_shingles")) / step + 1e-9)
     whole = F.col("weight") <= BLOCK
-    weight = member.groupBy("component").agg(F.sum("n_shingles").alias("weight"))
-    member = (member.join(weight, "component")
+    weight = groups.groupBy("component").agg(F.sum("n_shingles").alias("weight"))
+    member = (groups.join(weight, "component")
               .withColumn("class", F.when(whole, F.lit(0)).otherwise(size_class)))
     blocks = member.groupBy("component", "class").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
     up = blocks.select("component", (F.col("class") - 1).alias("class"), F.col("blocks").alias("above"))
@@ -270,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classed = named.join(classes, key)
     reps = classed.filter("doc_id = rep").select("doc_id", "n_shingles", "bands")
     groups = candidate_groups(reps)
-    links = verified_links(docs, reps, groups)
+    links = verified_links(docs, groups)
     # rows with one id but different sets are one document: they tie their classes
     same = classed.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links.unionByName(same), "a", "b")
