@@ -156,10 +156,12 @@ def near_copies(n, words=60, chain=3):
     return out
 
 
-@pytest.mark.parametrize("block", [minhash.BLOCK, 200])
-def test_near_duplicates_in_blocks(spark, monkeypatch, block):
-    """Small blocks cut one large candidate group into many tasks; the answer stays."""
+@pytest.mark.parametrize("block, heavy", [(minhash.BLOCK, minhash.HEAVY), (200, minhash.HEAVY), (200, 300)])
+def test_near_duplicates_in_blocks(spark, monkeypatch, block, heavy):
+    """Small blocks cut one large candidate group into many tasks, and heavy
+    groups are verified bucket by bucket; the answer stays."""
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "HEAVY", heavy)
     texts = near_copies(12) + [(1000 + k, COPY + f" tail{k}") for k in range(30)] + [(2000, COPY), (2001, COPY.upper())]
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, texts)).collect()}
     assert got == components(texts)
