@@ -328,12 +328,12 @@ class Memory:
 
 
 @lru_cache(maxsize=2)
-def memory(model: str) -> Memory:
-    return Memory(load(model))
+def memory(model: str, limit: int = REMEMBERED) -> Memory:
+    return Memory(load(model), limit)
 
 
-def _encode_texts(texts: list[str | None], model: str, add_end: bool) -> list[tuple[str, int, str, int]]:
-    pieces, known = load(model), memory(model)
+def _encode_texts(texts: list[str | None], model: str, add_end: bool, remember: int = REMEMBERED) -> list[tuple[str, int, str, int]]:
+    pieces, known = load(model), memory(model, remember)
     parts = [segments_of(t or "") for t in texts]
     known_ids = known.learn({s for p in parts for s in p})
     # a segment begins with a space mark, so neither bytes nor ids of two segments belong together
@@ -363,10 +363,13 @@ def encode_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
                      "decoded_sha256 string, n_corrected long", most=STEP)
 
 
-def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """``doc_id``, ``source``, ``ids`` (with the end id), ``n_tokens`` and the decoded ``text`` of every row."""
+def encode_documents(docs: DataFrame, model: str = MODEL, remember: int = 100_000) -> DataFrame:
+    """``doc_id``, ``source``, ``ids`` (with the end id), ``n_tokens`` and the decoded ``text`` of every row.
+
+    Workers that stay alive keep what they remember, beside whatever runs next
+    on the executor; ``remember`` is smaller here than for the query alone."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = _encode_texts(batch.column("text").to_pylist(), model, True)
+        rows = _encode_texts(batch.column("text").to_pylist(), model, True, remember)
         ids = [np.array(r[0].split(), np.int32) for r in rows]
         off = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
         return pa.RecordBatch.from_arrays(
@@ -376,7 +379,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
             names=["doc_id", "source", "ids", "n_tokens", "text"])
     kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "source")}
     return map_arrow(docs.select("doc_id", "source", "text"), step,
-                     f"doc_id {kinds['doc_id']}, source {kinds['source']}, ids array<int>, n_tokens long, text string", most=STEP)
+                     f"doc_id {kinds['doc_id']}, source {kinds['source']}, ids array<int>, n_tokens long, text string")
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
