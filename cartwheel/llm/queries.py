@@ -8,6 +8,7 @@ from .mainpage import op5_main_text
 from .maxscore import op4_maxscore
 from .minhash import op7_minhash_near_dedup
 from .mixing import op9_mix_sources
+from .passages import op10_repeated_passages
 from .pii import op3_pii
 from .piece import op2_sentencepiece
 from .quality import op8_quality_rules
@@ -16,7 +17,7 @@ from .toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_sentencepiece, op3_pii, op4_maxscore, op5_main_text, op6_section_tokens, op7_minhash_near_dedup,
-    op8_quality_rules, op9_mix_sources, op10_sentence_spans)}
+    op8_quality_rules, op9_mix_sources, op10_sentence_spans, op10_repeated_passages)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_maxscore": maxscore.ORACLE_SQL,
