@@ -17,8 +17,9 @@ Steps, all keyed by data that spreads:
    become very heavy is looked at bucket by bucket instead.
 4. Candidate groups are verified on full sets.  A large group is cut by set
    size (a link needs sizes within 85 %) and into blocks of bounded total
-   size; pairs of blocks are tasks.  A task compares sets by a product of 0/1
-   matrices and returns a spanning forest of its links, never all of them.
+   size and number of documents; pairs of blocks are tasks.  A task compares
+   sets by products of 0/1 matrices, a strip of rows at a time, and returns a
+   spanning forest of its links, never all of them.
 5. Components of the verified links.
 
 Cases: a null or empty text, or one without words, has an empty set and is
@@ -45,8 +46,11 @@ WORDS = 5
 PERCENT = 85
 SIGNATURE, ROWS = 192, 6          # 32 bands of 6 values
 BLOCK = 150_000                   # shingles in a block of a verification task
+DOCUMENTS = 2_000                 # documents in a block of a verification task, on average
 HEAVY = 40 * BLOCK                # shingles of a component that is verified bucket by bucket
+HEAVY_DOCUMENTS = 40 * DOCUMENTS  # or its documents
 _COLUMNS = 4096                   # shingles compared in one matrix product
+_STRIP = 512                      # rows whose counts are turned into links together
 
 
 def shingle_sets(column: pa.Array, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -169,19 +173,27 @@ def verified(ids: list[int], side: np.ndarray, elements: np.ndarray, off: np.nda
     row, code = row[shared], code[shared]
     order = np.argsort(code, kind="stable")
     row, code = row[order], code[order]
+    # only the two sides meet, or all rows if there is one side
+    two = side.any() and not side.all()
+    left, right = (np.flatnonzero(~side), np.flatnonzero(side)) if two else (np.arange(n), np.arange(n))
     # a column per shingle that several rows have, a few thousand columns at a time
     column = np.cumsum(np.concatenate(([0], code[1:] != code[:-1]))) if len(code) else code
-    common = np.zeros((n, n), np.float32)
+    common = np.zeros((len(left), len(right)), np.float32)
     cuts = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0) + _COLUMNS, _COLUMNS))
     for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
         m = np.zeros((n, _COLUMNS), np.float32)
         m[row[lo:hi], column[lo:hi] - i * _COLUMNS] = 1
-        common += m @ m.T
-    both = common.astype(np.int64)
-    links = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
-    links &= (size > 0)[:, None]
-    if side.any() and not side.all():
-        links &= side[:, None] != side[None, :]
+        other = m[right].T if two else m.T
+        for k in range(0, len(left), _STRIP):
+            common[k:k + _STRIP] += m[left[k:k + _STRIP]] @ other
+    links = np.zeros((n, n), bool)
+    for k in range(0, len(left), _STRIP):
+        rows = left[k:k + _STRIP]
+        both = common[k:k + _STRIP].astype(np.int64)
+        near = (100 * both >= PERCENT * (size[rows][:, None] + size[right][None, :] - both)) & (size[rows] > 0)[:, None]
+        links[np.ix_(rows, right)] = near
+        if two:
+            links[np.ix_(right, rows)] = near.T
     return _forest(links, ids)
 
 
@@ -229,13 +241,14 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     """``node``, ``component``, ``n_shingles``: groups in which links are looked for.
 
     A group is a component of the documents that share band buckets.  Where a
-    component is heavier than HEAVY its buckets are the groups instead, for a
+    component is heavier than HEAVY or HEAVY_DOCUMENTS its buckets are the groups instead, for a
     passage that very many documents share can tie them together though few
     of them are alike; a linked pair shares a bucket either way."""
     ties = shared_buckets(reps).filter("doc_id > head").select("doc_id", "head").distinct()
     member = checkpoint(connected_components(ties, "doc_id", "head")
                         .join(reps.select(F.col("doc_id").alias("node"), "n_shingles"), "node"))
-    weight = member.groupBy("component").agg(F.sum("n_shingles").alias("weight")).filter(F.col("weight") > HEAVY)
+    weight = (member.groupBy("component").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("documents"))
+              .filter((F.col("weight") > HEAVY) | (F.col("documents") > HEAVY_DOCUMENTS)))
     if weight.isEmpty():
         return member
     heavy = weight.select("component")
@@ -244,16 +257,17 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     return member.join(heavy, "component", "left_anti").select("node", "component", "n_shingles").unionByName(buckets)
 
 
-def verified_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Edges ``a``, ``b``: a spanning set of the links inside each candidate group."""
+def block_tasks(groups: DataFrame) -> DataFrame:
+    """``node``, ``task``, ``side``: blocks of bounded shingles and documents, and the pairs of them to compare."""
     # a link needs sizes within 85 %, so it stays in one size class or joins two neighbours
     step = float(-np.log(PERCENT / 100))
     size_class = F.floor(F.log(F.col("n_shingles")) / step + 1e-9)
-    whole = F.col("weight") <= BLOCK
-    weight = groups.groupBy("component").agg(F.sum("n_shingles").alias("weight"))
+    whole = (F.col("weight") <= BLOCK) & (F.col("documents") <= DOCUMENTS)
+    weight = groups.groupBy("component").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("documents"))
     member = (groups.join(weight, "component")
               .withColumn("class", F.when(whole, F.lit(0)).otherwise(size_class)))
-    blocks = member.groupBy("component", "class").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
+    blocks = member.groupBy("component", "class").agg(
+        F.greatest(F.ceil(F.sum("n_shingles") / BLOCK), F.ceil(F.count("*") / DOCUMENTS)).cast("int").alias("blocks"))
     up = blocks.select("component", (F.col("class") - 1).alias("class"), F.col("blocks").alias("above"))
     down = blocks.select("component", (F.col("class") + 1).alias("class"), F.col("blocks").alias("below"))
     plan = blocks.join(up, ["component", "class"], "left").join(down, ["component", "class"], "left")
@@ -270,12 +284,16 @@ def verified_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     own = F.transform(upto(F.col("blocks")), lambda o: tasks(c, F.least(b, o), c, F.greatest(b, o)))
     above = F.transform(upto(F.col("above")), lambda o: tasks(c, b, c + 1, o))
     below = F.transform(upto(F.col("below")), lambda o: tasks(c - 1, o, c, b))
-    work = (member.select("component", "node", "class", "block", F.explode(F.concat(own, above, below)).alias("t"))
+    return (member.select("component", "node", "class", "block", F.explode(F.concat(own, above, below)).alias("t"))
             .select("node", F.xxhash64("component", "t").alias("task"),
                     ((c == F.col("t.c2")) & (b == F.col("t.b2"))).alias("side")))
+
+
+def verified_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b``: a spanning set of the links inside each candidate group."""
     # the text of each document once by id, then once for each of its tasks
     text = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").filter("node is not null")
-    work = text.join(work, "node").select(F.col("node").alias("doc_id"), "task", "side", "text")
+    work = text.join(block_tasks(groups), "node").select(F.col("node").alias("doc_id"), "task", "side", "text")
     spread = work.repartition("task").sortWithinPartitions("task")
     return map_batches(spread, _verify, "a long, b long")
 
