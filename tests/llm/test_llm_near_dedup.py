@@ -1,10 +1,10 @@
-"""Near-duplicates: bounds of verification tasks."""
+"""Near-duplicates: bounds of verification tasks, ids of any size."""
 
 import tracemalloc
 
 import numpy as np
 
-from cartwheel.llm import minhash
+from cartwheel.llm import components, minhash
 
 
 def short_sets(n, size=16):
@@ -48,3 +48,10 @@ def test_blocks_are_bounded_by_documents(spark):
     assert max(r["count"] for r in got) < 2.4 * minhash.DOCUMENTS
     pairs = minhash.block_tasks(groups).groupBy("node").count().collect()
     assert len(pairs) == 9000 and {r["count"] for r in pairs} == {5}  # a block meets all five
+
+
+def test_components_of_large_ids(spark):
+    top = (1 << 63) - 1
+    edges = [(top - k, top - k - 1) for k in range(12)] + [(-top + 5, -top)]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {**{top - k: top - 12 for k in range(13)}, -top + 5: -top, -top: -top}
