@@ -1,22 +1,23 @@
 """Near-duplicate documents: SuperMinHash, banding, verification, union-find.
 
 A document is the set of its distinct 5-word shingles.  Two documents are
-linked when the Jaccard similarity of their full sets is at least 85 %;
+linked when the Jaccard similarity of their full sets is at least a threshold
+(``percent``; 85 % in op7 and the pipeline, which their SQL and tests fix);
 SuperMinHash signatures and bands only propose candidates.
 
 Steps, all keyed by data that spreads:
 
 1. One pass over the texts (Arrow batches, numpy) gives the set size, a 128-bit
-   fingerprint of the set and the 32 band keys of a 192-value signature.
+   fingerprint of the set and the band keys of a 192-value signature (32 at 85 %).
 2. Documents with equal sets form a class; only its least id goes on, so a
    group of copies of any size costs one aggregate.
 3. Within a band bucket everybody is tied to the least id (rows grow with the
    documents, never with pairs).  The components of these ties are candidate
-   groups: no link can leave one, short of a miss in all 32 bands, which
-   happens to a pair at 85 % with a chance below 3e-7.  A component that has
+   groups: no link can leave one, short of a miss in all bands, which
+   happens to a pair at the threshold with a chance below 3e-7.  A component that has
    become very heavy is looked at bucket by bucket instead.
 4. Candidate groups are verified on full sets.  A large group is cut by set
-   size (a link needs sizes within 85 %) and into blocks of bounded total
+   size (a link needs sizes within the threshold) and into blocks of bounded total
    size and number of documents; pairs of blocks are tasks.  A task compares
    sets by products of 0/1 matrices, a strip of rows at a time, and returns a
    spanning forest of its links, never all of them.
@@ -32,6 +33,7 @@ empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,9 @@ from .common import checkpoint, map_arrow, map_batches, steps, table
 from .components import connected_components
 
 WORDS = 5
-PERCENT = 85
-SIGNATURE, ROWS = 192, 6          # 32 bands of 6 values
+PERCENT = 85                      # of op7, and where nothing else is asked for
+SIGNATURE = 192                   # 32 bands of 6 values at 85 %, 38 of 5 at 80 %
+MISS = 3e-7                       # chance that a pair at the threshold shares no band
 BLOCK = 150_000                   # shingles in a block of a verification task
 DOCUMENTS = 2_000                 # documents in a block of a verification task, on average
 HEAVY = 40 * BLOCK                # shingles of a component that is verified bucket by bucket
@@ -120,17 +123,22 @@ def _swap(perm: np.ndarray, j: int, place: np.ndarray) -> np.ndarray:
     return reached.astype(np.int64)
 
 
-def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key per band of ``rows`` values."""
+def band_rows(percent: int) -> int:
+    """The longest bands that miss a pair at ``percent`` with a chance below MISS."""
+    return next((r for r in range(SIGNATURE, 0, -1) if (1 - (percent / 100) ** r) ** (SIGNATURE // r) < MISS), 1)
+
+
+def band_keys(sig: np.ndarray, rows: int = band_rows(PERCENT)) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` values; what is left over is in none."""
     bits = np.ascontiguousarray(sig).view(np.uint64)
     return np.stack([H.combine([bits[:, c] for c in range(b, b + rows)], seed=b + 2)
-                     for b in range(0, sig.shape[1], rows)], axis=1)
+                     for b in range(0, sig.shape[1] - rows + 1, rows)], axis=1)
 
 
-def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _features(batch: pa.RecordBatch, rows: int) -> pa.RecordBatch:
     elements, off = shingle_sets(batch.column("text"))
     n = np.diff(off)
-    keys = band_keys(superminhash(elements, off)).view(np.int64)
+    keys = band_keys(superminhash(elements, off), rows).view(np.int64)
 
     def total(x: np.ndarray) -> np.ndarray:  # order-free, so equal for equal sets
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
@@ -143,8 +151,8 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
         names=["doc_id", "n_shingles", "f1", "f2", "bands"])
 
 
-def features(docs: DataFrame) -> DataFrame:
-    return map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), _features,
+def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    return map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), partial(_features, rows=band_rows(percent)),
                      "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>")
 
 
@@ -163,7 +171,8 @@ def _forest(links: np.ndarray, ids: list[int]) -> list[tuple[int, int]]:
     return edges
 
 
-def verified(ids: list[int], side: np.ndarray, elements: np.ndarray, off: np.ndarray) -> list[tuple[int, int]]:
+def verified(ids: list[int], side: np.ndarray, elements: np.ndarray, off: np.ndarray,
+             percent: int = PERCENT) -> list[tuple[int, int]]:
     """Spanning forest of the links among rows whose ``side`` differ, or of all if one side."""
     n = len(ids)
     size = np.diff(off)
@@ -190,14 +199,14 @@ def verified(ids: list[int], side: np.ndarray, elements: np.ndarray, off: np.nda
     for k in range(0, len(left), _STRIP):
         rows = left[k:k + _STRIP]
         both = common[k:k + _STRIP].astype(np.int64)
-        near = (100 * both >= PERCENT * (size[rows][:, None] + size[right][None, :] - both)) & (size[rows] > 0)[:, None]
+        near = (100 * both >= percent * (size[rows][:, None] + size[right][None, :] - both)) & (size[rows] > 0)[:, None]
         links[np.ix_(rows, right)] = near
         if two:
             links[np.ix_(right, rows)] = near.T
     return _forest(links, ids)
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by ``task``: a task's rows are gathered, then compared."""
     task, ids, side, parts = None, [], [], []
     edges: list[tuple[int, int]] = []
@@ -206,7 +215,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(ids) > 1:
             off = np.zeros(len(parts) + 1, np.int64)
             np.cumsum([len(p) for p in parts], out=off[1:])
-            edges.extend(verified(ids, np.array(side), np.concatenate(parts), off))
+            edges.extend(verified(ids, np.array(side), np.concatenate(parts), off, percent))
 
     def out() -> pa.RecordBatch:
         a, b = [e[0] for e in edges], [e[1] for e in edges]
@@ -257,10 +266,10 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     return member.join(heavy, "component", "left_anti").select("node", "component", "n_shingles").unionByName(buckets)
 
 
-def block_tasks(groups: DataFrame) -> DataFrame:
+def block_tasks(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``node``, ``task``, ``side``: blocks of bounded shingles and documents, and the pairs of them to compare."""
-    # a link needs sizes within 85 %, so it stays in one size class or joins two neighbours
-    step = float(-np.log(PERCENT / 100))
+    # a link needs sizes within ``percent``, so it stays in one size class or joins two neighbours
+    step = max(float(-np.log(percent / 100)), 1e-6)
     size_class = F.floor(F.log(F.col("n_shingles")) / step + 1e-9)
     whole = (F.col("weight") <= BLOCK) & (F.col("documents") <= DOCUMENTS)
     weight = groups.groupBy("component").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("documents"))
@@ -289,25 +298,25 @@ def block_tasks(groups: DataFrame) -> DataFrame:
                     ((c == F.col("t.c2")) & (b == F.col("t.b2"))).alias("side")))
 
 
-def verified_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
+def verified_links(docs: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges ``a``, ``b``: a spanning set of the links inside each candidate group."""
     # the text of each document once by id, then once for each of its tasks
     text = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").filter("node is not null")
-    work = text.join(block_tasks(groups), "node").select(F.col("node").alias("doc_id"), "task", "side", "text")
+    work = text.join(block_tasks(groups, percent), "node").select(F.col("node").alias("doc_id"), "task", "side", "text")
     spread = work.repartition("task").sortWithinPartitions("task")
-    return map_batches(spread, _verify, "a long, b long")
+    return map_batches(spread, partial(_verify, percent=percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``."""
-    feats = checkpoint(features(docs))
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``, linked from ``percent`` on."""
+    feats = checkpoint(features(docs, percent))
     named = feats.filter("doc_id is not null")
     key = ["n_shingles", "f1", "f2"]
     classes = named.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
     classed = named.join(classes, key)
     reps = classed.filter("doc_id = rep").select("doc_id", "n_shingles", "bands")
     groups = candidate_groups(reps)
-    links = verified_links(docs, groups)
+    links = verified_links(docs, groups, percent)
     # rows with one id but different sets are one document: they tie their classes
     same = classed.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links.unionByName(same), "a", "b")
@@ -320,12 +329,12 @@ def op7_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document of each group, the one of least id.
 
     Rows of equal id are one document, of which one row stays (the least, by
     all columns).  Rows without an id stay."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
     stay = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
     return stay.select("row.*").unionByName(docs.filter("doc_id is null"))
 

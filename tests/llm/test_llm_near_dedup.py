@@ -1,8 +1,9 @@
-"""Near-duplicates: bounds of verification tasks, ids of any size."""
+"""Near-duplicates: bounds of verification tasks, thresholds, ids of any size."""
 
 import tracemalloc
 
 import numpy as np
+from test_llm_documents import shingles
 
 from cartwheel.llm import components, minhash
 
@@ -55,3 +56,32 @@ def test_components_of_large_ids(spark):
     edges = [(top - k, top - k - 1) for k in range(12)] + [(-top + 5, -top)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {**{top - k: top - 12 for k in range(13)}, -top + 5: -top, -top: -top}
+
+
+def linked(texts, percent):
+    sets = [(i, shingles(t)) for i, t in texts]
+    return groups_of([i for i, _ in texts], [(i, j) for k, (i, a) in enumerate(sets) for j, b in sets[:k]
+                                             if a and b and 100 * len(a & b) >= percent * len(a | b)])
+
+
+def test_threshold_is_a_parameter(spark):
+    """Pairs between 80 and 85 % are linked at 80, and only there."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    near = [f"p{j}" for j in range(60)]
+    extra = [(10_000 + k, " ".join(near[:30 + k] + [f"e{k}"] + near[31 + k:])) for k in range(3)]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    want = {p: linked(texts + extra, p) for p in (80, 85)}
+    assert want[80] != want[85]
+    for p in (80, 85):
+        assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, p).collect()} == want[p]
+        left = [r.doc_id for r in minhash.drop_near_duplicates(docs, p).collect()]
+        assert sorted(left) == sorted(i for i, c in want[p].items() if i == c)
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.band_rows(85) == 6 and minhash.band_rows(80) == 5
+    assert minhash.band_keys(np.ones((2, 192)), 5).shape == (2, 38)
+    for p in (50, 70, 80, 85, 95):
+        r = minhash.band_rows(p)
+        assert (1 - (p / 100) ** r) ** (minhash.SIGNATURE // r) < 3e-7
