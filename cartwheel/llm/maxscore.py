@@ -5,8 +5,9 @@ side, positive or negative, on which a candidate scores.  The bound of a term
 is the query's weight times the largest value on that side in the shard.
 Terms are split by these bounds: the least ones, as many as together stay below
 the threshold (the k-th best score so far), are non-essential, for a candidate
-that matches those alone cannot get in.  The postings of the essential terms
-are traversed; their candidates are probed with the other terms, largest bound
+that matches those alone cannot get in.  The essential terms are one dense
+product over the shard, without posting lists, and the threshold is that of the
+seed rows throughout; candidates are probed with the other terms, largest bound
 first, while what they can still gain keeps them competitive.  A bound equal to
 the threshold stays, because ties go to the smaller id.
 
