@@ -15,11 +15,12 @@ from .pii import op3_pii
 from .piece import op2_sentencepiece
 from .quality import op8_quality_rules
 from .sentences import op10_sentence_spans
+from .spelling import op11_spelling_variants
 from .toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_sentencepiece, op3_pii, op4_maxscore, op5_main_text, op6_section_tokens, op7_minhash_near_dedup,
-    op8_quality_rules, op9_mix_sources, op10_sentence_spans, op10_repeated_passages, op12_ngram_jaccard_join,
+    op8_quality_rules, op9_mix_sources, op10_sentence_spans, op10_repeated_passages, op11_spelling_variants, op12_ngram_jaccard_join,
     op13_hard_negatives)}
 
 ORACLE_SQL: dict[str, str] = {
