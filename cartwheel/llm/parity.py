@@ -134,32 +134,41 @@ def _features(batch: pa.RecordBatch, percent: int, edges: np.ndarray) -> pa.Reco
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
         return (sums[off[1:]] - sums[off[:-1]]).view(np.int64)
 
-    columns, names = [], []
-    for t, (window, parts, d) in enumerate(windows(n, percent, edges)):
+    keys, ends, spares = [], [np.zeros(len(n), np.int64)], []
+    for window, parts, d in windows(n, percent, edges):
         key, at, spare = part_keys(elements, off, window, parts, d)
-        columns += [pa.ListArray.from_arrays(at.astype(np.int32), key.view(np.int64)), pa.array(spare.astype(np.int32))]
-        names += [f"keys{t}", f"spare{t}"]
+        # the last bit tells the window, for the two of a document are neighbours
+        keys.append((np.repeat(np.arange(len(n)), np.diff(at)), (key & ~np.uint64(1)) | (np.repeat(window, np.diff(at)) & 1).astype(np.uint64)))
+        ends.append(np.diff(at))
+        spares.append(pa.array(spare.astype(np.int32)))
+    owner = np.concatenate([k[0] for k in keys])
+    key = np.concatenate([k[1] for k in keys])[np.argsort(owner, kind="stable")]
+    at = np.concatenate(([0], np.cumsum(sum(ends))))
+    odd = (windows(n, percent, edges)[0][0] & 1).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), pa.array(n), pa.array(total(H.mix(elements))), pa.array(total(H.mix(elements ^ H.GOLDEN))), *columns],
-        names=["doc_id", "n_shingles", "f1", "f2", *names])
+        [batch.column("doc_id"), pa.array(n), pa.array(total(H.mix(elements))), pa.array(total(H.mix(elements ^ H.GOLDEN))),
+         pa.array(odd), *spares, pa.ListArray.from_arrays(at.astype(np.int32), key.view(np.int64))],
+        names=["doc_id", "n_shingles", "f1", "f2", "odd", "spare0", "spare1", "keys"])
 
 
 def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"),
                      partial(_features, percent=percent, edges=band_edges(percent)),
-                     "doc_id long, n_shingles long, f1 long, f2 long, keys0 array<long>, spare0 int, keys1 array<long>, spare1 int")
+                     "doc_id long, n_shingles long, f1 long, f2 long, odd int, spare0 int, spare1 int, keys array<long>")
 
 
-def candidate_ties(reps: DataFrame) -> DataFrame:
-    """``doc_id``, ``head``: every document with the least id that kept the same part."""
-    rows = None
-    for t in (0, 1):
-        r = reps.select("doc_id", (F.col(f"spare{t}") * 2 + t).alias("w"), F.explode(f"keys{t}").alias("h"))
-        rows = r if rows is None else rows.unionByName(r)
+def candidate_ties(feats: DataFrame, reps: DataFrame) -> DataFrame:
+    """``doc_id``, ``head``: every document of ``reps`` with the least id that kept the same part.
+
+    ``reps``: ``doc_id`` (once each), ``odd``, ``spare0``, ``spare1``.  The copies of a document count where parts
+    are counted, so that no arrays are shuffled to leave them out, and go with the rows of what nobody shares."""
+    rows = feats.filter("doc_id is not null").select("doc_id", F.explode("keys").alias("h"))
     common = rows.groupBy("h").agg(F.count("*").alias("documents")).filter("documents > 1")
-    order = Window.partitionBy("doc_id", "w").orderBy(F.desc("documents"), "h")  # parts of one document
-    kept = checkpoint(rows.join(common, "h").withColumn("nth", F.row_number().over(order))
-                      .filter(F.col("nth") > F.shiftright("w", 1)).select("doc_id", "h"))
+    next_ = F.col("h").bitwiseAND(F.lit(1)) != F.col("odd")  # a part of the next window
+    order = Window.partitionBy("doc_id", "next").orderBy(F.desc("documents"), "h")  # parts of one document
+    kept = checkpoint(rows.join(common, "h").join(reps, "doc_id").withColumn("next", next_)
+                      .withColumn("nth", F.row_number().over(order))
+                      .filter(F.col("nth") > F.when(F.col("next"), F.col("spare1")).otherwise(F.col("spare0"))).select("doc_id", "h"))
     heads = kept.groupBy("h").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).filter("head < tail").drop("tail")
     return kept.join(heads, "h").filter("doc_id > head").select("doc_id", "head").distinct()
 
@@ -299,10 +308,11 @@ def rest_tasks(members: DataFrame, percent: int) -> DataFrame:
     return probes.unionByName(base).select("node", "label", F.xxhash64("component", "c1", "b1", "c2", "b2").alias("task"), "probe")
 
 
-def jaccard_links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def jaccard_links(docs: DataFrame, feats: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """``a``, ``b``: links that join all that is linked among ``reps``."""
-    groups = connected_components(candidate_ties(reps), "doc_id", "head")
-    members = checkpoint(groups.join(reps.select(F.col("doc_id").alias("node"), "n_shingles"), "node"))
+    groups = connected_components(candidate_ties(feats, reps), "doc_id", "head")
+    sizes = feats.select(F.col("doc_id").alias("node"), "n_shingles").filter("n_shingles > 0").distinct()  # an id can have several
+    members = checkpoint(groups.join(sizes, "node"))
     star = checkpoint(_links(docs, star_tasks(members), percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labelled = (members.join(star.select(F.col("b").alias("node"), F.col("a").alias("linked")).distinct(), "node", "left")
                 .withColumn("label", F.coalesce("linked", "node")).drop("linked"))
@@ -313,16 +323,15 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs``, linked from ``percent`` on."""
     feats = checkpoint(features(docs, percent))
     key = ["n_shingles", "f1", "f2"]
-    named = feats.filter("doc_id is not null").select("doc_id", *key)
-    classes = named.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
+    named = feats.filter("doc_id is not null and n_shingles > 0").select("doc_id", *key, "odd", "spare0", "spare1")
+    classes = named.groupBy(*key).agg(F.min("doc_id").alias("rep"))
     classed = named.join(classes, key)
-    # an id of several different sets has no order of its own parts, so it keeps them all
-    several = F.count("*").over(Window.partitionBy("rep")) > 1
-    first = classes.select(*key, F.col("rep").alias("doc_id"), several.alias("several"))
-    reps = feats.join(first, ["doc_id", *key])
-    for spare in ("spare0", "spare1"):
-        reps = reps.withColumn(spare, F.when(F.col("several"), 0).otherwise(F.col(spare)))
-    links = jaccard_links(docs, reps, percent)
+    # an id of several sets has no order of its own parts, so it keeps them all
+    several = (F.min("f1") != F.max("f1")) | (F.min("f2") != F.max("f2"))
+    ids = named.groupBy("doc_id").agg(several.alias("several"), *[F.max(c).alias(c) for c in ("odd", "spare0", "spare1")])
+    reps = checkpoint(ids.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+                      .select("doc_id", "odd", *[F.when(F.col("several"), 0).otherwise(F.col(c)).alias(c) for c in ("spare0", "spare1")]))
+    links = jaccard_links(docs, feats, reps, percent)
     # rows with one id but different sets are one document: they tie their classes
     same = classed.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links.unionByName(same), "a", "b")
