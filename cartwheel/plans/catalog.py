@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.jsonfmt import map_as_text, to_json_row
 from ..operators import cdc, keywords, logsplit, routing, stats, visits, wide
 from ..operators.joins import lookup
+from ..session import ensure_checkpoint_dir
+from ..sinks import dimstore
 from ..sinks.writers import upsert_dim
 from ..sources import driver
 from ..sources.driver import SCALE
@@ -384,6 +386,32 @@ def dim_latest_version(spark, sf):
                   "order_id", {"order_status": "order_status"})
 
 
+def _stored_status_dim(i: Inputs) -> str:
+    """The statuses as a stored dimension: a first batch, then the routed changes as the next one."""
+    spark = i.spark
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/dim_order_status"
+    base = i.order_info.select(F.col("id").cast("string").alias("id"), "order_status")
+    routed = routing.route_dim(i.changes, i.config)
+    dimstore.drop(spark, path)
+    dimstore.create(spark, path, base.schema, "id")
+    dimstore.upsert(spark, path, base, 0)
+    dimstore.upsert(spark, path, routed.select(F.col("after")["id"].alias("id"), F.col("after")["order_status"].alias("order_status"), "version"),
+                    1, "version")
+    return path
+
+
+@query("dim_store")
+def dim_store(spark, sf):
+    return dimstore.read(spark, _stored_status_dim(Inputs(spark, sf)))
+
+
+@query("dim_key_read")
+def dim_key_read(spark, sf):
+    """The row of one key, the greatest."""
+    path = _stored_status_dim(Inputs(spark, sf))
+    return dimstore.read_key(spark, path, dimstore.read(spark, path).agg(F.max("id")).first()[0])
+
+
 @query("dim_point_lookup")
 def dim_point_lookup(spark, sf):
     i = Inputs(spark, sf)

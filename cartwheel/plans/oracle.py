@@ -461,6 +461,9 @@ SQL: dict[str, str] = {
         SELECT c.* FROM changes c WHERE c.type IS DISTINCT FROM 'delete' AND NOT EXISTS (
           SELECT 1 FROM config g WHERE g.sourceTable = c.tableName AND g.operateType = c.type)"""),
     "dim_upsert": _with(("status_dim",), "SELECT id, order_status FROM status_dim"),
+    "dim_store": _with(("status_dim",), "SELECT id, order_status FROM status_dim"),
+    "dim_key_read": _with(("status_dim",), """
+        SELECT id, order_status FROM status_dim WHERE id = (SELECT max(id) FROM status_dim)"""),
     "dim_latest_version": _with(("status_dim",), """
         SELECT l.l_orderkey * 10 + l.l_linenumber AS detail_id, l.l_orderkey AS order_id, l.l_partkey AS sku_id,
                s.order_status FROM lineitem l LEFT JOIN status_dim s ON CAST(l.l_orderkey AS VARCHAR) = s.id"""),

@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.jsonfmt import to_json_row
+from . import dimstore
 
 
 # ---------------------------------------------------------------- topics
@@ -46,19 +46,16 @@ def write_topic_folder(df: DataFrame, path: str, batch_id: int | str = "batch",
 # ------------------------------------------------------------ dimensions
 
 def upsert_dim(existing: DataFrame, changes: DataFrame, pk: str = "id", version: str | None = None) -> DataFrame:
-    """K3: dimension rows after applying a batch of upserts.
+    """K3: dimension rows after applying a batch of upserts, as frames.
 
     ``changes`` hold the new column values (typed, NULL stays NULL, Q19); the
     latest change per key wins (``version``, unique per key; without one, the
     greatest by a hash of its values, so a repeated run picks the same), then a
-    full outer join keeps untouched rows and replaces changed ones.
+    full outer join keeps untouched rows and replaces changed ones.  A stored
+    table takes ``upsert_dim_table``, which writes only what changed.
     """
     cols = existing.columns
-    ch = changes.select(*[c for c in cols if c in changes.columns], *([version] if version else []))
-    if version is None:
-        ch, version = ch.distinct().withColumn("_version", F.xxhash64(*ch.columns)), "_version"
-    last = ch.groupBy(F.col(pk).alias("_pk")).agg(F.max(version).alias("_last"))
-    ch = ch.join(last, (F.col(pk) == F.col("_pk")) & (F.col(version) == F.col("_last")), "left_semi").drop(version)
+    ch = dimstore.last_changes(changes.select(*[c for c in cols if c in changes.columns], *([version] if version else [])), pk, version)
     e = existing.select(pk, *[F.col(c).alias(f"_o_{c}") for c in cols if c != pk])
     n = ch.select(pk, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_n_{c}") for c in ch.columns if c != pk])
     j = e.join(n, pk, "full")
@@ -73,56 +70,34 @@ def upsert_dim(existing: DataFrame, changes: DataFrame, pk: str = "id", version:
     return j.select(*out)
 
 
-def write_dim(df: DataFrame, path: str, version: int) -> None:
-    """K3: a new version of a dimension in a folder of its own, then the switch.
-
-    The version is listed only after its folder is complete, so a reader sees
-    the old one or the new one, and a run that fails half-way, or reads the
-    table it replaces, loses nothing."""
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
-    df.sparkSession.createDataFrame([(version,)], "version long").write.mode("append").parquet(f"{path}/versions")
-
-
-def dim_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """The last listed version (below ``before``), or None."""
-    listed = spark.read.schema("version long").parquet(f"{path}/versions")
-    if before is not None:
-        listed = listed.filter(F.col("version") < before)
-    return listed.agg(F.max("version")).first()[0]
-
-
 def read_dim(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The dimension as of its last version (below ``before``)."""
-    return spark.read.parquet(f"{path}/version={dim_version(spark, path, before)}")
+    """The dimension as of its last version, or the last one below ``before``.
 
+    Version 0 is the empty table, batch ``n`` makes version ``n + 1``."""
+    pk, extend = dimstore.properties(spark, path)
+    dim = dimstore.read(spark, path, None if before is None else before - 1)
+    return dim.select(*[F.col(c).alias(c, metadata={"pk": True, "extend": extend}) if c == pk else F.col(c) for c in dim.columns])
 
-def ensure_dim_table(spark: SparkSession, path: str, sink_columns: str, sink_pk: str | None = None, extend: str | None = None) -> None:
-    """K4: version 0 of a dimension, empty, if there is none.
 
-    Key and table properties are kept as metadata of the key column, which
-    Parquet stores with the schema (``dim_properties``)."""
+def ensure_dim_table(spark: SparkSession, path: str, sink_columns: str, sink_pk: str | None = None, extend: str | None = None) -> None:
+    """K4: an empty dimension of text columns, if there is none, with its key and table properties (``dim_properties``)."""
     from ..operators.routing import dim_schema
     schema, pk = dim_schema(sink_columns, sink_pk)
-    fields = [T.StructField(f.name, f.dataType, True, {"pk": True, "extend": extend or ""} if f.name == pk else {}) for f in schema]
-    spark.createDataFrame([], T.StructType(fields)).write.mode("ignore").parquet(f"{path}/version=0")
-    spark.createDataFrame([(0,)], "version long").write.mode("ignore").parquet(f"{path}/versions")
+    dimstore.create(spark, path, schema, pk, extend or "")
 
 
 def dim_properties(dim: DataFrame) -> tuple[str | None, str]:
-    """Key column and table properties of a dimension made by ``ensure_dim_table``."""
+    """Key column and table properties of a dimension read by ``read_dim``."""
     for f in dim.schema:
         if f.metadata.get("pk"):
             return f.name, f.metadata.get("extend", "")
     return None, ""
 
 
-def upsert_dim_table(spark: SparkSession, path: str, changes: DataFrame, batch_id: int, pk: str = "id", version: str | None = None) -> None:
-    """K3 as a table: the batch applied to the version before it gives version
-    ``batch_id + 1``; a replay starts from the same version again."""
-    base = read_dim(spark, path, before=batch_id + 1)
-    merged = upsert_dim(base, changes, pk, version)
-    kept = [F.col(f.name).alias(f.name, metadata=f.metadata) if f.metadata else F.col(f.name) for f in base.schema]
-    write_dim(merged.select(*kept), path, batch_id + 1)
+def upsert_dim_table(spark: SparkSession, path: str, changes: DataFrame, batch_id: int, version: str | None = None,
+                     sets: str | None = None) -> bool:
+    """K3 as a table: what a batch writes follows the batch, not the table (``dimstore``); a replay replaces itself."""
+    return dimstore.upsert(spark, path, changes, batch_id, version, sets)
 
 
 # ---------------------------------------------------------------- tables

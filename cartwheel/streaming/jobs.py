@@ -146,8 +146,8 @@ def log_split_job(raw: DataFrame, out: str, name: str = "log_split", **how):
 def routing_job(changes: DataFrame, rules: Callable[[], DataFrame], out: str, dims: str, name: str = "routing",
                 pk: str = "id", version: str | None = "version", **how):
     """Routing (J3, P4, P9-P11, K2-K4): facts to topic folders, dimensions to
-    versioned tables, rows without a rule to dead letters.  ``rules`` is read
-    again for every batch."""
+    stored tables, rows without a rule to dead letters.  ``rules`` is read
+    again for every batch; a table without rows in the batch is not touched."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, batch = batch.sparkSession, batch.persist()
         try:
@@ -155,12 +155,17 @@ def routing_job(changes: DataFrame, rules: Callable[[], DataFrame], out: str, di
             writers.write_topic_folder(routing.route_fact(batch, current).select("sinkTable", "after"), f"{out}/facts", batch_id)
             writers.write_batch(routing.unmatched(batch, current), f"{out}/unmatched", batch_id)
             routed = routing.route_dim(batch, current)
-            for rule in current.filter(F.col("sinkType") == routing.SINK_HBASE).collect():  # a rule is a table: few by nature
-                path = f"{dims}/{rule.sinkTable}"
-                writers.ensure_dim_table(spark, path, rule.sinkColumns, rule.sinkPk, rule.sinkExtend)
-                rows = routed.filter(F.col("sinkTable") == rule.sinkTable).select(
-                    *[F.col("after")[c].alias(c) for c in rule.sinkColumns.split(",")], *([version] if version else []))
-                writers.upsert_dim_table(spark, path, rows, batch_id, rule.sinkPk or pk, version)
+            touched = {r.sinkTable for r in routed.select("sinkTable").distinct().collect()}
+            tables: dict[str, list] = {}
+            for rule in current.filter(F.col("sinkType") == routing.SINK_HBASE).collect():  # few by nature
+                tables.setdefault(rule.sinkTable, []).append(rule)
+            for table, of in tables.items():  # rules of several sources or kinds of change can feed one table
+                columns = list(dict.fromkeys(c for r in of for c in r.sinkColumns.split(",")))
+                writers.ensure_dim_table(spark, f"{dims}/{table}", ",".join(columns), of[0].sinkPk or pk, of[0].sinkExtend)
+                if table in touched:
+                    rows = routed.filter(F.col("sinkTable") == table).select(
+                        *[F.col("after")[c].alias(c) for c in columns], F.map_keys("after").alias("_sets"), *([version] if version else []))
+                    writers.upsert_dim_table(spark, f"{dims}/{table}", rows, batch_id, version, "_sets" if version and len(of) > 1 else None)
         finally:
             batch.unpersist()
 

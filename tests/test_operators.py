@@ -118,7 +118,7 @@ def test_writers_replay_without_duplicates(spark, tmp):
     writers.ensure_dim_table(spark, f"{tmp}/dim", "id,name", None, "other")
     one = spark.createDataFrame([("1", "a", 1), ("1", "b", 2), ("2", "c", 1)], "id string, name string, v int")
     for batch, rows in ((0, one), (1, one.filter("id = 2").withColumn("name", F.lit("z"))), (1, one.filter("id = 2").withColumn("name", F.lit("w")))):
-        writers.upsert_dim_table(spark, f"{tmp}/dim", rows, batch, "id", "v")
+        writers.upsert_dim_table(spark, f"{tmp}/dim", rows, batch, "v")
     dim = writers.read_dim(spark, f"{tmp}/dim")
     assert sorted(map(tuple, dim.collect())) == [("1", "b"), ("2", "w")]
     assert writers.dim_properties(dim) == ("id", " SALT = 3")
