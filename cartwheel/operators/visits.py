@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.timefmt import ms_to_day
@@ -80,7 +81,7 @@ def unique_visit_strict(page: DataFrame, key: str = "mid", ts: str = "ts", seq:
     bucket, found over one summary row per bucket.
     """
     cols = page.columns
-    e = (page.filter(is_entry())
+    e = (page.filter(is_entry() & F.col(key).isNotNull())
              .withColumn("_day", ms_to_day(ts, tz))
              .withColumn("_b", F.floor(F.col(seq) / F.lit(bucket_rows))))
     w = Window.partitionBy(key, "_b").orderBy(seq)
@@ -130,6 +131,46 @@ def followed_by(df: DataFrame, first, following, within_ms: int, key: str = "mid
             .filter(F.col("kind").isNotNull()).select(*df.columns, "kind"))
 
 
+PATTERN_COLUMNS = T.StructType([T.StructField("kind", T.StringType()), T.StructField("matched", T.IntegerType()),
+                                T.StructField("last_ts", T.LongType())])
+
+
+def pattern(df: DataFrame, steps: list[Column], within_ms: int, key: str = "mid", ts: str = "ts", seq: str = "seq") -> DataFrame:
+    """X8 with any number of steps: ``begin(a).next(b).next(c)....within(within_ms)`` per key, batch form.
+
+    For each row that meets the first condition (a boolean Column over a row),
+    the key's next rows have to meet the others one by one, each less than
+    ``within_ms`` after the first.  ``kind`` is ``'match'``, or ``'timeout'``
+    where the time ran out while all rows so far fit; a row that breaks the
+    pattern gives nothing.  ``matched`` counts the conditions met and
+    ``last_ts`` is the time of the last row that met one.  Rows without a key
+    belong to no sequence.
+
+    Rows are ordered in (key, ``within_ms``-wide bucket) partitions; each row
+    also follows, by its time and conditions alone, in the bucket before its
+    own, so a hot key is spread over its buckets."""
+    n = len(steps)
+    d = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(seq).alias("_seq"), F.floor(F.col(ts) / F.lit(within_ms)).alias("_b"),
+        F.array(*[F.coalesce(s, F.lit(False)) for s in steps]).alias("_met"), F.struct(*df.columns).alias("_row"))
+    here = F.struct(F.col("_b").alias("at"), F.when(F.col("_met")[0], F.col("_row")).alias("row"))
+    before = F.struct((F.col("_b") - 1).alias("at"), F.when(F.lit(False), F.col("_row")).alias("row"))
+    d = d.select("_key", "_ts", "_seq", "_met", F.explode(F.array(here, before)).alias("_p")).select("_key", "_ts", "_seq", "_met", "_p.*")
+    w = Window.partitionBy("_key", "at").orderBy("_ts", "_seq")
+    ahead = d.select("row", F.col("_ts").alias("_t0"), *[F.lead(F.struct("_ts", "_met"), k).over(w).alias(f"_n{k}") for k in range(1, n)])
+
+    def outcome(kind: str, matched: int):
+        last = F.col("_t0") if matched == 1 else F.col(f"_n{matched - 1}")["_ts"]
+        return F.struct(F.lit(kind).alias("kind"), F.lit(matched).alias("matched"), last.alias("last_ts"))
+
+    result = outcome("match", n)
+    for k in range(n - 1, 0, -1):
+        row = F.col(f"_n{k}")
+        result = (F.when(row.isNull() | (row["_ts"] - F.col("_t0") >= within_ms), outcome("timeout", k))
+                  .when(row["_met"][k], result))
+    return ahead.filter(F.col("row").isNotNull()).withColumn("_o", result).filter(F.col("_o").isNotNull()).select("row.*", "_o.*")
+
+
 def user_jump(page: DataFrame, within_ms: int, key: str = "mid", ts: str = "ts", seq: str = "seq") -> DataFrame:
     """T3 bounce, batch form, with a ``kind`` column (U3 union of both outputs):
     an entry page (``last_page_id`` NULL) directly followed by another entry

@@ -173,9 +173,7 @@ def routing_job(changes: DataFrame, rules: Callable[[], DataFrame], out: str, di
 
 
 def unique_visit_job(page: DataFrame, out: str, ttl_ms: int | None = 86_400_000, name: str = "unique_visit", **how):
-    """T2 with T5.  With a time to live Spark checks the clock in batch after
-    batch, so such a query runs until it is stopped; an ``availableNow`` run
-    takes ``ttl_ms=None``."""
+    """T2 with T5: the state store forgets a day ``ttl_ms`` after it was written."""
     return run(state.unique_visit_stream(page, ttl_ms), _to_folder(out), name, **how)
 
 

@@ -1,28 +1,32 @@
 """Per-device state machines for streams.
 
-``OVER`` windows are rejected on streams, so the sequence operators become
-``groupBy(device).applyInPandasWithState``: Spark hash-partitions devices over
-tasks and keeps one small state per device in the state store (RocksDB when
-configured), checkpointed with the query.  Rows of a device inside one
-micro-batch arrive unordered and are sorted by (ts, seq) first.  Each state
-holds a flag, a day, or the device's still-undecided rows - never its history.
+``OVER`` windows are rejected on streams, so the sequence operators keep state
+by device: Spark hash-partitions devices over tasks and keeps one small state
+per device in the state store (RocksDB, which time to live and timers need),
+checkpointed with the query.  Rows of a device inside one micro-batch arrive
+unordered and are sorted by (ts, seq) first.  Each state holds a flag, a day,
+or the device's still-undecided rows - never its history.  Rows without a
+device belong to no sequence.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as dt
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..session import ship_package
+from .pattern import pattern_stream
 
 PAGE_SCHEMA = ("mid string, ar string, ch string, vc string, is_new string, page_id string, "
                "last_page_id string, item string, item_type string, during_time bigint, ts bigint, seq bigint")
 PAGE_COLS = [c.split()[0] for c in PAGE_SCHEMA.split(", ")]
+_DAY_ZERO = dt.datetime(1970, 1, 1)
 
 
 def _sorted(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -34,19 +38,29 @@ def _sorted(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 # ------------------------------------------------------------------ T1
 
-def _repair_fn(key, pdfs, state):
+def _repaired(pdf: pd.DataFrame, state) -> pd.DataFrame:
+    """Only the first flag of the device stays '1'; the state says whether there was one."""
     seen = state.exists and state.get[0] == "1"
+    flag = pdf["is_new"].to_numpy(dtype=object).copy()
+    for i, (mid, v) in enumerate(zip(pdf["mid"], flag)):
+        if mid is not None and v == "1":
+            if seen:
+                flag[i] = "0"
+            seen = True
+    if seen:
+        state.update(("1",))
+    return pdf.assign(is_new=flag)
+
+
+def _device(spread_by: Column) -> Column:
+    """The key of a row's state; rows without a device get keys of their own, by a hash, and pass unchanged."""
+    return F.coalesce(F.concat(F.lit("d"), F.col("mid")), F.concat(F.lit("-"), F.pmod(F.xxhash64(spread_by), F.lit(1024)).cast("string")))
+
+
+def _repair_fn(key, pdfs, state):
     pdf = _sorted(pdfs)
     if len(pdf):
-        flag = pdf["is_new"].to_numpy(dtype=object).copy()
-        for i, v in enumerate(flag):
-            if v == "1":
-                if seen:
-                    flag[i] = "0"
-                seen = True
-        pdf = pdf.assign(is_new=flag)
-        if seen:
-            state.update(("1",))
+        pdf = _repaired(pdf, state)
     yield pdf[PAGE_COLS]
 
 
@@ -54,7 +68,7 @@ def repair_new_visitor_stream(page: DataFrame) -> DataFrame:
     """T1 on a stream: the state is one flag per device (never expires, as in
     the reference)."""
     ship_package(page.sparkSession)
-    return page.groupBy("mid").applyInPandasWithState(
+    return page.withColumn("device", _device(F.col("seq"))).groupBy("device").applyInPandasWithState(
         _repair_fn, PAGE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
 
 
@@ -62,124 +76,87 @@ LINE_SCHEMA = "value string, mid string, is_new string, ts bigint"
 
 
 def _repair_lines_fn(key, pdfs, state):
-    seen = state.exists and state.get[0] == "1"
     frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True).sort_values("ts", kind="stable")
-    flag = pdf["is_new"].to_numpy(dtype=object).copy()
-    for i, (mid, v) in enumerate(zip(pdf["mid"], flag)):
-        if mid is not None and v == "1":
-            if seen:
-                flag[i] = "0"
-            seen = True
-    if seen:
-        state.update(("1",))
-    yield pdf.assign(is_new=flag)[["value", "mid", "is_new", "ts"]]
+    if frames:
+        pdf = pd.concat(frames, ignore_index=True).sort_values(["ts", "pos"], kind="stable")
+        yield _repaired(pdf, state)[["value", "mid", "is_new", "ts"]]
 
 
 def repair_lines_stream(lines: DataFrame) -> DataFrame:
     """T1 on raw lines (``value``, ``mid``, ``is_new``, ``ts``), for the log split.
 
-    Lines without a device (broken ones too) are spread over keys of their own
-    and pass unchanged."""
+    Lines of a batch with equal times are in the order of ``pos``, a number that
+    rises along a file; without the column Spark numbers the lines of the batch."""
     ship_package(lines.sparkSession)
-    device = F.coalesce(F.concat(F.lit("d"), F.col("mid")), F.concat(F.lit("-"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string")))
-    return lines.withColumn("device", device).groupBy("device").applyInPandasWithState(
+    if "pos" not in lines.columns:
+        lines = lines.withColumn("pos", F.monotonically_increasing_id())
+    return lines.withColumn("device", _device(F.col("value"))).groupBy("device").applyInPandasWithState(
         _repair_lines_fn, LINE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
 
 
 # ------------------------------------------------------------------ T2 (+ T5)
 
-def _make_uv_fn(ttl_ms: int | None):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        day, until = state.get if state.exists else (None, None)
-        now = state.getCurrentProcessingTimeMs() if ttl_ms else 0
-        if until is not None and now >= until:
-            day = until = None  # expired, though its time-out has not fired yet
-        pdf = _sorted(pdfs)
-        if len(pdf):
-            entry = pdf["last_page_id"].isna() | (pdf["last_page_id"] == "")
-            days = pd.to_datetime(pdf["ts"], unit="ms", utc=True).dt.strftime("%Y-%m-%d").to_numpy()
-            keep = []
-            for i, is_e in enumerate(entry.to_numpy()):
-                if is_e and days[i] != day:
-                    day = days[i]
-                    keep.append(i)
-            out = pdf.iloc[keep]
-            if keep:
-                until = now + ttl_ms if ttl_ms else None
-                state.update((day, until))
-            if ttl_ms and until is not None:
-                # T5: the time to live counts from the write of the day; rows
-                # that write nothing get the rest of it
-                state.setTimeoutDuration(max(1, until - now))
-            yield out[PAGE_COLS]
-    return fn
+class UniqueVisitProcessor(StatefulProcessor):
+    """The day of a device's last visit and when to forget it, with a timer of the state store for that moment."""
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.day = handle.getValueState("day", "day string, until bigint")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rows = sorted(rows, key=lambda r: (r["ts"], r["seq"]))
+        now = rows[0]["_clock_ms"]
+        day, until = self.day.get() if self.day.exists() else (None, None)
+        found = day if until is None or now < until else None  # expired, though its timer has not fired yet
+        visit = False
+        for r in rows:
+            if not r["last_page_id"]:
+                own = (_DAY_ZERO + dt.timedelta(milliseconds=r["ts"])).strftime("%Y-%m-%d")
+                if own != found:
+                    found, visit = own, True
+                    yield Row(*PAGE_COLS)(*[r[c] for c in PAGE_COLS])
+        if visit:
+            if until is not None:
+                self.handle.deleteTimer(until)
+            until = now + self.ttl_ms if self.ttl_ms else None
+            self.day.update((found, until))
+            if until is not None:
+                self.handle.registerTimer(until)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.day.exists() and self.day.get()[1] == expiredTimerInfo.getExpiryTimeInMs():
+            self.day.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def unique_visit_stream(page: DataFrame, ttl_ms: int | None = 86_400_000) -> DataFrame:
     """T2 on a stream: keep an entry page whose day differs from the device's
-    remembered day.  The day is forgotten ``ttl_ms`` of processing time after
-    it was written (the reference's one-day state TTL)."""
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+    remembered day.  The day is forgotten ``ttl_ms`` of processing time after it
+    was written (T5, the reference's one-day state TTL).
+
+    The clock is the time of the batch, as a column with a watermark, so that
+    timers of the state store remove expired days, and a run over what is
+    available ends.  (In processing-time mode, which Spark's own TTL needs, it
+    starts batch after batch and does not.)  Rows without a device or a time
+    are no visits."""
     ship_package(page.sparkSession)
-    return page.groupBy("mid").applyInPandasWithState(
-        _make_uv_fn(ttl_ms), PAGE_SCHEMA, "day string, until bigint", "append", timeout)
+    rows = page.filter(F.col("mid").isNotNull() & F.col("ts").isNotNull()).select(*PAGE_COLS)
+    rows = (rows.withColumn("_clock", F.current_timestamp()).withColumn("_clock_ms", F.unix_millis("_clock"))
+            .withWatermark("_clock", "0 seconds"))
+    return rows.groupBy("mid").transformWithState(UniqueVisitProcessor(ttl_ms), PAGE_SCHEMA, "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ T3
 
-def _make_jump_fn(within_ms: int):
-    def fn(key, pdfs, state):
-        buf = pd.DataFrame(json.loads(state.get[0]), columns=PAGE_COLS) if state.exists else None
-        if buf is not None:
-            buf = buf.astype({"ts": "int64", "seq": "int64"})
-        new = _sorted(pdfs)
-        frames = [f for f in (buf, new) if f is not None and len(f)]
-        if not frames:
-            state.remove()
-            return
-        rows = pd.concat([f[PAGE_COLS] for f in frames], ignore_index=True).sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-        wm = state.getCurrentWatermarkMs()
-        ts = rows["ts"].to_numpy()
-        entry = rows["last_page_id"].isna().to_numpy()
-        kinds, first_open = [], None
-        for i in range(len(rows)):
-            if not entry[i]:
-                continue
-            nxt = i + 1 if i + 1 < len(rows) else None
-            if nxt is not None and ts[nxt] <= wm:
-                # the next row is settled: nothing can arrive between the two
-                kinds.append((i, "timeout" if ts[nxt] - ts[i] >= within_ms else ("match" if entry[nxt] else None)))
-            elif ts[i] + within_ms <= wm and (nxt is None or ts[nxt] - ts[i] >= within_ms):
-                kinds.append((i, "timeout"))
-            else:
-                first_open = i if first_open is None else first_open
-                break
-        done = [(i, k) for i, k in kinds if k is not None]
-        if first_open is None:
-            state.remove()
-        else:
-            rest = rows.iloc[first_open:][PAGE_COLS]
-            state.update((rest.to_json(orient="values"),))
-            state.setTimeoutTimestamp(max(int(ts[first_open]) + within_ms, wm + 1))
-        if done:
-            out = rows.iloc[[i for i, _ in done]].assign(kind=[k for _, k in done])
-            yield out[PAGE_COLS + ["kind"]]
-    return fn
-
-
 def user_jump_stream(page: DataFrame, within_ms: int) -> DataFrame:
-    """T3 on a stream (CEP ``begin.next.within``): rows are buffered per
-    device until the watermark settles them; an entry page is then a match
-    (next settled row is an entry within ``within_ms``), a time-out (no row
-    within ``within_ms``) or nothing.  ``page`` must carry a watermark on an
-    event-time column (``with_event_time``)."""
-    ship_package(page.sparkSession)
-    return page.groupBy("mid").applyInPandasWithState(
-        _make_jump_fn(within_ms), PAGE_SCHEMA + ", kind string", "buf string", "append",
-        GroupStateTimeout.EventTimeTimeout)
+    """T3 on a stream: the pattern entry page, entry page (``pattern_stream``), with both outputs.
+
+    ``page`` carries a watermark on an event-time column (``with_event_time``)."""
+    entry = F.col("last_page_id").isNull()
+    return pattern_stream(page, [entry, entry], within_ms).select(*PAGE_COLS, "kind")

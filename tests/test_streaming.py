@@ -70,6 +70,23 @@ def test_unique_visit_stream_equals_batch(spark, tmp):
     assert got == batch
 
 
+def test_rows_without_a_device(spark, tmp):
+    """They are no visit and no bounce, keep their flag, and do not meet in one state, as in batch."""
+    rows = [(None, 1_000_000, None, "1"), ("m", 1_001_000, None, "1"), (None, 1_002_000, None, "1"), ("m", 1_003_000, None, "1"), ("z", 1_090_000, "x"), ("z", 1_200_000, "x")]
+    page = page_df(spark, rows)
+    key = lambda r: (r.mid or "", r.ts)
+    jobs.to_memory(state.unique_visit_stream(_replay(spark, tmp, rows, 3), ttl_ms=None), "nd_uv", os.path.join(tmp, "c1"))
+    for batch in (visits.unique_visit(page), visits.unique_visit_strict(page)):
+        assert sorted(map(key, spark.table("nd_uv").collect())) == sorted(map(key, batch.collect())) == [("m", 1_001_000)]
+    s = jobs.with_event_time(_replay(spark, tmp, rows, 3, "in2"))
+    jobs.to_memory(state.user_jump_stream(s, 10_000), "nd_uj", os.path.join(tmp, "c2"))
+    got = sorted((*key(r), r.kind) for r in spark.table("nd_uj").collect())
+    assert got == sorted((*key(r), r.kind) for r in visits.user_jump(page, 10_000).collect()) and {g[0] for g in got} == {"m"}
+    jobs.to_memory(state.repair_new_visitor_stream(_replay(spark, tmp, rows, 3, "in3")), "nd_rep", os.path.join(tmp, "c3"))
+    want = logsplit.repair_new_visitor(page, "mid", "is_new", "ts", "seq")
+    assert sorted((*key(r), r.is_new) for r in spark.table("nd_rep").collect()) == sorted((*key(r), r.is_new) for r in want.collect())
+
+
 def _stream(spark, tmp, name, df, n_files=3):
     """``df`` (ordered) replayed as ``n_files`` files, one per trigger."""
     path = os.path.join(tmp, name)
@@ -213,30 +230,26 @@ def test_routing_job_reads_rules_again(spark, tmp):
     assert [tuple(r) for r in writers.read_dim(spark, f"{tmp}/dims/dim_t").collect()] == [("5", "b")]
 
 
-def test_state_time_to_live(monkeypatch):
-    """T5: the day is forgotten a fixed time after it was written, whatever comes in between."""
-    import pandas as pd
-
-    class State:
-        exists, hasTimedOut, get, now, left = False, False, None, 0, None
-        def update(self, x): self.exists, self.get = True, x
-        def remove(self): self.exists, self.get = False, None
-        def getCurrentProcessingTimeMs(self): return self.now
-        def setTimeoutDuration(self, ms): self.left = ms
-
-    fn, st = state._make_uv_fn(1000), State()
-
-    def step(now, last):
-        st.now = now
-        rows = pd.DataFrame([("m", "0", "0", "0", "0", "p", last, "1", "s", 1, 5, now)], columns=state.PAGE_COLS)
-        return sum(len(x) for x in fn(("m",), iter([rows]), st))
-
-    assert step(0, None) == 1 and st.left == 1000
-    assert step(400, "x") == 0 and st.left == 600     # a row that writes nothing does not prolong it
-    assert step(900, None) == 0 and st.left == 100
-    assert step(1000, None) == 1 and st.left == 1000  # expired: the same day counts again
-    st.hasTimedOut = True
-    assert list(fn(("m",), iter([]), st)) == [] and not st.exists
+def test_state_time_to_live(spark, tmp):
+    """T5: the state store forgets the day a fixed time after it was written; a restart keeps it until then."""
+    import time
+    src, n = os.path.join(tmp, "in"), 0
+
+    def run(ttl):
+        nonlocal n
+        row = page_rows([("m", 1000 + n, None)])
+        spark.createDataFrame(row, PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        n += 1
+        out = os.path.join(tmp, f"out{ttl}")
+        q = jobs.unique_visit_job(jobs.parquet_stream(spark, src, PAGE_SCHEMA), out, ttl_ms=ttl, name=f"ttl{ttl}{n}",
+                                  trigger={"availableNow": True}, checkpoint=os.path.join(tmp, f"ck{ttl}"))
+        assert q.awaitTermination(120)  # such a query ends by itself
+        return spark.read.schema(PAGE_SCHEMA).parquet(out).count()
+
+    assert [run(3_600_000), run(3_600_000), run(3_600_000)] == [1, 1, 1]  # each run is a restart
+    first = run(3_000)
+    time.sleep(3.5)
+    assert run(3_000) == first + 1  # the same day counts again
 
 
 def test_sql_view_console_and_daily_logs(spark, tmp):
