@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +40,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as a Parquet table in the shared folder, removed at the end of the block.
+
+    What is derived from it has to be computed, and cut from it, inside the block."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def steps(batch: pa.RecordBatch, text: str = "text", most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with at most ``most`` bytes of text, one row at least."""
     if not batch.num_rows:

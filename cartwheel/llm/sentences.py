@@ -1,21 +1,28 @@
 """Substring deduplication by sliding sentence spans.
 
-Every run of SPAN consecutive sentences with MIN_WORDS words or more is hashed
-and the hashes of all documents are joined.  Of equal spans the first, by
-document id and then position, stays; a sentence covered by any other one is
-removed, with the white space after it.
+From every sentence, forward and backward, the shortest run of SPAN sentences
+or more that has MIN_WORDS words is hashed, and the hashes of all documents are
+joined.  Of equal runs the first, by document id and then position, stays; a
+sentence covered by any other one is removed, with the white space after it.
+A stretch of whole sentences with MIN_WORDS words or more that repeats is
+thereby covered, whatever the length of its sentences: each of its sentences
+begins or ends a run inside it.  One long sentence alone, and the parts of
+sentences that a passage begins or ends inside, are ``passages``' work.
 
 A sentence ends at white space after ``.``, ``!`` or ``?``, or at a line end.
 Sentences are compared with every run of white space as one space.
 
-Scale: a span is 24 bytes in the shuffle, not its text.  Equal spans are
-reduced by a min-aggregate, which combines before the shuffle, and joined back
-by hash, where AQE can split a span that a third of all documents share.  Texts
-are shuffled once, by id, to meet the positions to remove.
+Scale: the runs of all texts are computed once and written to the shared
+folder, about a dozen bytes each, not their text.  Equal runs are reduced by a
+min-aggregate, which combines before the shuffle, and joined back by hash, where
+AQE can split a run that a third of all documents share.  Texts are shuffled
+once, by id, to meet the sentences to remove, which are few numbers a document.
 
 Cases: a null text stays null and an empty one empty; rows with equal ids are
-one document; a row without an id has no place in the order, so it stays as it
-is; an empty table gives an empty result; further columns are ignored.
+one document and not held against each other, and what is removed from a row
+is found by its id and text; a row without an id has no place in the order, so
+it stays as it is; an empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import map_arrow, table
+from .common import checkpoint, map_arrow, stored, table
 
 SPAN, MIN_WORDS = 2, 16
 _BREAK = re.compile(r"[.!?]\s+|\n\s*")
@@ -44,60 +51,70 @@ def sentence_starts(text: str) -> list[int]:
     return starts
 
 
-def span_hashes(text: str, span: int = SPAN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each long enough run of ``span`` sentences, and the number of its first sentence."""
+def shortest_runs(words: np.ndarray, span: int = SPAN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and end of the runs to compare, given the number of words of each sentence."""
+    n = len(words)
+    upto = np.concatenate(([0], np.cumsum(words)))
+    k = np.arange(n)
+    to = np.maximum(k + span, np.searchsorted(upto, upto[:-1] + min_words))
+    since = np.minimum(k + 1 - span, np.searchsorted(upto, upto[1:] - min_words, "right") - 1)
+    a, b = np.concatenate((k[to <= n], since[since >= 0])), np.concatenate((to[to <= n], k[since >= 0] + 1))
+    both = np.unique(a * (n + 1) + b)
+    return both // (n + 1), both % (n + 1)
+
+
+def run_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first sentence and number of sentences of every run of a text."""
     starts = sentence_starts(text)
-    none = np.empty(0, np.uint64), np.empty(0, np.int64)
-    if len(starts) < span:
-        return none
     parts = [text[a:b].split() for a, b in zip(starts, starts[1:] + [len(text)])]
-    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(p)) for p in parts], np.uint64)
-    upto = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    n = len(starts) - span + 1
-    at = np.flatnonzero(upto[span:] - upto[:-span] >= min_words)
-    if not len(at):
-        return none
-    return H.combine([hashes[k:n + k] for k in range(span)])[at], at
-
-
-def _spans(batch: pa.RecordBatch) -> pa.RecordBatch:
-    ids, hashes, places, again = [], [], [], []
-    for i, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):
-        if doc is None or not text:
+    a, b = shortest_runs(np.array([len(p) for p in parts], np.int64))
+    if not len(a):
+        return np.empty(0, np.uint64), a, b
+    hashes = H.mix(np.array([xxhash.xxh3_64_intdigest(" ".join(p)) for p in parts], np.uint64))
+    # sentence hashes as digits of a number in base BASE, modulo 2^64
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * H._powers(H.BASE, len(hashes)), dtype=np.uint64)))
+    value = (sums[b] - sums[a]) * H._powers(H._INVERSE, len(hashes))[a]
+    return H.combine([H.mix(value), (b - a).astype(np.uint64)]), a, b - a
+
+
+def _runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+    for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))):
+        if not text:
             continue
-        h, at = span_hashes(text)
+        h, at, n = run_hashes(text)
         first = np.zeros(len(h), bool)
         first[np.unique(h, return_index=True)[1]] = True
-        ids.append(np.full(len(h), doc))
-        hashes.append(h)
-        places.append(at)
-        again.append(~first)
+        for c, x in zip(columns, (h.view(np.int64), np.full(len(h), doc), np.full(len(h), row), at, n, ~first)):
+            c.append(x)
+    kinds = (np.int64, np.int64, np.int64, np.int32, np.int16, bool)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(k) if c else np.empty(0, k)) for c, k in zip(columns, kinds)],
+                                      names=["h", "doc_id", "row", "place", "n", "again"])
 
-    def joined(x: list, kind) -> np.ndarray:
-        return np.concatenate(x).astype(kind) if x else np.empty(0, kind)
 
-    return pa.RecordBatch.from_arrays(
-        [pa.array(joined(hashes, np.uint64).view(np.int64)), pa.array(joined(ids, np.int64)),
-         pa.array(joined(places, np.int32)), pa.array(joined(again, bool))], names=["h", "doc_id", "place", "again"])
+def _named(docs: DataFrame) -> DataFrame:
+    # rows of one id can differ, so a place is of a text
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("row", F.xxhash64("text"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``place`` (first sentence) of every span that is not the first of its kind."""
-    spans = map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), _spans,
-                      "h long, doc_id long, place int, again boolean")
-    first = (spans.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .filter("first < last").select("h", "first"))
-    across = spans.filter("not again").join(first, "h").filter("doc_id > first").select("doc_id", "place")
-    return across.unionByName(spans.filter("again").select("doc_id", "place"))
-
-
-def without(text: str, places: list[int], span: int = SPAN) -> tuple[str, int, int]:
-    """The text without the sentences of the spans at ``places``; how many there were and went."""
+    """``doc_id``, ``row``, ``places``: the sentences (first, number) of every run that is not the first of its kind."""
+    found = map_arrow(_named(docs).filter("doc_id is not null"), _runs, "h long, doc_id long, row long, place int, n short, again boolean")
+    with stored(found, "sentence-spans") as spans:
+        first = (spans.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                 .filter("first < last").select("h", "first"))
+        across = spans.filter("not again").join(first, "h").filter("doc_id > first").select("doc_id", "row", "place", "n")
+        again = spans.filter("again").select("doc_id", "row", "place", "n")
+        return checkpoint(across.unionByName(again).groupBy("doc_id", "row").agg(F.collect_set(F.struct("place", "n")).alias("places")))
+
+
+def without(text: str, places: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """The text without the sentences at ``places``; how many there were and went."""
     starts = sentence_starts(text)
     gone = np.zeros(len(starts) + 1, np.int64)
-    for p in set(places):
+    for p, n in set(places):
         gone[p] += 1
-        gone[min(p + span, len(starts))] -= 1
+        gone[p + n] -= 1
     gone = np.cumsum(gone)[:-1] > 0
     ends = starts[1:] + [len(text)]
     kept = "".join(text[a:b] for a, b, g in zip(starts, ends, gone.tolist()) if not g)
@@ -110,7 +127,7 @@ def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not places:
             out.append((text, len(sentence_starts(text or "")), 0))
         else:
-            out.append(without(text, places))
+            out.append(without(text, [(p["place"], p["n"]) for p in places]))
     return pa.RecordBatch.from_arrays(
         [batch.column("doc_id"), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int64()),
          pa.array([o[2] for o in out], pa.int64())], names=["doc_id", "text", "n_sentences", "n_removed"])
@@ -118,10 +135,8 @@ def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` without repeated passages, ``n_sentences``, ``n_removed`` of every row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    places = repeated_spans(docs).groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    return map_arrow(rows.join(places, "doc_id", "left").select("doc_id", "text", "places"), _remove,
-                     "doc_id long, text string, n_sentences long, n_removed long")
+    rows = _named(docs).join(repeated_spans(docs), ["doc_id", "row"], "left")
+    return map_arrow(rows.select("doc_id", "text", "places"), _remove, "doc_id long, text string, n_sentences long, n_removed long")
 
 
 def op10_sentence_spans(spark, sf_dir: str) -> DataFrame:
@@ -138,12 +153,22 @@ k AS (
   SELECT doc_id, k, part, trim(regexp_replace(part, '\s+', ' ', 'g')) AS key FROM p),
 c AS (
   SELECT *, CASE WHEN key = '' THEN 0 ELSE len(string_split(key, ' ')) END AS n FROM k),
+upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS u FROM c),
+ahead AS (
+  SELECT a.doc_id, a.k AS first, min(b.k) AS last FROM upto a JOIN upto b
+    ON a.doc_id = b.doc_id AND b.k > a.k AND b.u - a.u + a.n >= {MIN_WORDS} GROUP BY ALL),
+behind AS (
+  SELECT b.doc_id, max(a.k) AS first, b.k AS last FROM upto a JOIN upto b
+    ON a.doc_id = b.doc_id AND b.k > a.k AND b.u - a.u + a.n >= {MIN_WORDS} GROUP BY b.doc_id, b.k),
+run AS (SELECT * FROM ahead UNION SELECT * FROM behind),
 span AS (
-  SELECT a.doc_id, a.k, a.key AS key1, b.key AS key2,
-         row_number() OVER (PARTITION BY a.key, b.key ORDER BY a.doc_id, a.k) AS nth
-  FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k = a.k + 1 WHERE a.n + b.n >= {MIN_WORDS}),
+  SELECT r.doc_id, r.first, r.last, string_agg(c.key, chr(1) ORDER BY c.k) AS keys
+  FROM run r JOIN c ON c.doc_id = r.doc_id AND c.k BETWEEN r.first AND r.last GROUP BY ALL),
+again AS (
+  SELECT *, row_number() OVER (PARTITION BY keys ORDER BY doc_id, first) AS nth FROM span),
 gone AS (
-  SELECT DISTINCT doc_id, k + unnest([0, 1]) AS k FROM span WHERE nth > 1),
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS k FROM again WHERE nth > 1),
 kept AS (
   SELECT c.doc_id, string_agg(CASE WHEN g.k IS NULL THEN c.part ELSE '' END, '' ORDER BY c.k) AS text,
          count(*) AS n_sentences, count(g.k) AS n_removed

@@ -397,16 +397,26 @@ def test_mixing_odd_rows(odd, none):
 # ---- sentence spans
 
 def without_repeats(texts):
+    """The rule sentence by sentence: of every sentence the shortest runs forward and backward, the first of a kind stays."""
     seen, out = set(), {}
     for i, t in sorted(texts):
         starts = sorted({0, *(m.end() for m in re.finditer(r"[.!?]\s+|\n\s*", t) if m.end() < len(t))}) if t else []
         parts = [t[a:b] for a, b in zip(starts, starts[1:] + [len(t)])]
+        keys = [" ".join(p.split()) for p in parts]
+        words = [len(p.split()) for p in parts]
+        found = set()
+        for k in range(len(parts)):
+            for way in (range(k + 2, len(parts) + 1), range(k - 1, -1, -1)):
+                for x in way:
+                    a, b = (k, x) if x > k else (x, k + 1)
+                    if sum(words[a:b]) >= sentences.MIN_WORDS:
+                        found.add((a, b))
+                        break
         gone = set()
-        for k in range(len(parts) - 1):
-            pair = tuple(" ".join(p.split()) for p in parts[k:k + 2])
-            if sum(len(p.split()) for p in pair) >= sentences.MIN_WORDS:
-                gone |= {k, k + 1} if pair in seen else set()
-                seen.add(pair)
+        for a, b in sorted(found):
+            key = tuple(keys[a:b])
+            gone |= set(range(a, b)) if key in seen else set()
+            seen.add(key)
         out[i] = ("".join(p for k, p in enumerate(parts) if k not in gone), len(parts), len(gone))
     return out
 
@@ -429,7 +439,8 @@ def test_sentence_spans_passage(spark):
 def test_sentence_spans_odd_rows(odd, none):
     got = rows(sentences.remove_repeated_spans(odd))
     assert got[1][0].text is None and got[2][0].text == "" and got[2][0].n_sentences == 0
-    assert got[8][0].text == got[8][1].text == LONG  # rows of one id are one document; its sentences are too short
+    # rows of one id are one document, which repeats its own sentences of one word
+    assert got[8][0] == got[8][1] and (got[8][0].text, got[8][0].n_sentences, got[8][0].n_removed) == without_repeats([(8, LONG)])[8]
     assert {r.text for r in got[None]} == {COPY, None}
     assert sentences.remove_repeated_spans(none).count() == 0
 
@@ -440,6 +451,25 @@ def test_sentence_spans_within_a_document(spark):
     assert sorted(r.text for r in got) == sorted([part + "Between.\n", part])
 
 
+def test_sentence_spans_of_short_sentences(spark):
+    """Passages of lines of any length go; rows of one id keep what only the other repeats."""
+    lines = "\n".join(f"line {k} is short" for k in range(12)) + "\n"
+    other = " ".join(f"Another sentence {k} of a different text." for k in range(8))
+    texts = [(k, f"Own start {k} here. And more {k}.\n{lines}Own end {k}.") for k in range(5)] + [(3, other), (9, "New. " + other)]
+    got = sorted((r.doc_id, r.text) for r in sentences.remove_repeated_spans(frame(spark, texts)).collect())
+    want = sorted([(0, texts[0][1])] + [(k, f"Own start {k} here. And more {k}.\nOwn end {k}.") for k in range(1, 5)] + [(3, other), (9, "New. ")])
+    assert got == want
+
+
+def test_sentences_outside_of_runs(docs):
+    """Only texts of one sentence or fewer than MIN_WORDS words have sentences in no run."""
+    for t in docs.values():
+        n = len(sentences.sentence_starts(t))
+        _, at, size = sentences.run_hashes(t)
+        covered = {k for a, m in zip(at.tolist(), size.tolist()) for k in range(a, a + m)}
+        assert len(covered) == (n if n > 1 and len(t.split()) >= sentences.MIN_WORDS else 0)
+
+
 # ---- toxicity
 
 def test_toxicity_learns(spark):
