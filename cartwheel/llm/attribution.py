@@ -26,12 +26,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, table
 
 MODEL = "byte_bpe_50k.tiktoken"
+# the library's pattern needs stack for every white space of a run
+_LONG_RUN = regex.compile(r"\p{White_Space}{10000,}")
 
 
 class Encoder:
@@ -39,11 +42,21 @@ class Encoder:
         import tiktoken
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("sections", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.encoding = tiktoken.Encoding("sections", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.length = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.length[i] = len(token)
 
+    def encode(self, text: str) -> list[int]:
+        """The library's ids.  It takes long runs of white space as pieces of their own: all of a run but the last
+        character, which the pattern leaves to the word behind it."""
+        out, done = [], 0
+        for m in _LONG_RUN.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += self.encoding.encode_ordinary(text[done:m.start()]) + self.encoding._encode_single_piece(text[m.start():end])
+            done = end
+        return out + self.encoding.encode_ordinary(text[done:])
+
     def borders(self, text: str) -> np.ndarray:
         """Byte positions between the tokens of ``text``, both ends included."""
         return np.concatenate(([0], np.cumsum(self.length[self.encode(text)])))

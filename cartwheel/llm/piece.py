@@ -38,6 +38,7 @@ from .common import map_arrow, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 24              # segments up to so many characters are merged in a matrix
+LONG_SEGMENT = 64         # characters; longer segments are not remembered
 REMEMBERED = 500_000    # distinct segments in each of the two generations that a worker keeps
 STEP = 1 << 22          # bytes of text encoded together
 _NONE = -0x7FFFFFFF     # no symbol
@@ -300,16 +301,23 @@ class Memory:
     """segment -> its ids as text, for the segments met lately.
 
     ``odd`` has, of the same segments, those whose decoded text is not the
-    segment itself or whose ids the library corrected."""
+    segment itself or whose ids the library corrected.  A segment of more than
+    LONG_SEGMENT characters, such as a text without spaces, is forgotten with
+    the next ones, so memory is bounded in bytes."""
 
     def __init__(self, pieces: Pieces, limit: int = REMEMBERED):
         self.pieces, self.limit = pieces, limit
         self.young: dict[str, str] = {}
         self.old: dict[str, str] = {}
         self.odd: dict[str, tuple[str, bool]] = {}
+        self.long: list[str] = []
 
     def learn(self, segments: set[str]) -> dict[str, str]:
         """Ids of all ``segments``, new ones encoded."""
+        for s in self.long:
+            self.young.pop(s, None)
+            self.odd.pop(s, None)
+        self.long = [s for s in segments if len(s) > LONG_SEGMENT]
         if len(self.young) > self.limit:
             self.young, self.old = {}, self.young
             self.odd = {s: x for s, x in self.odd.items() if s in self.old}

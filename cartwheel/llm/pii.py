@@ -92,7 +92,7 @@ def base_spans(text: str, dropped: list[tuple[int, int]] | None = None) -> list[
             out.append((0, lo, m.end()))
             done = end = m.end()
         at = text.find("@", end)
-    out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         d = _digits(m[0])
         if 16 <= len(d) <= 19 and luhn(d):

@@ -236,6 +236,12 @@ def test_pii_patterns_on_random_text():
         pii.base_spans(t), pii.tokens(t)
 
 
+def test_pii_long_numbers():
+    """Thousands of digits in a part of an address, zeros or not."""
+    t = "0" * 5000 + ".1.2.3 and " + "9" * 5000 + ".1.2.3 and 1.2.3." + "0" * 5000 + "255"
+    assert [(k, a, b) for k, a, b in pii.base_spans(t) if k == 1] == [(1, 0, 5006), (1, 10022, 15031)]
+
+
 def test_pii_field_finds_neighbours(spark):
     card, other = "4111111111111111", "5500005555555559"
     texts = [(k, f"pay {card} now and ring +1 (800) 555-0{k:03d} today") for k in range(40)]
@@ -294,6 +300,17 @@ def test_sentencepiece_memory_is_bounded():
         assert len(m.young) <= 13 and len(m.old) <= 13
 
 
+def test_sentencepiece_forgets_long_segments():
+    """Texts without spaces are segments as long as they are; only the last step's are held."""
+    m = piece.Memory(piece.load(piece.MODEL), 10_000)
+    for k in range(400):
+        text = "".join(chr(0x4E00 + (k * 7919 + j * 31) % 20_000) for j in range(500))
+        known = m.learn(set(piece.segments_of(text + " kurz")))
+        assert all(s in known for s in piece.segments_of(text + " kurz"))
+    held = sum(len(s) + len(x) for d in (m.young, m.old) for s, x in d.items())
+    assert held < 20_000 and any("kurz" in s for s in m.young)
+
+
 def test_sentencepiece_odd_rows(odd, none):
     got = rows(piece.encode_digests(odd))
     assert all(got[i][0].n_tokens == 1 and got[i][0].ids_sha256 == sha("2") and got[i][0].decoded_sha256 == sha("") for i in (1, 2))
@@ -332,6 +349,16 @@ def test_section_tokens_rule_for_borders():
     assert counts.tolist() == [1, 2]
 
 
+def test_section_tokens_of_very_long_runs():
+    """What the library cannot take in one piece counts as in shorter texts, which it can."""
+    enc = attribution.load(attribution.MODEL)
+    for text in ("word" + " " * 30_000 + "next\n" + "\t " * 20_000, " " * 30_000, "\u3000" * 12_000 + "x", "a\x1c\x1c" * 9_000):
+        assert enc.encode(text) == enc.encoding.encode_ordinary(text)
+    for c in " a日":
+        assert enc.borders(c * 1_000_000)[-1] == len((c * 1_000_000).encode())
+    assert enc.borders("x" + "\n" * 1_000_000 + "y")[-1] == 1_000_002
+
+
 def test_section_tokens_odd_rows(spark, odd, none):
     got = rows(attribution.section_tokens(odd))
     assert [(r.section, r.start, r.end, r.n_tokens) for r in got[1] + got[2]] == [(0, 0, 0, 0)] * 2
