@@ -16,57 +16,64 @@ SINK_KAFKA, SINK_HBASE, SINK_CLICKHOUSE = "kafka", "hbase", "clickhouse"
 CONFIG_COLUMNS = ["sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk", "sinkExtend"]
 
 
-def latest_config(config: DataFrame, version: str | None = None) -> DataFrame:
-    """Last rule per (sourceTable, operateType).  ``version`` orders updates
-    of the config table; without it the config is taken as current."""
-    if version is None:
-        return config.select(*CONFIG_COLUMNS)
-    w = Window.partitionBy("sourceTable", "operateType").orderBy(F.col(version).desc())
-    return config.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*CONFIG_COLUMNS)
-
-
-def config_from_changes(changes: DataFrame, version: str = "version") -> DataFrame:
-    """Routing rules from change records of the config table; deleted rules are
-    removed (fixes Q17: a delete no longer leaves the old rule behind)."""
-    key = [F.coalesce(F.col("after")[c], F.col("before")[c]).alias(c) for c in ("sourceTable", "operateType")]
-    row = F.struct(F.col("type"), F.col("after"))
-    last = (changes.select(*key, row.alias("r"), F.col(version))
-                   .groupBy("sourceTable", "operateType").agg(F.max_by("r", version).alias("r"))
-                   .filter(~F.col("r.type").eqNullSafe("delete")))
-    return last.select("sourceTable", "operateType",
-                       *[F.col("r.after")[c].alias(c) for c in CONFIG_COLUMNS[2:]])
-
-
-def route(changes: DataFrame, config: DataFrame) -> DataFrame:
+def rule_history(rule_changes: DataFrame, version: str = "version") -> DataFrame:
+    """T4: change records of the config table as rules with the time they hold: ``valid_from`` and, where a later
+    change ends it, ``valid_to`` (exclusive), both in ``version``.
+
+    A deleted rule ends without a successor (fixes Q17).  Changes of one rule have different versions; of repeated
+    ones with the same version one counts.  Rules are few by nature, so a rule's changes are ordered in one task."""
+    key = [F.coalesce(F.col("after")[c], F.col("before")[c]).alias(c) for c in CONFIG_COLUMNS[:2]]
+    rows = rule_changes.select(*key, F.col("type").alias("_type"), *[F.col("after")[c].alias(c) for c in CONFIG_COLUMNS[2:]],
+                               F.col(version).alias("valid_from")).dropDuplicates([*CONFIG_COLUMNS[:2], "valid_from"])
+    later = F.lead("valid_from").over(Window.partitionBy(*CONFIG_COLUMNS[:2]).orderBy("valid_from"))
+    return rows.withColumn("valid_to", later).filter(~F.col("_type").eqNullSafe("delete")).drop("_type")
+
+
+def current_rules(history: DataFrame) -> DataFrame:
+    """The rules of ``rule_history`` that hold now."""
+    return history.filter(F.col("valid_to").isNull()).select(*CONFIG_COLUMNS)
+
+
+def _rule_of(at: str | None):
+    """Whether a rule is the one of a change: by table and kind of change and, with ``at``, by the time it holds."""
+    cond = (F.col("tableName") == F.col("_st")) & (F.col("type") == F.col("_ot"))
+    if at is not None:
+        cond = cond & (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
+    return cond
+
+
+def _keys(at: str | None) -> list:
+    out = [F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot")]
+    return out + ([F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")] if at is not None else [])
+
+
+def route(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataFrame:
     """J3 + P9 + P10: drop deletes, join the rule of (tableName, type), prune
     ``after`` to ``sinkColumns`` and add ``sinkTable``/``pk``/``sinkType``.
 
+    ``at``: the change's version column; ``config`` is then a ``rule_history``
+    and each change is routed by the rule that held at its version (T4).
     Rows without a rule are dropped here (see ``unmatched``).
     """
-    cfg = config.select(
-        F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot"),
-        "sinkType", "sinkTable", "sinkColumns", F.col("sinkPk").alias("pk"))
-    c = drop_deletes(changes)
-    j = c.join(cfg, (F.col("tableName") == F.col("_st")) & (F.col("type") == F.col("_ot")), "inner")
+    cfg = config.select(*_keys(at), "sinkType", "sinkTable", "sinkColumns", F.col("sinkPk").alias("pk"))
+    j = drop_deletes(changes).join(cfg, _rule_of(at), "inner")
     return (j.withColumn("after", keep_fields("after", F.col("sinkColumns")))
-             .drop("_st", "_ot", "sinkColumns"))
+             .drop("_st", "_ot", "_from", "_to", "sinkColumns"))
 
 
-def route_fact(changes: DataFrame, config: DataFrame) -> DataFrame:
+def route_fact(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataFrame:
     """Rows for topics (``sinkType = 'kafka'``); K2 picks the topic per row."""
-    return route(changes, config).filter(F.col("sinkType") == SINK_KAFKA)
+    return route(changes, config, at).filter(F.col("sinkType") == SINK_KAFKA)
 
 
-def route_dim(changes: DataFrame, config: DataFrame) -> DataFrame:
+def route_dim(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataFrame:
     """Rows for dimension tables (``sinkType = 'hbase'``)."""
-    return route(changes, config).filter(F.col("sinkType") == SINK_HBASE)
+    return route(changes, config, at).filter(F.col("sinkType") == SINK_HBASE)
 
 
-def unmatched(changes: DataFrame, config: DataFrame) -> DataFrame:
+def unmatched(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataFrame:
     """Q18: non-delete rows without a rule (a dead letter instead of a print)."""
-    cfg = config.select(F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot"))
-    c = drop_deletes(changes)
-    return c.join(cfg, (F.col("tableName") == F.col("_st")) & F.col("type").eqNullSafe(F.col("_ot")), "left_anti")
+    return drop_deletes(changes).join(config.select(*_keys(at)), _rule_of(at), "left_anti")
 
 
 def dim_schema(sink_columns: str, sink_pk: str | None = None) -> tuple[T.StructType, str]:

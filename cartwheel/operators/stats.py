@@ -35,6 +35,15 @@ def _windowed(df: DataFrame, ts_ms, size: str, watermark: str | None = None) ->
     return d.withColumn("_w", F.window("_et", size))
 
 
+def _again(windows: DataFrame, size: str, streaming: bool) -> DataFrame:
+    """Rows of a windowed aggregate, to be aggregated by the same windows once more.
+
+    A stream takes the window again from the event time of the closed one, which carries the watermark on."""
+    if not streaming:
+        return windows
+    return windows.withColumn("_t", F.window_time("_w")).drop("_w").withColumn("_w", F.window("_t", size)).drop("_t")
+
+
 def _stt_edt(tz: str = "UTC", fmt: str = TEXT_FORMAT):
     return [ms_to_text(F.unix_millis(F.col("_w.start")), tz, fmt).alias("stt"),
             ms_to_text(F.unix_millis(F.col("_w.end")), tz, fmt).alias("edt")]
@@ -182,32 +191,24 @@ def product_aggregate(feeds: DataFrame, size: str = "10 seconds", tz: str = "UTC
     """Sums, and distinct order counts per role, per (window, SKU).
 
     Every feed row carries at most one order id (of one role: order, paid,
-    refund).  Batch: a first aggregate keyed by (window, SKU, role, id)
-    pre-sums the measures and makes ids unique; a second keyed by
-    (window, SKU) adds the partial sums and counts ids per role.  Two
-    partial+final aggregates, no per-group sets and no row expansion (three
-    ``count(DISTINCT ...)`` would expand every row four times).  Streams cannot
-    chain aggregates, so the streaming form keeps ``collect_set`` per window
-    (bounded by the window's rows).
+    refund).  A first aggregate keyed by (window, SKU, role, id) pre-sums the
+    measures and makes ids unique; a second keyed by (window, SKU) adds the
+    partial sums and counts ids per role.  Two partial+final aggregates, no
+    per-group sets and no row expansion (three ``count(DISTINCT ...)`` would
+    expand every row four times).  On streams the second runs on the closed
+    windows of the first, by their event time (``_again``), in append mode.
     """
     w = _windowed(feeds, "ts", size, watermark)
     sums = [F.sum(m).alias(m) for m in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
-    if streaming:
-        agg = (w.groupBy("_w", "sku_id")
-                .agg(*sums, *[F.size(F.collect_set(c)).cast("bigint").alias(n) for n, c in PRODUCT_SETS.items()],
-                     F.min("ts").alias("ts")))
-    else:
-        roles = list(PRODUCT_SETS.values())
-        role = None
-        for k, c in enumerate(roles):
-            role = (F.when(F.col(c).isNotNull(), k) if role is None else role.when(F.col(c).isNotNull(), k))
-        step1 = (w.withColumn("_role", role).withColumn("_id", F.coalesce(*[F.col(c) for c in roles]))
-                  .groupBy("_w", "sku_id", "_role", "_id").agg(*sums, F.min("ts").alias("ts")))
-        agg = (step1.groupBy("_w", "sku_id")
-                    .agg(*[F.sum(m).alias(m) for m in PRODUCT_COUNTS + PRODUCT_AMOUNTS],
-                         *[F.count(F.when(F.col("_role") == k, F.col("_id"))).alias(n)
-                           for k, n in enumerate(PRODUCT_SETS.keys())],
-                         F.min("ts").alias("ts")))
+    roles = list(PRODUCT_SETS.values())
+    role = None
+    for k, c in enumerate(roles):
+        role = (F.when(F.col(c).isNotNull(), k) if role is None else role.when(F.col(c).isNotNull(), k))
+    step1 = (w.withColumn("_role", role).withColumn("_id", F.coalesce(*[F.col(c) for c in roles]))
+              .groupBy("_w", "sku_id", "_role", "_id").agg(*sums, F.min("ts").alias("ts")))
+    agg = (_again(step1, size, streaming).groupBy("_w", "sku_id")
+           .agg(*sums, *[F.count(F.when(F.col("_role") == k, F.col("_id"))).alias(n) for k, n in enumerate(PRODUCT_SETS.keys())],
+                F.min("ts").alias("ts")))
     return agg.select(*_stt_edt(tz), "sku_id", *[F.col(m).cast("bigint").alias(m) for m in PRODUCT_COUNTS],
                       *[F.col(m).cast(MONEY_SUM).alias(m) for m in PRODUCT_AMOUNTS],
                       *[F.col(n).cast("bigint").alias(n) for n in PRODUCT_SETS], "ts")
@@ -234,12 +235,13 @@ def province_windows(ow: DataFrame, size: str = "10 seconds", streaming: bool =
                      watermark: str | None = None) -> DataFrame:
     """A1: amount and distinct orders per (window, province id); event time is
     the wall-clock ``create_time`` text (P6/F11, read as UTC so window text
-    equals the input text); money keeps its cents (Q9)."""
-    cnt = (F.size(F.collect_set("order_id")) if streaming else F.count_distinct("order_id")).cast("bigint")
+    equals the input text); money keeps its cents (Q9).  Orders are made unique
+    by a first aggregate, in batch and on streams alike."""
     d = ow.withColumn("_ms", text_to_ms("create_time", "UTC"))
-    return (_windowed(d, "_ms", size, watermark).groupBy("_w", "province_id")
-            .agg(F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount"),
-                 cnt.alias("order_count"), F.min("_ms").alias("ts"))
+    orders = (_windowed(d, "_ms", size, watermark).groupBy("_w", "province_id", "order_id")
+              .agg(F.sum("split_total_amount").alias("order_amount"), F.min("_ms").alias("ts")))
+    return (_again(orders, size, streaming).groupBy("_w", "province_id")
+            .agg(F.sum("order_amount").cast(MONEY_SUM).alias("order_amount"), F.count("order_id").alias("order_count"), F.min("ts").alias("ts"))
             .select(*_stt_edt(), "province_id", "order_amount", "order_count", "ts"))
 
 

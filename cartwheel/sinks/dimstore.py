@@ -50,7 +50,7 @@ class _Files:
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def path(self, name: str):
-        return self._path(f"{self.root}/{name}")
+        return self._path(f"{self.root}/{name}" if name else self.root)
 
     def names(self, folder: str) -> list[str]:
         p = self.path(folder)
@@ -80,6 +80,12 @@ class _Files:
         self._fs.delete(self.path(name), True)
 
 
+def has_files(spark: SparkSession, folder: str, name: str | None = None) -> bool:
+    """Whether a folder has anything in it, or ``name``."""
+    names = _Files(spark, folder).names("")
+    return bool(names) if name is None else name in names
+
+
 # ----------------------------------------------------------------- states
 
 def _states(files: _Files) -> list[int]:

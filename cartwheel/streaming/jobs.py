@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonfmt import parse_row, parse_strict
 from ..operators import keywords, logsplit, routing, stats, wide
 from ..session import ensure_checkpoint_dir
-from ..sinks import writers
+from ..sinks import dimstore, writers
 from . import state
 
 Frames = Callable[[], dict]
@@ -69,12 +69,21 @@ def sql_table(lines: DataFrame, schema: str, name: str, keep=()) -> DataFrame:
     return df
 
 
-def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, database: str, table: str, key: str, version: str = "version") -> DataFrame:
-    """Rows of a table as ``read`` changes of version -1, then its changes."""
-    row = F.create_map(*[x for c in snapshot.columns for x in (F.lit(c), F.col(c).cast("string"))])
-    first = snapshot.select(F.lit(database).alias("database"), F.lit(table).alias("tableName"),
-                            F.create_map().cast("map<string,string>").alias("before"), row.alias("after"), F.lit("read").alias("type"),
-                            F.col(key).cast(changes.schema["key"].dataType).alias("key"), F.lit(-1).cast(changes.schema[version].dataType).alias(version))
+def snapshot_changes(snapshot: DataFrame, changes: DataFrame, database: str, table: str, key: str, version: str = "version",
+                     as_of: str | None = None) -> DataFrame:
+    """Rows of a table as ``read`` changes, of the version in column ``as_of``, or of version -1."""
+    row = F.create_map(*[x for c in snapshot.columns if c != as_of for x in (F.lit(c), F.col(c).cast("string"))])
+    at = F.lit(-1) if as_of is None else F.col(as_of)
+    return snapshot.select(F.lit(database).alias("database"), F.lit(table).alias("tableName"),
+                           F.create_map().cast("map<string,string>").alias("before"), row.alias("after"), F.lit("read").alias("type"),
+                           F.col(key).cast(changes.schema["key"].dataType).alias("key"), at.cast(changes.schema[version].dataType).alias(version))
+
+
+def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, database: str, table: str, key: str, version: str = "version",
+                          as_of: str | None = None) -> DataFrame:
+    """S4 as frames: the snapshot's rows, then the changes.  Changes that the snapshot holds have no higher version
+    than its rows, so ``cdc.current_state`` passes them over."""
+    first = snapshot_changes(snapshot, changes, database, table, key, version, as_of)
     return first.unionByName(changes.select(*first.columns))
 
 
@@ -172,6 +181,52 @@ def routing_job(changes: DataFrame, rules: Callable[[], DataFrame], out: str, di
     return run(changes, write, name, **how)
 
 
+def routing_as_of_job(changes: DataFrame, rule_changes: DataFrame, out: str, rules: str, name: str = "routing_as_of", version: str = "version", **how):
+    """Routing by rules that are a stream of changes themselves (T4): facts and dead letters, each change by the rule
+    that held at its version.
+
+    ``changes`` and ``rule_changes`` have the columns of normalised changes and share one order, ``version``, as the
+    changes of one database do.  They run as one query.  The rule changes of a batch are stored first, in a folder of the batch,
+    then its rows are joined as of their versions with all rules stored so far; so a rule and the rows it routes may
+    come in one batch, in any order."""
+    kind = "_rule"
+    both = changes.withColumn(kind, F.lit(False)).unionByName(rule_changes.withColumn(kind, F.lit(True)))
+    schema = rule_changes.schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, batch = batch.sparkSession, batch.persist()
+        try:
+            new = batch.filter(kind).drop(kind)
+            if not new.isEmpty():
+                writers.write_batch(new, f"{rules}/changes", batch_id, "parquet")
+            rows = batch.filter(~F.col(kind)).drop(kind)
+            stored = spark.read.schema(schema).parquet(f"{rules}/changes") if dimstore.has_files(spark, f"{rules}/changes") else new
+            history = routing.rule_history(stored, version)
+            writers.write_topic_folder(routing.route_fact(rows, history, version).select("sinkTable", "after"), f"{out}/facts", batch_id)
+            writers.write_batch(routing.unmatched(rows, history, version), f"{out}/unmatched", batch_id)
+        finally:
+            batch.unpersist()
+
+    return run(both, write, name, **how)
+
+
+def snapshot_then_changes_job(snapshot: DataFrame, changes: DataFrame, database: str, table: str, key: str, as_of: str, out: str,
+                              name: str = "snapshot_then_changes", version: str = "version", **how):
+    """The snapshot as a first batch, then the changes that it does not hold.
+
+    ``snapshot`` is a table with the version up to which each row goes in ``as_of``.  It is written once, before the
+    stream starts; the stream's marks are read from what was written, so both are of one moment.  Changes may overlap
+    the snapshot, and may come again: each is written once."""
+    spark = changes.sparkSession
+    first = snapshot_changes(snapshot, changes, database, table, key, version, as_of)
+    path = f"{out}/batch_id=snapshot"
+    if not dimstore.has_files(spark, path, "_SUCCESS"):
+        writers.write_batch(first, out, "snapshot", "parquet")
+    marks = spark.read.parquet(path).select("key", version)
+    mine = changes.select(*first.columns).filter((F.col("database") == database) & (F.col("tableName") == table))
+    return run(state.changes_after_snapshot(mine, marks, "key", version), _to_folder(out), name, **how)
+
+
 def unique_visit_job(page: DataFrame, out: str, ttl_ms: int | None = 86_400_000, name: str = "unique_visit", **how):
     """T2 with T5: the state store forgets a day ``ttl_ms`` after it was written."""
     return run(state.unique_visit_stream(page, ttl_ms), _to_folder(out), name, **how)

@@ -94,6 +94,48 @@ def repair_lines_stream(lines: DataFrame) -> DataFrame:
         _repair_lines_fn, LINE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
 
 
+# ------------------------------------------------------------------ S4
+
+class AfterSnapshotProcessor(StatefulProcessor):
+    """The version up to which a key's changes are known: at first the one its snapshot row holds."""
+
+    def __init__(self, columns: list[str], version: str):
+        self.columns, self.version = columns, version
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.mark = handle.getValueState("mark", "version bigint")
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        if not self.mark.exists() or self.mark.get()[0] < initialState["_mark"]:
+            self.mark.update((initialState["_mark"],))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        mark = first = self.mark.get()[0] if self.mark.exists() else None
+        for r in sorted(rows, key=lambda r: r[self.version]):
+            if mark is None or r[self.version] > mark:
+                mark = r[self.version]
+                yield Row(*self.columns)(*[r[c] for c in self.columns])
+        if mark != first:
+            self.mark.update((mark,))
+
+    def close(self) -> None:
+        pass
+
+
+def changes_after_snapshot(changes: DataFrame, marks: DataFrame, key: str = "key", version: str = "version") -> DataFrame:
+    """S4 on a stream: the changes that a snapshot does not hold yet.
+
+    ``marks`` (``key`` and ``version``) says up to which version each snapshot
+    row goes; it is the state store's initial state.  A change up to its key's
+    mark is dropped, and so is one that comes again, since the mark moves on."""
+    ship_package(changes.sparkSession)
+    known = marks.select(F.col(key).cast(changes.schema[key].dataType).alias(key), F.col(version).cast("bigint").alias("_mark")).filter(
+        F.col(key).isNotNull() & F.col("_mark").isNotNull())
+    rows = changes.filter(F.col(key).isNotNull() & F.col(version).isNotNull())
+    return rows.groupBy(key).transformWithState(AfterSnapshotProcessor(changes.columns, version), changes.schema, "Append", "None",
+                                                known.groupBy(key))
+
+
 # ------------------------------------------------------------------ T2 (+ T5)
 
 class UniqueVisitProcessor(StatefulProcessor):
