@@ -51,29 +51,53 @@ def parse_lines(raw: DataFrame, value: str = "value", keep=("seq",)) -> DataFram
 def repair_new_visitor(df: DataFrame, key: str, flag: str, ts: str, seq: str) -> DataFrame:
     """T1, batch form: per key only the first ``flag = '1'`` row keeps ``'1'``.
 
-    The first flagged row per key is found by a hash aggregate over one packed
-    order key (combined before the shuffle) and joined back; rows are never
-    gathered per key, and AQE can split the rows of a hot key in the join.
-    Rows without a key belong to no device: they stay as they are.
+    Only flagged rows can change, and they are few: they alone are shuffled.
+    The first one per key is found by a hash aggregate over one packed order
+    key (combined before the shuffle) and joined back; rows are never gathered
+    per key, and AQE can split the rows of a hot key in the join.  All other
+    rows, those without a key included, pass as they are.
     """
-    keyed = df.filter(F.col(key).isNotNull())
-    firsts = keyed.filter(F.col(flag) == "1").groupBy(key).agg(F.min(order_key(ts, seq)).alias("_first"))
-    fixed = F.when((F.col(flag) == "1") & (order_key(ts, seq) != F.col("_first")), F.lit("0")).otherwise(F.col(flag))
-    out = keyed.join(firsts, key, "left").withColumn(flag, fixed).select(*df.columns)
-    return out.unionByName(df.filter(F.col(key).isNull()))
+    flagged = F.coalesce((F.col(flag) == "1") & F.col(key).isNotNull(), F.lit(False))
+    return _only_first(df.filter(flagged), key, flag, ts, seq).unionByName(df.filter(~flagged))
+
+
+def _only_first(rows: DataFrame, key: str, flag: str, ts: str, seq: str) -> DataFrame:
+    """``rows`` with the flag '1' on the first flagged one per key alone."""
+    at, set_ = order_key(ts, seq), F.col(flag) == "1"
+    firsts = rows.filter(set_).groupBy(F.col(key).alias("_of")).agg(F.min(at).alias("_first"))
+    fixed = F.when(set_ & (at != F.col("_first")), F.lit("0")).otherwise(F.col(flag))
+    return rows.join(firsts, F.col(key) == F.col("_of"), "left").withColumn(flag, fixed).select(*rows.columns)
 
 
 def repair_parsed(parsed: DataFrame, seq: str = "seq") -> DataFrame:
-    """T1 on parsed log lines: rewrites ``common['is_new']``."""
+    """T1 on parsed log lines: rewrites ``common['is_new']``.
+
+    All given lines meet the join, so that they are parsed twice and not three times; ``repaired_lines`` gives it
+    those that can be flagged."""
     flat = (parsed.withColumn("_mid", F.col("common")["mid"])
                   .withColumn("_is_new", F.col("common")["is_new"]))
-    fixed = repair_new_visitor(flat, "_mid", "_is_new", "ts", seq)
+    fixed = _only_first(flat, "_mid", "_is_new", "ts", seq)
     return (fixed.withColumn("common", F.when(F.col("_is_new").isNotNull(),
                                               set_field("common", "is_new", F.col("_is_new")))
                                         .otherwise(F.col("common")))
                  .drop("_mid", "_is_new"))
 
 
+def maybe_flagged(value: str = "value"):
+    """Whether a line's text can hold ``is_new`` with the value 1: lines that cannot need no repair.
+
+    Names and values are literal in JSON unless there is an escape."""
+    return F.coalesce(F.col(value).rlike("""["']is_new["']\\s*:\\s*["']?1""") | F.col(value).contains("\\"), F.lit(False))
+
+
+def repaired_lines(raw: DataFrame, value: str = "value", keep=("seq",)) -> DataFrame:
+    """T1 on raw lines: ``parse_lines`` with ``common['is_new']`` repaired.
+
+    Lines that cannot be flagged are parsed once and meet no join."""
+    maybe = maybe_flagged(value)
+    return repair_parsed(parse_lines(raw.filter(maybe), value, keep)).unionByName(parse_lines(raw.filter(~maybe), value, keep))
+
+
 def start_log(parsed: DataFrame) -> DataFrame:
     """Lines with a ``start`` object."""
     return parsed.filter(F.col("start").isNotNull())

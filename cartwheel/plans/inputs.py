@@ -30,7 +30,7 @@ class Inputs:
     @cached_property
     def parsed_log(self) -> DataFrame:
         """Good lines, parsed, with the new-visitor flag repaired (T1 before the split)."""
-        return logsplit.repair_parsed(logsplit.parse_lines(self.raw_log))
+        return logsplit.repaired_lines(self.raw_log)
 
     @cached_property
     def display_log(self) -> DataFrame:

@@ -62,6 +62,19 @@ def test_rows_without_a_device(spark):
     assert {r.mid for r in visits.unique_visit(df).collect()} == {"m"}
 
 
+def test_repair_of_lines(spark):
+    """Lines are repaired as their parsed rows are, however the flag is written."""
+    flags = ['"is_new":"1"', '"is_new" : 1', "'is_new':'1'", '"is\\u005fnew":"1"', '"is_new":"\\u0031"', '"is_new":"0"', '"is_new":10', '"x":"is_new 1"']
+    lines = [(k, f'{{"common":{{"mid":"{k % 2}",{f}}},"page":{{"page_id":"is_new"}},"ts":{100 - k}}}') for k, f in enumerate(flags * 2)]
+    lines += [(98, "broken is_new 1"), (99, None)]
+    raw = spark.createDataFrame(lines, "seq long, value string")
+    got = logsplit.repaired_lines(raw)
+    want = logsplit.repair_parsed(logsplit.parse_lines(raw))
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert sorted(r.seq for r in got.collect() if r.common.get("is_new") == "1") == [11, 12]
+
+
 def test_visit_flags_equal_the_single_operators(spark):
     import random
     rng = random.Random(5)

@@ -56,6 +56,27 @@ def test_visitor_statistics_in_one_pass(spark):
         assert "SortAggregate" not in _plan(catalog.REGISTRY[name](spark, SF)), name
 
 
+def test_repair_shuffles_flagged_rows_only(spark, tmp):
+    """Rows whose flag is not set are in no join and no aggregate."""
+    from cartwheel.operators import logsplit
+    spark.createDataFrame([("m", "1", 1, 1, "x")], "mid string, is_new string, ts long, seq long, more string").write.parquet(tmp + "/rows")
+    df = logsplit.repair_new_visitor(spark.read.parquet(tmp + "/rows"), "mid", "is_new", "ts", "seq")
+    plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    assert plan[0].startswith("Union")
+    top, = [k for k, x in enumerate(plan) if "Join " in x]
+    under = []
+    for x in plan[top + 1:]:
+        if depth(x) <= depth(plan[top]):
+            break
+        under.append(x)
+    # each of its inputs, the rows and the first one per device, is of flagged rows
+    assert sum("Relation" in x for x in under) == 2 == sum("Filter" in x and "= 1)" in x for x in under)
+    # lines that cannot be flagged are not even parsed for it
+    lines = catalog.log_page(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert lines.count("RLIKE") >= 3
+
+
 def test_gmv_of_a_day_is_a_range(spark, tmp):
     from cartwheel.operators import stats
     spark.createDataFrame([("2024-01-01 00:00:00", 1)], "stt string, order_amount int").write.mode("overwrite").parquet(tmp + "/gmv")
