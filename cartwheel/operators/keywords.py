@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import WORD_TOKEN, WORD_TOKEN_NOT_HAN, cjk_bigrams, word_tokens
 
@@ -19,24 +20,61 @@ def keyword_explode(df: DataFrame, text: str = "full_word", pattern: str | None
     return df.select(*keep, F.explode(toks).alias("word"))
 
 
-def dictionary_words(df: DataFrame, dictionary: DataFrame, text: str = "full_word", keep=("rt",)) -> DataFrame:
-    """Dictionary segmentation: every substring that is a dictionary word, with
+CHUNK = 1_000  # positions of a text that are looked at together
+
+
+def prefix_levels(dictionary: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A dictionary (column ``word``) as a prefix tree of three levels.
+
+    ``first``: the first characters of its words, at most one row per character
+    there is; ``stem``, ``sizes``: their beginnings of the length of the
+    shortest word, each with the lengths that its words have; ``word``."""
+    words = dictionary.select("word").filter(F.length("word") > 0).distinct()
+    least = words.select(F.min(F.length("word"))).scalar()
+    stems = (words.select(F.substr("word", F.lit(1), least).alias("stem"), F.length("word").alias("size")).distinct()
+             .groupBy("stem").agg(F.collect_set("size").alias("sizes")))  # one for each length of a word
+    return words.select(F.substr("word", F.lit(1), F.lit(1)).alias("first")).distinct(), stems, words
+
+
+def dictionary_words(df: DataFrame, dictionary: DataFrame, text: str = "full_word", keep=("rt",), longest: bool = False) -> DataFrame:
+    """Dictionary segmentation (X1): every substring that is a dictionary word, with
     its position, so repeats are counted.
 
-    ``dictionary`` has one column ``word``; it is joined, not collected, so it
-    may be large (Spark broadcasts it only when its statistics are small).
-    Substrings reach as far as the longest word of the dictionary.  Positions
-    are exploded first, so no row holds all substrings of its text.
+    ``longest``: only words that do not lie inside another one found; ``keep``
+    then has to name the text (rows alike in it are one text).
+
+    Positions walk down the levels of the dictionary (``prefix_levels``) and
+    are extended only while their prefix exists: a position goes on if a word
+    begins with its character, then if a word begins with its stem, and then
+    only for the lengths of the words with that stem.  The first level has no
+    more rows than there are characters, so it is broadcast; the others are
+    joined as Spark chooses, so the dictionary may be large.  Texts are cut
+    into pieces of CHUNK positions that overlap by the longest word, so no row
+    holds all substrings of its text.
     """
-    words = dictionary.select("word").distinct()
-    longest = words.select(F.max(F.length("word"))).scalar()
-    at = (df.filter(F.length(text) > 0).withColumn("_longest", longest)
-            .select(*keep, F.col("_longest"), F.col(text).alias("_text"), F.explode(F.sequence(F.lit(1), F.length(text))).alias("pos"))
-            .select(*keep, "pos", "_longest", F.substr("_text", F.col("pos"), F.col("_longest")).alias("_rest")))
-    cand = (at.filter(F.length("_rest") > 0)
-              .select(*keep, "pos", "_rest", F.explode(F.sequence(F.lit(1), F.length("_rest"))).alias("_n"))
-              .select(*keep, "pos", F.substr("_rest", F.lit(1), F.col("_n")).alias("word")))
-    return cand.join(words, "word", "left_semi")
+    first, stems, words = prefix_levels(dictionary)
+    least = words.select(F.min(F.length("word"))).scalar()
+    most = words.select(F.max(F.length("word"))).scalar()
+    pieces = (df.filter(F.length(text) > 0).withColumn("_most", most)
+                .select(*keep, F.col("_most"), F.posexplode(F.transform(
+                    F.sequence(F.lit(0), F.floor((F.length(text) - 1) / CHUNK).cast("int")),
+                    lambda i: F.substr(F.col(text), i * CHUNK + 1, F.lit(CHUNK - 1) + F.col("_most")))).alias("_n", "_piece")))
+    here = F.sequence(F.lit(1), F.least(F.length("_piece"), F.lit(CHUNK)))
+    at = (pieces.select(*keep, "_n", F.explode(F.transform(here, lambda i: F.struct(
+            i.alias("i"), F.substr(F.col("_piece"), i, F.col("_most")).alias("rest")))).alias("_at"))
+          .select(*keep, (F.col("_n") * CHUNK + F.col("_at.i")).cast("int").alias("pos"), F.col("_at.rest").alias("_rest")))
+    begun = at.join(F.broadcast(first), F.substr("_rest", F.lit(1), F.lit(1)) == F.col("first"), "left_semi")
+    stemmed = begun.withColumn("_stem", F.substr("_rest", F.lit(1), least)).join(stems, F.col("_stem") == F.col("stem"))
+    cand = (stemmed.select(*keep, "pos", "_rest", F.explode("sizes").alias("_size")).filter(F.length("_rest") >= F.col("_size"))
+            .select(*keep, "pos", F.substr("_rest", F.lit(1), F.col("_size")).alias("word")))
+    found = cand.join(words, "word", "left_semi").select("word", *keep, "pos")
+    if not longest:
+        return found
+    end = F.col("pos") + F.length("word")
+    # the longest word at a place, then whether an earlier one reaches as far
+    found = found.groupBy(*keep, "pos").agg(F.max(F.struct(F.length("word").alias("n"), "word")).alias("_w")).select(*keep, "pos", "_w.word")
+    reach = F.max(end).over(Window.partitionBy(*keep).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    return found.withColumn("_reach", reach).filter(F.col("_reach").isNull() | (F.col("_reach") < end)).select("word", *keep, "pos")
 
 
 def register_split_udtf(spark, name: str = "SplitFunction", pattern: str = WORD_TOKEN):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonfmt import map_as_text, to_json_row
+from ..functions.text import word_tokens
 from ..operators import cdc, keywords, logsplit, routing, stats, visits, wide
 from ..operators.joins import lookup
 from ..session import ensure_checkpoint_dir
@@ -310,6 +311,30 @@ def keyword_stats(spark, sf):
     return stats.keyword_stats(_keyword_words(Inputs(spark, sf)), SCALE["stats_window"])
 
 
+def _dictionary(i: Inputs) -> DataFrame:
+    """The longer words of the benchmark passages."""
+    words = i.t.benchmark.select(F.explode(word_tokens("text")).alias("word"))
+    return words.filter(F.length("word") >= 4).distinct()
+
+
+def _segmented(i: Inputs, longest: bool) -> DataFrame:
+    texts = i.t.documents.select("doc_id", F.lower("text").alias("full_word"))
+    found = keywords.dictionary_words(texts, _dictionary(i), keep=("doc_id",), longest=longest)
+    return found.groupBy("word").agg(F.count("*").alias("ct"), F.count_distinct("doc_id").alias("texts"))
+
+
+@query("keyword_dictionary")
+def keyword_dictionary(spark, sf):
+    """Dictionary words in the whole texts, wherever they stand, and how often."""
+    return _segmented(Inputs(spark, sf), False)
+
+
+@query("keyword_dictionary_longest")
+def keyword_dictionary_longest(spark, sf):
+    """The same without words inside longer ones."""
+    return _segmented(Inputs(spark, sf), True)
+
+
 # ------------------------------------------------------------------ change records
 
 def _change_cols(c: DataFrame) -> DataFrame:

@@ -268,6 +268,19 @@ SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id), '%Y-%m-%d
        epoch_ms(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id)) AS rt_ms
 FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS w FROM documents)""")
 
+# Dictionary words at every position of every text, word length by word length.
+cte("dictionary", (), """
+SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS w FROM benchmark) WHERE len(lower(w)) >= 4""")
+cte("dictionary_hits", ("dictionary",), """
+SELECT doc_id, pos, len(word) AS size, word
+FROM (SELECT doc_id, CAST(n * 1000 + i AS INTEGER) AS pos,
+             unnest(list_transform(list_filter(sizes, lambda z: i + z - 1 <= len(piece)), lambda z: substr(piece, i, z))) AS found
+      FROM (SELECT doc_id, n, piece, sizes, unnest(range(1, least(len(piece), 1000) + 1)) AS i
+            FROM (SELECT doc_id, n, sizes, substr(lower(text), n * 1000 + 1, 999 + most) AS piece
+                  FROM (SELECT doc_id, text, unnest(range(0, (len(text) + 999) // 1000)) AS n FROM documents)
+                  CROSS JOIN (SELECT max(len(word)) AS most, list(DISTINCT len(word)) AS sizes FROM dictionary))))
+JOIN dictionary ON word = found""")
+
 ORDER_MAP = """'create_time=' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',id=' || CAST(o_orderkey AS VARCHAR)
        || ',order_status=' || {status} || ',total_amount=' || CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR)
        || ',user_id=' || CAST(o_custkey AS VARCHAR)"""
@@ -446,6 +459,13 @@ SQL: dict[str, str] = {
     "keyword_stats": _with(("keyword_words",), f"""
         SELECT word AS keyword, count(*) AS ct, 'search' AS source, {_win('rt_ms', STATS_WIN_MS)},
                min(rt_ms) AS ts FROM keyword_words GROUP BY word, stt, edt"""),
+    "keyword_dictionary": _with(("dictionary_hits",), """
+        SELECT word, count(*) AS ct, count(DISTINCT doc_id) AS texts FROM dictionary_hits GROUP BY word"""),
+    "keyword_dictionary_longest": _with(("dictionary_hits",), """
+        SELECT word, count(*) AS ct, count(DISTINCT doc_id) AS texts
+        FROM (SELECT *, max(pos + size) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+              FROM (SELECT doc_id, pos, max(size) AS size, max_by(word, size) AS word FROM dictionary_hits GROUP BY doc_id, pos))
+        WHERE reach IS NULL OR reach < pos + size GROUP BY word"""),
     "cdc_normalize": _with(("changes",), "SELECT * FROM changes"),
     "filter_not_delete": _with(("changes",), "SELECT * FROM changes WHERE type IS DISTINCT FROM 'delete'"),
     "cdc_current_state": _with((), """

@@ -49,12 +49,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; an error where it is not
-    set, since a folder of one machine would lose state and offsets with it.
-    ``local_session`` sets one for tests and the bench."""
+    """The shared folder of ``spark.checkpoint.dir``.
+
+    Where it is not set, a session whose driver and executors are one process
+    (``local[n]``) gets a temporary one; on a cluster that is an error, since a
+    folder of one machine would lose state and offsets with it."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -316,6 +316,35 @@ def test_keywords(spark):
     assert [r.pos for r in found.collect()] == [4]  # words longer than six characters are found
 
 
+def test_dictionary_levels_and_longest_words(spark, monkeypatch):
+    monkeypatch.setattr(keywords, "CHUNK", 7)  # words lie across the pieces of a text
+    words = ["实时", "实时数仓", "数仓", "ab", "abc", "bcd", "abcdefghijkl", "kl", "zz"]
+    texts = [(1, "Flink实时数仓"), (2, "abcdefghijklabcd ab"), (3, ""), (4, None), (5, "xabcdefghijk"), (2 ** 40, "实" * 30 + "时数仓")]
+    dic = spark.createDataFrame([(w,) for w in [*words, "ab", ""]], "word string")
+    df = spark.createDataFrame(texts, "rt long, full_word string")
+    want = sorted((k, p + 1, w) for k, t in texts if t for p in range(len(t)) for w in words if t.startswith(w, p))
+    assert sorted((r.rt, r.pos, r.word) for r in keywords.dictionary_words(df, dic).collect()) == want
+    inside = lambda a, b: a[0] == b[0] and a != b and b[1] <= a[1] and a[1] + len(a[2]) <= b[1] + len(b[2])
+    best = [a for a in want if not any(inside(a, b) for b in want)]
+    assert sorted((r.rt, r.pos, r.word) for r in keywords.dictionary_words(df, dic, longest=True).collect()) == best
+    none = spark.createDataFrame([], "word string")
+    assert keywords.dictionary_words(df, none).count() == keywords.dictionary_words(df.limit(0), dic).count() == 0
+
+
+def test_dictionary_candidates_follow_the_prefixes(spark):
+    """Positions whose prefix no word has are dropped before anything is shuffled."""
+    text = "x" * 20_000 + "needle" + "y" * 20_000 + "nothing"
+    df = spark.createDataFrame([(1, text)], "rt long, full_word string")
+    dic = spark.createDataFrame([("needle",), ("needles",), ("nail",)], "word string")
+    found = keywords.dictionary_words(df, dic)
+    assert [(r.pos, r.word) for r in found.collect()] == [(20_001, "needle")]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    stems = next(k for k, x in enumerate(plan) if "Join" in x and "_stem" in x)
+    chars = next(k for k, x in enumerate(plan) if "BroadcastHashJoin" in x and "LeftSemi" in x and "first" in x)
+    assert chars > stems and depth(plan[chars]) > depth(plan[stems])
+
+
 def test_udtf_lateral(spark):
     keywords.register_split_udtf(spark, "SplitWords")
     spark.createDataFrame([("a b", 1)], "t string, k int").createOrReplaceTempView("kw_src")

@@ -323,3 +323,26 @@ def test_log_split_job(spark, tmp):
 def test_checkpoint_dir_from_session(spark):
     d = jobs.checkpoint_path(spark, "q")
     assert d.endswith("/q") and d.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_checkpoint_dir_has_to_be_set_on_a_cluster():
+    """Without the setting a cluster's session is refused; one process gets a folder of its own."""
+    from cartwheel.session import ensure_checkpoint_dir
+
+    class Context:
+        dir = None
+        def __init__(self, master): self.master = master
+        def getCheckpointDir(self): return self.dir
+        def setCheckpointDir(self, d): self.dir = d
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+        def __init__(self, master): self.sparkContext = Context(master)
+
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(Session(master))
+    for master in ("local", "local[4]"):
+        s = Session(master)
+        assert ensure_checkpoint_dir(s) == s.sparkContext.dir
