@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -11,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ship_package
+from ..session import ensure_checkpoint_dir, ship_package
 
 # Text handed to one numpy or tokenizer step, in bytes.  A longer document is a
 # step of its own: texts are never cut here.
@@ -23,14 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
-
-    One is invented only where the setting is missing, as in local tests."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
-                            or tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share; an error on a cluster without the setting."""
+    return ensure_checkpoint_dir(spark)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

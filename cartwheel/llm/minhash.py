@@ -333,9 +333,12 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document of each group, the one of least id.
 
     Rows of equal id are one document, of which one row stays (the least, by
-    all columns).  Rows without an id stay."""
+    all columns; maps, which have no order, by their JSON).  Rows without an id stay."""
     kept = near_duplicates(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    row = F.struct(*docs.columns)
+    order = F.struct(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema.fields])
+    least = F.min(row) if not any("map<" in f.dataType.simpleString() for f in docs.schema.fields) else F.min_by(row, order)
+    stay = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(least.alias("row"))
     return stay.select("row.*").unionByName(docs.filter("doc_id is null"))
 
 

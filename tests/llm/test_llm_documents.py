@@ -118,7 +118,7 @@ def shingles(t):
     return frozenset() if not w else frozenset([tuple(w)]) if len(w) < 5 else frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4))
 
 
-def components(texts):
+def components(texts, percent=85):
     """doc_id -> smallest reachable id, from all pairs; ``texts`` has (id, text) rows."""
     sets = [(i, shingles(t)) for i, t in texts if i is not None]
     up = {i: i for i, _ in sets}
@@ -131,7 +131,7 @@ def components(texts):
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
             both = len(a & b)
-            if a and b and 100 * both >= 85 * (len(a) + len(b) - both):
+            if a and b and 100 * both >= percent * (len(a) + len(b) - both):
                 x, y = sorted((find(i), find(j)))
                 up[y] = x
     return {i: find(i) for i in up}

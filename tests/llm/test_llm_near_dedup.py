@@ -85,3 +85,11 @@ def test_bands_follow_the_threshold():
     for p in (50, 70, 80, 85, 95):
         r = minhash.band_rows(p)
         assert (1 - (p / 100) ** r) ** (minhash.SIGNATURE // r) < 3e-7
+
+
+def test_rows_with_maps(spark):
+    """A column of maps, which Spark cannot order, does not stop the choice among rows of one id."""
+    rows = [(1, "one two three four five", {"a": "x"}), (1, "one two three four five", {"a": "b"}), (2, "one two three four five", None), (None, "x", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,string>")
+    got = sorted((str(r.doc_id), r.more) for r in minhash.drop_near_duplicates(docs).collect())
+    assert got == [("1", {"a": "b"}), ("None", {})]

@@ -176,7 +176,7 @@ def test_pipeline(spark):
     # brute force, stage by stage, from each operator's own verdicts and rules
     kept = {r.doc_id for r in quality.score(docs).filter("kept").collect()}
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in kept}
-    linked = T.components(texts.items())
+    linked = T.components(texts.items(), 80)
     texts = {i: t for i, t in texts.items() if linked[i] == i}
     left = docs.filter(docs.doc_id.isin(list(texts)))
     model = pii.train(left)
