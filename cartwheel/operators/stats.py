@@ -122,8 +122,8 @@ PRODUCT_STATS_COLUMNS = [
 ]
 
 
-def _feed(df: DataFrame, sku, ts, **measures) -> DataFrame:
-    """One product-stats feed row: zero for every measure not given."""
+def _feed_columns(sku, ts, **measures) -> list:
+    """The columns of a product-stats feed row: zero for every measure not given."""
     cols = [F.col(sku).cast("bigint").alias("sku_id") if isinstance(sku, str) else sku.cast("bigint").alias("sku_id")]
     for m in PRODUCT_COUNTS:
         cols.append((measures[m] if m in measures else F.lit(0)).cast("bigint").alias(m))
@@ -131,8 +131,11 @@ def _feed(df: DataFrame, sku, ts, **measures) -> DataFrame:
         cols.append((measures[m] if m in measures else F.lit(0)).cast("decimal(16,2)").alias(m))
     for s in PRODUCT_SETS.values():
         cols.append((measures[s] if s in measures else F.lit(None)).cast("bigint").alias(s))
-    cols.append(ts.alias("ts"))
-    return df.select(*cols)
+    return cols + [ts.alias("ts")]
+
+
+def _feed(df: DataFrame, sku, ts, **measures) -> DataFrame:
+    return df.select(*_feed_columns(sku, ts, **measures))
 
 
 def product_clicks(page: DataFrame, click_page_id: str = "good_detail", item_type: str = "sku_id") -> DataFrame:
@@ -169,6 +172,30 @@ def product_payments(pw: DataFrame, tz: str = COMMERCE_TZ) -> DataFrame:
                  payment_amount=F.col("split_total_amount"), paid_order_id=F.col("order_id"))
 
 
+def product_orders_and_payments(ow: DataFrame, payment_info: DataFrame, lower_ms: int, upper_ms: int, tz: str = COMMERCE_TZ) -> DataFrame:
+    """P24, batch form: the rows of ``product_orders`` and of ``product_payments`` out of one pass over the joined orders.
+
+    The payments of an order, a few rows, are looked up with it; a row of the order is paid by those whose time
+    reaches from ``lower_ms`` before its own to ``upper_ms`` after (J2), and gives a row for itself and for each of them."""
+    paid = (payment_info.select(F.col("order_id").alias("_paid"), F.struct(text_to_ms("create_time", tz).alias("at")).alias("p"))
+            .filter(F.col("p.at").isNotNull()).groupBy("_paid").agg(F.collect_list("p").alias("_payments")))
+    at = text_to_ms("create_time", tz)
+    order = F.struct(*_feed_columns("sku_id", at, order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"),
+                                    order_id=F.col("order_id")))
+
+    def payment(p):
+        return F.struct(*_feed_columns("sku_id", p["at"], payment_amount=F.col("split_total_amount"), paid_order_id=F.col("order_id")))
+
+    mine = F.filter("_payments", lambda p: (at >= p["at"] - lower_ms) & (at <= p["at"] + upper_ms))
+    rows = F.concat(F.array(order), F.coalesce(F.transform(mine, payment), F.array().cast(f"array<{_feed_type()}>")))
+    return ow.join(paid, F.col("order_id") == F.col("_paid"), "left").select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _feed_type() -> str:
+    fields = ["sku_id: bigint"] + [f"{m}: bigint" for m in PRODUCT_COUNTS] + [f"{m}: decimal(16,2)" for m in PRODUCT_AMOUNTS]
+    return f"struct<{', '.join(fields + [f'{s}: bigint' for s in PRODUCT_SETS.values()] + ['ts: bigint'])}>"
+
+
 def product_refunds(refund: DataFrame, tz: str = COMMERCE_TZ) -> DataFrame:
     """P24 (refunds)."""
     return _feed(refund, "sku_id", text_to_ms("create_time", tz),

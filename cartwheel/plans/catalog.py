@@ -229,14 +229,12 @@ def province_stats(spark, sf):
 def _feeds(i: Inputs) -> list[DataFrame]:
     # orders and payments need no dimension: lookups come after the aggregate
     joined = _joined(i, i.order_amounts).select("order_id", "sku_id", "sku_num", "split_total_amount", "create_time")
-    paid = _payment_wide(i, joined)
     return [
         stats.product_clicks(i.page_log, click_page_id="click"),
         stats.product_displays(i.display_log),
         stats.product_favors(driver.favor_info(i.t.events)),
         stats.product_carts(driver.cart_info(i.t.events)),
-        stats.product_orders(joined),
-        stats.product_payments(paid),
+        stats.product_orders_and_payments(joined, i.payment_info, SCALE["payment_lower_ms"], SCALE["payment_upper_ms"]),
         stats.product_refunds(driver.refund_info(i.t.lineitem)),
         stats.product_comments(driver.comment_info(i.t.labels)),
     ]

@@ -316,6 +316,22 @@ def test_keywords(spark):
     assert [r.pos for r in found.collect()] == [4]  # words longer than six characters are found
 
 
+def test_orders_and_payments_in_one_pass(spark):
+    """The same rows as of the two feeds, with none, one or several payments, in and out of the interval."""
+    ow = spark.createDataFrame([(o, 10 * o + k, 2, Decimal("1.25"), f"2024-01-01 10:{o:02d}:00") for o in range(6) for k in range(2)] + [(7, 1, 1, Decimal("3"), None)],
+                               "order_id long, sku_id long, sku_num long, split_total_amount decimal(16,2), create_time string")
+    pay = spark.createDataFrame([(1, 0, "2024-01-01 10:00:30"), (2, 1, "2024-01-01 10:01:10"), (3, 1, "2024-01-01 10:03:00"), (4, 2, "2024-01-01 12:00:00"),
+                                 (5, 3, "2024-01-01 10:02:55"), (6, 4, None), (7, 5, "bad"), (8, 99, "2024-01-01 10:00:30"), (9, 7, "2024-01-01 10:00:30")],
+                                "id long, order_id long, create_time string")
+    for c in ("user_id", "total_amount", "subject", "payment_type", "callback_time"):
+        pay = pay.withColumn(c, F.lit(None).cast("string"))
+    joined = wide.payment_interval_join(pay, ow, 15 * 60_000, 5_000)
+    want = stats.product_union(stats.product_orders(ow), stats.product_payments(joined))
+    got = stats.product_orders_and_payments(ow, pay, 15 * 60_000, 5_000)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 13 + 2 + 4 + 2
+
+
 def test_dictionary_levels_and_longest_words(spark, monkeypatch):
     monkeypatch.setattr(keywords, "CHUNK", 7)  # words lie across the pieces of a text
     words = ["实时", "实时数仓", "数仓", "ab", "abc", "bcd", "abcdefghijkl", "kl", "zz"]

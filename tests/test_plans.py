@@ -39,8 +39,8 @@ def test_statistics_join_no_dimension_below_the_aggregate(spark):
     assert _below_aggregate(catalog.province_stats(spark, SF)).count("Join ") == 2
     for name in ("product_stats", "product_stats_dims", "gmv_by_day"):
         below = _below_aggregate(catalog.REGISTRY[name](spark, SF))
-        # orders with details, and the same again with payments
-        assert below.count("Join ") == 3, name
+        # orders with details once, and their payments
+        assert below.count("Join ") == 2 and below.count("l_orderkey") > 0, name
         assert "p_partkey" not in below and "c_custkey" not in below and "n_nationkey" not in below, name
 
 
