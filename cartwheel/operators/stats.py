@@ -325,6 +325,13 @@ def gmv_by_day(stats: DataFrame) -> DataFrame:
     return stats.groupBy(day.alias("day")).agg(F.sum("order_amount").cast(MONEY_SUM).alias("gmv"))
 
 
+def add_to_days(totals: DataFrame, days: DataFrame) -> DataFrame:
+    """A8 kept up to date: of the days in ``days`` (``day``, ``gmv``) alone, their totals with what is added."""
+    before = totals.select("day", F.col("gmv").alias("_before"))
+    return days.join(before, "day", "left").select(
+        "day", (F.coalesce("_before", F.lit(0)) + F.coalesce("gmv", F.lit(0))).cast(MONEY_SUM).alias("gmv"))
+
+
 def gmv_from_feeds(*feeds: DataFrame, tz: str = "UTC") -> DataFrame:
     """A8 for every day straight from the product feeds: the windows of the
     statistics lie inside days, so their sums per day need no windows.  Days

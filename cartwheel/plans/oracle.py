@@ -449,6 +449,9 @@ SQL: dict[str, str] = {
     "gmv_by_day": _with(("product_stats",), """
         SELECT CAST(replace(substr(stt, 1, 10), '-', '') AS INTEGER) AS day,
                CAST(sum(order_amount) AS DECIMAL(18,2)) AS gmv FROM product_stats GROUP BY 1"""),
+    "gmv_daily": _with(("product_stats",), """
+        SELECT CAST(replace(substr(stt, 1, 10), '-', '') AS INTEGER) AS day,
+               CAST(sum(order_amount) AS DECIMAL(18,2)) AS gmv FROM product_stats GROUP BY 1"""),
     "gmv_day": _with(("product_stats",), """
         SELECT CAST(sum(order_amount) AS DECIMAL(18,2)) AS gmv FROM product_stats
         WHERE stt >= '1995-03-15' AND stt < '1995-03-16'"""),

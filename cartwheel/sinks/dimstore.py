@@ -258,11 +258,6 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, batch_id: int, ve
     columns = [f.name for f in schema.fields if f.name in changes.columns]
     given = changes.filter(F.col(pk).isNotNull()).select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in columns],
                                                               *[c for c in (version, sets) if c])
-    if given.isEmpty():
-        if newest["batch"] == batch_id:  # the batch had rows when it ran before
-            _commit(files, state | {"batch": batch_id})
-            return True
-        return False
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in columns]
     if sets is None:
         given = last_changes(given, pk, version)
@@ -273,6 +268,12 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, batch_id: int, ve
         bucket_of(F.col(pk), state["buckets"]).alias(_BUCKET))
     folder = f"delta/{batch_id}-{uuid.uuid4().hex[:12]}"
     sizes = _write(files, rows, folder, pk)
+    if not sizes:
+        files.remove(folder)
+        if newest["batch"] == batch_id:  # the batch had rows when it ran before
+            _commit(files, state | {"batch": batch_id})
+            return True
+        return False
     state["batch"] = batch_id
     state["deltas"].append({"folder": folder, "batch": batch_id, "columns": columns if sets is None else [], "bytes": sizes})
     grown: dict[str, list[int]] = {}

@@ -27,7 +27,7 @@ def as_topic_records(df: DataFrame, topic_col: str = "sinkTable", value_cols=Non
     return df.select(F.col(topic_col).alias("topic"), to_json_row(*cols).alias("value"))
 
 
-def write_topics(df: DataFrame, servers: str, topic_col: str = "sinkTable") -> None:
+def write_topics(df: DataFrame, servers: str | None, topic_col: str = "sinkTable") -> None:
     """K1/K2 into Kafka, topic per row (needs the connector on the classpath)."""
     as_topic_records(df, topic_col).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 

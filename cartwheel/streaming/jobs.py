@@ -46,7 +46,7 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
     changes.  Offsets live in the query checkpoint."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic).option("startingOffsets", starting).load()
-            .select(F.col("value").cast("string").alias("value"), F.unix_millis("timestamp").alias("record_ts")))
+            .select(F.col("value").cast("string").alias("value"), F.unix_millis("timestamp").alias("record_ts"), F.col("offset").alias("pos")))
 
 
 def parquet_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -142,9 +142,10 @@ def log_split_job(raw: DataFrame, out: str, name: str = "log_split", **how):
 
     A line is parsed for its device and flag before the state step, and once
     more, for all four outputs together, after it."""
-    p = logsplit.split_lines(raw.select("value"))
+    pos = [c for c in raw.columns if c == "pos"]  # decides between lines of one time
+    p = logsplit.split_lines(raw.select("value", *pos))
     common = F.from_json(F.col("_p")["common"], "map<string,string>")
-    flat = p.select("value", common["mid"].alias("mid"), common["is_new"].alias("is_new"), F.col("_p")["ts"].try_cast("bigint").alias("ts"))
+    flat = p.select("value", *pos, common["mid"].alias("mid"), common["is_new"].alias("is_new"), F.col("_p")["ts"].try_cast("bigint").alias("ts"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writers.write_log_split(logsplit.split_lines(batch.select("value", F.col("is_new").alias("_is_new"))), out, batch_id)
@@ -210,6 +211,15 @@ def routing_as_of_job(changes: DataFrame, rule_changes: DataFrame, out: str, rul
     return run(both, write, name, **how)
 
 
+def topic_job(rows: DataFrame, servers: str | None, name: str, topic_col: str = "sinkTable",
+              write: Callable[[DataFrame, str | None, str], None] = writers.write_topics, **how):
+    """K1/K2: a stream of rows into topics, the topic chosen per row.
+
+    ``write`` is ``writers.write_topics``, Spark's Kafka sink (needs the connector); a batch that runs again is sent
+    again, so the receiver keys on the row."""
+    return run(rows, lambda batch, batch_id: write(batch, servers, topic_col), name, **how)
+
+
 def snapshot_then_changes_job(snapshot: DataFrame, changes: DataFrame, database: str, table: str, key: str, as_of: str, out: str,
                               name: str = "snapshot_then_changes", version: str = "version", **how):
     """The snapshot as a first batch, then the changes that it does not hold.
@@ -280,6 +290,32 @@ def product_stats_job(feeds: list[DataFrame], dims: Frames, out: str, size: str
     return run(agg, write, name, **how)
 
 
+DAILY_SCHEMA = "day int, gmv decimal(18,2)"
+
+
+def add_daily_gmv(spark: SparkSession, path: str, days: DataFrame, batch_id: int) -> bool:
+    """Add a batch's sums of days (``day``, ``gmv``) to the stored totals at ``path``.
+
+    The table is a ``dimstore`` keyed by day: only the buckets of the batch's days are written, a batch without rows
+    writes nothing, and a batch that runs again adds to the state before it, so nothing counts twice."""
+    schema = spark.createDataFrame([], DAILY_SCHEMA).schema
+    dimstore.create(spark, path, schema, "day")
+    return dimstore.upsert(spark, path, stats.add_to_days(dimstore.read(spark, path, before=batch_id), days), batch_id)
+
+
+def daily_gmv_job(windows: DataFrame, totals: str, name: str = "daily_gmv", **how):
+    """A8/P29 on the stream of finished product windows (``stt``, ``order_amount``): totals by day, kept up to date."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add_daily_gmv(batch.sparkSession, totals, stats.gmv_by_day(batch), batch_id)
+    return run(windows, write, name, **how)
+
+
+def daily_gmv(spark: SparkSession, totals: str, day: int | None = None) -> DataFrame:
+    """``gmv`` of a day ``yyyyMMdd`` (0 or None is today), read by its key; NULL without rows."""
+    day = day or int(stats.day_range()[0].replace("-", ""))
+    return dimstore.read_key(spark, totals, day).agg(F.max("gmv").alias("gmv"))
+
+
 def province_stats_job(order_wide: DataFrame, dims: Frames, out: str, size: str = "10 seconds", delay: str = "2 seconds",
                        name: str = "province_stats", **how):
     """A1 on the order-wide stream, then the province of the finished windows."""

@@ -78,18 +78,17 @@ LINE_SCHEMA = "value string, mid string, is_new string, ts bigint"
 def _repair_lines_fn(key, pdfs, state):
     frames = [p for p in pdfs if len(p)]
     if frames:
-        pdf = pd.concat(frames, ignore_index=True).sort_values(["ts", "pos"], kind="stable")
+        pdf = pd.concat(frames, ignore_index=True)
+        pdf = pdf.sort_values([c for c in ("ts", "pos") if c in pdf], kind="stable")
         yield _repaired(pdf, state)[["value", "mid", "is_new", "ts"]]
 
 
 def repair_lines_stream(lines: DataFrame) -> DataFrame:
     """T1 on raw lines (``value``, ``mid``, ``is_new``, ``ts``), for the log split.
 
-    Lines of a batch with equal times are in the order of ``pos``, a number that
-    rises along a file; without the column Spark numbers the lines of the batch."""
+    Lines of a batch with equal times are in the order of ``pos``, such as a
+    topic's offset, or without that column in the order they arrive in."""
     ship_package(lines.sparkSession)
-    if "pos" not in lines.columns:
-        lines = lines.withColumn("pos", F.monotonically_increasing_id())
     return lines.withColumn("device", _device(F.col("value"))).groupBy("device").applyInPandasWithState(
         _repair_lines_fn, LINE_SCHEMA, "seen string", "append", GroupStateTimeout.NoTimeout)
 

@@ -320,6 +320,14 @@ def test_log_split_job(spark, tmp):
     assert sorted(map(str, spark.read.json(f"{out}/page").drop("batch_id").collect())) == before
 
 
+def test_lines_of_one_time_are_in_the_order_of_their_positions(spark, tmp):
+    line = '{"common":{"mid":"1","is_new":"1"},"page":{"page_id":"%s"},"ts":5}'
+    raw = _stream(spark, tmp, "pos", spark.createDataFrame([(line % p, pos) for p, pos in (("c", 3), ("a", 1), ("b", 2))], "value string, pos long"), 1)
+    out, _ = _ran(tmp, jobs.log_split_job, raw, name="pos")
+    got = {r.page.page_id: r.common.is_new for r in spark.read.json(f"{out}/page").collect()}
+    assert got == {"a": "1", "b": "0", "c": "0"}
+
+
 def test_checkpoint_dir_from_session(spark):
     d = jobs.checkpoint_path(spark, "q")
     assert d.endswith("/q") and d.startswith(spark.conf.get("spark.checkpoint.dir"))
