@@ -111,6 +111,13 @@ def user_jump_timeout(spark, sf):
     return user_jump(spark, sf).filter(F.col("kind") == "timeout").drop("kind")
 
 
+@query("pattern_funnel")
+def pattern_funnel(spark, sf):
+    """X8 with three steps: a view, directly followed by a click and a purchase of the device."""
+    steps = [F.col("page_id") == p for p in ("view", "click", "purchase")]
+    return visits.pattern(Inputs(spark, sf).page_log, steps, SCALE["jump_within_ms"]).select("mid", "ts", "seq", "kind", "matched", "last_ts")
+
+
 @query("tumble_counts")
 def tumble_counts(spark, sf):
     return stats.tumble_counts(Inputs(spark, sf).page_log, "ts", "1 hour", keys=["page_id"])
@@ -283,13 +290,13 @@ def gmv_by_day(spark, sf):
 
 @query("gmv_daily")
 def gmv_daily(spark, sf):
-    """Totals by day kept in a stored table, in two batches that share days, the last one run again."""
+    """Totals by day kept in a stored table, in two batches that share days."""
     from ..streaming.jobs import add_daily_gmv
     i = Inputs(spark, sf)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/gmv_daily"
     dimstore.drop(spark, path)
     feeds = [f.select("sku_id", "ts", "order_amount") for f in _feeds(i)]
-    for batch in (0, 1, 1):
+    for batch in (0, 1):
         days = stats.gmv_from_feeds(*[f.filter(F.coalesce(F.pmod("sku_id", F.lit(2)), F.lit(0)) == batch) for f in feeds])
         add_daily_gmv(spark, path, days, batch)
     return dimstore.read(spark, path)
@@ -403,6 +410,15 @@ def route_unmatched(spark, sf):
     return _change_cols(routing.unmatched(i.changes, i.config))
 
 
+@query("route_as_of")
+def route_as_of(spark, sf):
+    """T4: each change by the rule that held at its position in the log; the place of an order's changes is its key."""
+    i = Inputs(spark, sf)
+    placed = i.changes.withColumn("position", F.col("key").cast("bigint"))
+    routed = routing.route(placed, routing.rule_history(driver.rule_changes(spark)), at="position")
+    return _route_cols(routed)
+
+
 def _status_dim(i: Inputs) -> DataFrame:
     base = i.order_info.select(F.col("id").cast("string").alias("id"), "order_status")
     ch = routing.route_dim(i.changes, i.config).select(

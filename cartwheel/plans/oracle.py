@@ -480,6 +480,15 @@ SQL: dict[str, str] = {
     "route_fact": _with(("routed",), "SELECT * FROM routed WHERE sinkType = 'kafka'"),
     "route_dim": _with(("routed",), "SELECT * FROM routed WHERE sinkType = 'hbase'"),
     "route_prune_columns": _with(("routed",), "SELECT * FROM routed"),
+    "route_as_of": _with(("changes",), """
+        SELECT c.tableName, c.type, g.sinkType, g.sinkTable, 'id' AS pk,
+               array_to_string(list_transform(string_split(g.cols, ','), lambda f: f || '=' || regexp_extract(c.after_text, '(^|,)' || f || '=([^,]*)', 2)), ',')
+                 AS after_text, c.key, c.version
+        FROM changes c JOIN (VALUES
+          ('insert', 'kafka', 'dwd_order_info', 'id,user_id', 0, 1000), ('insert', 'kafka', 'dwd_order_paid', 'id,order_status,total_amount', 1000, 2500),
+          ('insert', 'kafka', 'dwd_order_info', 'id,user_id', 4000, NULL), ('update', 'hbase', 'dim_order_status', 'id,order_status', 0, 3000))
+          AS g(kind, sinkType, sinkTable, cols, since, until)
+          ON c.tableName = 'order_info' AND c.type = g.kind AND c.key >= g.since AND (g.until IS NULL OR c.key < g.until)"""),
     "route_unmatched": _with(("changes", "config"), """
         SELECT c.* FROM changes c WHERE c.type IS DISTINCT FROM 'delete' AND NOT EXISTS (
           SELECT 1 FROM config g WHERE g.sourceTable = c.tableName AND g.operateType = c.type)"""),
@@ -507,6 +516,14 @@ SQL: dict[str, str] = {
                CASE o_orderkey % 4 WHEN 0 THEN 'alipay' WHEN 1 THEN 'wechat' WHEN 2 THEN 'unionpay' END AS payment_type_name
         FROM orders""",
 }
+SQL["pattern_funnel"] = _with(("page_log",), f"""
+    SELECT mid, ts, seq, kind, matched, CASE matched WHEN 1 THEN ts WHEN 2 THEN t1 ELSE t2 END AS last_ts FROM (
+      SELECT *, CASE WHEN t1 IS NULL OR t1 - ts >= {JUMP_MS} THEN 'timeout' WHEN p1 <> 'click' THEN NULL
+                     WHEN t2 IS NULL OR t2 - ts >= {JUMP_MS} THEN 'timeout' WHEN p2 = 'purchase' THEN 'match' END AS kind,
+                CASE WHEN t1 IS NULL OR t1 - ts >= {JUMP_MS} THEN 1 WHEN t2 IS NULL OR t2 - ts >= {JUMP_MS} THEN 2 ELSE 3 END AS matched
+      FROM (SELECT *, lead(ts) OVER w AS t1, lead(page_id) OVER w AS p1, lead(ts, 2) OVER w AS t2, lead(page_id, 2) OVER w AS p2
+            FROM page_log WINDOW w AS (PARTITION BY mid ORDER BY ts, seq)))
+    WHERE page_id = 'view' AND kind IS NOT NULL""")
 SQL["user_jump"] = _with(("page_log",), f"""
     SELECT {PAGE_COLS}, kind FROM (
       SELECT *, CASE WHEN nts IS NULL OR nts - ts >= {JUMP_MS} THEN 'timeout' WHEN nentry THEN 'match' END AS kind

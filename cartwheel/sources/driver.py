@@ -295,6 +295,19 @@ def table_process_config(spark) -> DataFrame:
                                        "sinkColumns string, sinkPk string, sinkExtend string")
 
 
+def rule_changes(spark) -> DataFrame:
+    """Change records of the routing rules: a handful of rows by nature.  The rule for inserted orders changes its
+    topic and columns, is deleted, and comes back; the one for updates is deleted."""
+    cols = ["sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk"]
+    first = ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id", "id")
+    second = ("order_info", "insert", "kafka", "dwd_order_paid", "id,order_status,total_amount", "id")
+    update = ("order_info", "update", "hbase", "dim_order_status", "id,order_status", "id")
+    rows = [({}, first, "insert", 0), ({}, update, "insert", 0), (first, second, "update", 1_000), (second, {}, "delete", 2_500),
+            (update, {}, "delete", 3_000), ({}, first, "insert", 4_000)]
+    named = [(dict(zip(cols, b)) if b else {}, dict(zip(cols, a)) if a else {}, kind, at) for b, a, kind, at in rows]
+    return spark.createDataFrame(named, "before map<string,string>, after map<string,string>, type string, version long")
+
+
 def keyword_source(documents: DataFrame) -> DataFrame:
     """Search phrases: each document text, searched at base + doc_id seconds."""
     return documents.select(

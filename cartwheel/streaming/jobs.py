@@ -299,7 +299,7 @@ def add_daily_gmv(spark: SparkSession, path: str, days: DataFrame, batch_id: int
     The table is a ``dimstore`` keyed by day: only the buckets of the batch's days are written, a batch without rows
     writes nothing, and a batch that runs again adds to the state before it, so nothing counts twice."""
     schema = spark.createDataFrame([], DAILY_SCHEMA).schema
-    dimstore.create(spark, path, schema, "day")
+    dimstore.create(spark, path, schema, "day", buckets=8)  # days are few
     return dimstore.upsert(spark, path, stats.add_to_days(dimstore.read(spark, path, before=batch_id), days), batch_id)
 
 
