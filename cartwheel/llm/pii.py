@@ -8,13 +8,18 @@ address, are lost to them.  The field adds such spans; base spans stay.
 The nodes of the field are the tokens that hold a digit or ``@``; labels are
 outside, or begin / inside of a kind.  Each node has a potential of its shape
 and the shapes of its neighbours, tokens side by side share a transition
-potential (the chain), and every token shares a potential with the next token
-in the document that has the same digits or text, however far away (the skip
-edges), so that one document labels an entity alike.  Sum-product messages go
-round the loops, damped, until they settle or ROUNDS are over.
+potential (the chain), and every token shares a potential with the last token
+before it, however far away, that has the same digits or text or whose number
+ends in the same TAIL digits (the skip edges), so that one document labels an
+entity alike: ``(826) 555-4081`` and ``8265554081`` are phones if
+``+1 826 555 4081`` is one.  A number here is a run of neighbouring tokens of
+digits and signs.  Sum-product messages go round the loops, damped, until they
+settle or ROUNDS are over; the labels of tokens in base spans are given.
 
 Training is piecewise and without hand labels: base spans of all documents
-label the tokens.  Counts of (shape, neighbours, label), of adjacent labels and
+label the tokens.  A token that the base patterns leave out, but that repeats
+one they label, counts as unknown, not as outside, so that skip edges learn from
+entities alone what repeats mean.  Counts of (shape, neighbours, label), of adjacent labels and
 of labels at the ends of skip edges are the only statistics; shapes and labels
 are fixed lists, so these tables have a bounded number of rows however many
 documents there are.  A weighted softmax regression on them gives the node
@@ -44,7 +49,10 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 N_LABELS = len(LABELS)
 ROUNDS, DAMPING, SETTLED = 20, 0.5, 1e-4
-CLIP = 2.0              # bound of an edge potential
+TAIL = 8                # last digits by which two numbers are the same
+CLIP = 2.0              # bound of a chain potential
+SKIP_CLIP = 6.0         # bound of a skip potential
+GIVEN = 10.0            # node potential of a given label
 ADD_AT = 0.5            # marginal probability from which the field adds a token to a span
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+$")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -114,6 +122,8 @@ SHAPES = ("none", "email", "at", "ip", "ip_over", "plus_short", "plus_mid", "plu
           "hyphen_short", "hyphen_mid", "hyphen_phone", "hyphen_card", "hyphen_long", "dotted",
           "digits_1_3", "digits_4", "digits_5_7", "digits_8_12", "digits_13_15", "card_ok", "card_bad", "digits_20")
 SHAPE_ID = {s: i for i, s in enumerate(SHAPES)}
+_NO_NUMBER = frozenset(SHAPE_ID[s] for s in ("none", "email", "at", "ip", "ip_over", "mixed"))
+KIND_OF = np.array([0] + [k + 1 for k in range(len(KINDS)) for _ in "BI"])  # of a label; 0 is outside
 
 
 def shape(core: str) -> str:
@@ -171,12 +181,15 @@ class Graph:
     def __init__(self, texts: list[str | None]):
         self.base, self.dropped, self.first = [], [], [0]
         self.span: list[tuple[int, int]] = []
-        shapes, self.chain, self.skip = [], [], []
+        shapes, self.chain, self.skip, self.same = [], [], [], []
+        skips = 0
         for text in texts:
             text = text or ""
             self.dropped.append([])
             self.base.append(base_spans(text, self.dropped[-1]))
-            seen: dict[str, int] = {}
+            seen: dict[tuple[str, str], int] = {}
+            same: dict[tuple[str, str], list[int]] = {}
+            runs: list[list[int]] = []
             for lo, hi, follows in tokens(text) if _SIGN.search(text) else ():
                 i, core = len(self.span), text[lo:hi]
                 self.span.append((lo, hi))
@@ -184,10 +197,27 @@ class Graph:
                 if follows:
                     self.chain.append((i - 1, i))
                 d = _digits(core)
-                key = d if len(d) >= 7 and "@" not in core else core.lower()
+                key = ("token", d if len(d) >= 7 and "@" not in core else core.lower())
                 if key in seen:
                     self.skip.append((seen[key], i))
                 seen[key] = i
+                same.setdefault(key, []).append(i)
+                if shapes[i] not in _NO_NUMBER:
+                    if follows and runs and runs[-1][-1] == i - 1:
+                        runs[-1].append(i)
+                    else:
+                        runs.append([i])
+            linked = set(self.skip[skips:])
+            for run in runs:
+                number = _digits("".join(text[slice(*self.span[i])] for i in run))
+                if len(number) >= TAIL:
+                    key = ("number", number[-TAIL:])
+                    if key in seen:
+                        self.skip.extend((seen[key], i) for i in run if (seen[key], i) not in linked)
+                    seen[key] = run[-1]
+                    same.setdefault(key, []).extend(run)
+            skips = len(self.skip)
+            self.same.extend(g for g in same.values() if len(g) > 1)
             self.first.append(len(self.span))
         self.shape = np.array(shapes, np.int64)
         self.before, self.after = np.zeros_like(self.shape), np.zeros_like(self.shape)
@@ -197,8 +227,9 @@ class Graph:
     def base_labels(self) -> np.ndarray:
         """Label of every node by the base spans: the first in a span begins it.
 
-        -1, unknown, inside a dropped match with a space: there the base
-        patterns may have taken several entities for one."""
+        -1, unknown, inside a dropped match with a space, where the base
+        patterns may have taken several entities for one, and where a token is
+        outside that repeats one inside."""
         out = np.zeros(len(self.span), np.int64)
         for d, spans in enumerate(self.base):
             nodes = range(self.first[d], self.first[d + 1])
@@ -215,6 +246,10 @@ class Graph:
             for kind, lo, hi in spans:
                 for k, node in enumerate(within(lo, hi)):
                     out[node] = 1 + 2 * kind + (k > 0)
+        for group in self.same:
+            y = out[group]
+            if (y > 0).any():
+                out[np.array(group)[y == 0]] = -1
         return out
 
 
@@ -246,7 +281,11 @@ class Model:
         self.own, self.prev, self.next = np.zeros((s, N_LABELS)), np.zeros((s, s, N_LABELS)), np.zeros((s, s, N_LABELS))
         self.own[:, 0] = 1.0  # without evidence a token is outside
         self._regress(nodes)
-        self.chain, self.skip = (self._ratios(counts[counts[:, 0] == p]) for p in (1, 2))
+        self.chain = self._ratios(counts[counts[:, 0] == 1], N_LABELS, 1.0, CLIP)
+        # the ends of a skip edge agree in kind, whether they begin an entity or not
+        skip = counts[counts[:, 0] == 2].copy()
+        skip[:, 1:3] = KIND_OF[skip[:, 1:3]]
+        self.skip = self._ratios(skip, len(KINDS) + 1, 0.25, SKIP_CLIP)[np.ix_(KIND_OF, KIND_OF)]
 
     def _regress(self, nodes: np.ndarray, rounds: int = 400, rate: float = 0.5, ridge: float = 1e-3) -> None:
         """Softmax regression on the counted rows, by gradient steps scaled per weight."""
@@ -267,26 +306,32 @@ class Model:
                 p -= rate * grad / np.sqrt(q)
 
     @staticmethod
-    def _ratios(edges: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-        """log P(y, y') / P(y) P(y') of the labels at the two ends, at most CLIP either way.
+    def _ratios(edges: np.ndarray, labels: int, smooth: float, clip: float) -> np.ndarray:
+        """log P(y, y') / P(y) P(y') of the labels at the two ends, at most ``clip`` either way.
 
-        Base labels can never show some neighbours, such as two cards, so a
-        count of zero is weak evidence however large the corpus is."""
-        joint = np.full((N_LABELS, N_LABELS), smooth)
+        Base labels can never show some neighbours, such as two cards, so on the
+        chain a count of zero is weak evidence however large the corpus is."""
+        joint = np.full((labels, labels), smooth)
         np.add.at(joint, (edges[:, 1], edges[:, 2]), edges[:, 5])
         joint /= joint.sum()
-        return np.clip(np.log(joint / (joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True))), -CLIP, CLIP)
+        return np.clip(np.log(joint / (joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True))), -clip, clip)
 
     def node(self, a, b, c) -> np.ndarray:
         return self.own[a] + self.prev[a, b] + self.next[a, c]
 
-    def marginals(self, g: Graph) -> np.ndarray:
-        """Label probabilities of every node by damped sum-product messages."""
+    def marginals(self, g: Graph, skips: bool = True) -> np.ndarray:
+        """Label probabilities of every node by damped sum-product messages, without skip edges if asked.
+
+        Tokens in base spans are evidence: their labels are given."""
         unary = self.node(g.shape, g.before, g.after)
-        edges = np.array(g.chain + g.skip, np.int64).reshape(-1, 2)
+        given = g.base_labels()
+        unary[given > 0] = -GIVEN
+        unary[given > 0, given[given > 0]] = GIVEN
+        skip = g.skip if skips else []
+        edges = np.array(g.chain + skip, np.int64).reshape(-1, 2)
         if not len(edges):
             return _softmax(unary)
-        pair = np.concatenate([np.broadcast_to(p, (len(e), N_LABELS, N_LABELS)) for p, e in ((self.chain, g.chain), (self.skip, g.skip))])
+        pair = np.concatenate([np.broadcast_to(p, (len(e), N_LABELS, N_LABELS)) for p, e in ((self.chain, g.chain), (self.skip, skip))])
         source = np.concatenate([edges[:, 0], edges[:, 1]])
         target = np.concatenate([edges[:, 1], edges[:, 0]])
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
@@ -323,10 +368,10 @@ def train(docs: DataFrame) -> Model:
 
 # ---- finding
 
-def find(texts: list[str | None], model: Model) -> list[tuple[list, list]]:
+def find(texts: list[str | None], model: Model, skips: bool = True) -> list[tuple[list, list]]:
     """Per text: the base spans, and the spans that the field adds."""
     g = Graph(texts)
-    p = model.marginals(g) if len(g.span) else np.empty((0, N_LABELS))
+    p = model.marginals(g, skips) if len(g.span) else np.empty((0, N_LABELS))
     inside = np.stack([p[:, 1 + 2 * k] + p[:, 2 + 2 * k] for k in range(len(KINDS))], axis=1)
     kind = inside.argmax(axis=1) if len(p) else np.empty(0, np.int64)
     sure = inside[np.arange(len(p)), kind] >= ADD_AT
