@@ -2,7 +2,7 @@
 
 Terms are the words of a text and their beginnings of 4, 6 and 8 bytes, hashed
 into 2^BITS buckets.  A term's value is (1 + log count) * idf, over the root of
-the number of terms.  The score is the logistic of
+the number of terms; idf counts all documents, labelled or not.  The score is the logistic of
 
     w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
 
@@ -17,7 +17,8 @@ score; neither id, language, source nor label does.
 
 Scale: the ids of the sample (a bounded number) are broadcast to the texts, so
 no text is shuffled; terms of the sample go to the driver, which fits by AdaGrad;
-scoring is one pass without a shuffle.
+scoring is one pass without a shuffle, and so are the document frequencies,
+which a task counts in an array of 2^BITS numbers before they are summed.
 
 Cases: a null or empty text has no terms and gets the score of the constant
 w0; without labels, or with one class only, every text gets the smoothed share
@@ -28,6 +29,8 @@ are ignored; labels repeated for an id count once, as toxic if one of them is.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import map_arrow, table
+from .common import map_arrow, map_batches, steps, table
 
 BITS, DIM = 18, 8
 STARTS = (4, 6, 8)
@@ -90,11 +93,13 @@ class Machine:
         term, count, off = hashed_terms(column)
         return logistic(self.parts(term, self.values(term, count, off), off)[0])
 
+    def weigh(self, documents: int, seen: np.ndarray) -> None:
+        """The idf of the terms, from the number of documents and that with each term."""
+        self.idf = np.log((1 + documents) / (1 + seen)).astype(np.float32)
+
     def fit(self, term: np.ndarray, count: np.ndarray, off: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         """AdaGrad over small batches of rows, in an order fixed by the seed."""
         rows = len(y)
-        seen = np.bincount(term, minlength=1 << BITS)  # a term is listed once per row
-        self.idf = np.log((1 + rows) / (1 + seen)).astype(np.float32)
         x = self.values(term, count, off)
         rng = np.random.default_rng(SEED)
         g0, gw, gv = 1e-6, np.full(1 << BITS, 1e-6, np.float32), np.full((1 << BITS, DIM), 1e-6, np.float32)
@@ -135,6 +140,28 @@ def _terms(batch: pa.RecordBatch) -> pa.RecordBatch:
          pa.ListArray.from_arrays(off, count.astype(np.int32))], names=["doc_id", "toxic", "terms", "counts"])
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of a partition have each term; under key -1 how many there are."""
+    seen, documents = np.zeros(1 << BITS, np.int64), 0
+    for batch in batches:
+        for s in steps(batch):
+            term, _, _ = hashed_terms(s.column("text"))  # a term is listed once per row
+            np.add.at(seen, term, 1)
+            documents += s.num_rows
+    some = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(seen[some], documents))], names=["term", "n"])
+
+
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those with each of the 2^BITS terms, over all texts."""
+    found = (map_batches(docs.select("text"), _frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+             .toArrow())  # 2^BITS + 1 rows at most
+    term, n = found["term"].to_numpy(), found["n"].to_numpy()
+    seen = np.zeros(1 << BITS, np.int64)
+    seen[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), seen
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
     marked = (labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col("toxic").cast("int").alias("toxic"))
               .filter("id is not null and toxic in (0, 1)").filter(~held_out(F.col("id")))
@@ -158,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     taken = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weight = np.where(y == 1, COST * totals[1] / taken[1], totals[0] / taken[0])
     off = np.concatenate(([0], np.cumsum(pc.list_value_length(terms).to_numpy()))).astype(np.int64)
+    machine.weigh(*document_frequencies(docs))
     machine.fit(terms.flatten().to_numpy(), counts.flatten().to_numpy(), off, y, weight / weight.mean())
     return machine
 
