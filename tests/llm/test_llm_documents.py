@@ -253,6 +253,54 @@ def test_pii_field_finds_neighbours(spark):
     assert got[101].spans == ""
 
 
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    return pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+REPEATS = [("Call +1 826 555 4081 today. " + "Some words. " * 300 + "Again: 8265554081 is the number.", "8265554081"),
+           ("Ring +44 20 7946 0958. " + "Some words. " * 50 + "In short 020 7946 0958 will do.", "020 7946 0958"),
+           ("Write to +49 (30) 1234567, or " + "so on " * 40 + "301234567 is the same.", "301234567")]
+
+
+@pytest.mark.parametrize("text, mention", REPEATS)
+def test_pii_repeats_need_the_skip_edges(pii_model, text, mention):
+    """A later mention without its + is found by the edge to the first one, and not without."""
+    at = text.rindex(mention)
+    phone = (pii.KINDS.index("phone"), at, at + len(mention))
+    (base, more), = pii.find([text], pii_model)
+    assert [k for k, _, _ in base] == [3] and more == [phone]
+    (_, lost), = pii.find([text], pii_model, skips=False)
+    assert phone not in lost
+    alone = text[30:]  # the same mention without the first one
+    (_, other), = pii.find([alone], pii_model)
+    assert mention not in [alone[a:b] for _, a, b in other]
+
+
+def test_pii_marginals_by_enumeration(pii_model):
+    """On chains the messages give the exact marginals, on a loop nearly so."""
+    import itertools
+
+    import numpy as np
+    rng = np.random.default_rng(4)
+    model = pii.Model(np.zeros((0, 6), np.int64))
+    labels = pii.N_LABELS
+    model.chain, model.skip = rng.normal(size=(2, labels, labels)) * 0.7
+    model.own = rng.normal(size=model.own.shape)
+    for text, skip, close in (("12 34 56", 0, 1e-3), ("12 34 x 777", 0, 1e-3), ("12 34 12", 1, 0.05)):
+        g = pii.Graph([text])
+        assert len(g.skip) == skip
+        unary = model.node(g.shape, g.before, g.after)
+        want = np.zeros_like(unary)
+        for y in itertools.product(range(labels), repeat=len(unary)):
+            e = sum(unary[i, a] for i, a in enumerate(y))
+            e += sum(model.chain[y[i], y[j]] for i, j in g.chain) + sum(model.skip[y[i], y[j]] for i, j in g.skip)
+            for i, a in enumerate(y):
+                want[i, a] += math.exp(e)
+        want /= want.sum(axis=1, keepdims=True)
+        assert np.abs(model.marginals(g) - want).max() < close, text
+
+
 def test_pii_odd_rows(odd, none):
     got = rows(pii.personal_data(odd))
     assert all(got[i][0].spans == "" and got[i][0].base_sha256 == sha("") for i in (1, 2, 3, 4))
@@ -525,11 +573,32 @@ def test_toxicity_needs_the_pair():
         y.append(float(a and b))
     m = toxicity.Machine()
     t, c, off = toxicity.hashed_terms(pa.array(texts))
+    m.weigh(len(y), np.bincount(t, minlength=1 << toxicity.BITS))
     m.fit(t, c, off, np.array(y), np.ones(len(y)))
     s = m.scores(pa.array(["groupname insultword f1 f2 f3", "groupname thing f1 f2 f3", "other insultword f1 f2 f3"]))
     assert s[0] > 0.5 > max(s[1], s[2])
 
 
+def test_toxicity_score_is_the_sum_over_pairs(spark, docs):
+    """The score against the plain double sum over the pairs of a text's terms, with idf of all documents."""
+    import numpy as np
+    m = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    seen = Counter()
+    texts = [t or "" for t in docs.values()]
+    terms = [toxicity.hashed_terms(toxicity.pa.array([t]))[:2] for t in texts]
+    for t, _ in terms:
+        seen.update(t.tolist())
+    for (t, c), text in list(zip(terms, texts))[:12]:
+        idf = np.array([math.log((1 + len(texts)) / (1 + seen[k])) for k in t.tolist()])
+        assert np.allclose(m.idf[t], idf, atol=1e-5)
+        x = (1 + np.log(c)) * idf * 10 / math.sqrt(max(1, len(t)))
+        z = m.w0 + float((m.w[t] * x).sum())
+        vx = m.v[t].astype(float) * x[:, None]
+        z += sum(float(vx[i] @ vx[j]) for i in range(min(len(t), 400)) for j in range(i)) if len(t) <= 400 else 0.5 * float(
+            (vx.sum(axis=0) ** 2).sum() - (vx * vx).sum())
+        assert m.scores(toxicity.pa.array([text]))[0] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-3)
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(3, 11)] + [(None, 1, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
     got = rows(toxicity.toxicity(odd, labels))

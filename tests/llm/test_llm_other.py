@@ -95,6 +95,13 @@ def test_main_text_of_odd_pages(spark, pages):
     assert mainpage.extract(pages.filter("false")).count() == 0
 
 
+def test_main_text_keeps_formulas_and_text_without_scripts():
+    """Text of an article in elements that are no markup of their own stays, inside its block."""
+    page = mainpage.Page("<body><article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>x=2</annotation></math> be "
+                         "<object data='f'>a figure</object> <noscript>shown so</noscript>.</p><svg><text>no</text></svg><p>End.</p></article></body>")
+    assert page.texts == ["Let x=2 be a figure shown so.", "End."]
+
+
 def test_main_text_of_driver_pages(spark):
     """The pages keep their text in ``article``; a plain cut of it is the brute-force answer."""
     import html
