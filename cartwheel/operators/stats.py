@@ -177,23 +177,21 @@ def product_orders_and_payments(ow: DataFrame, payment_info: DataFrame, lower_ms
 
     The payments of an order, a few rows, are looked up with it; a row of the order is paid by those whose time
     reaches from ``lower_ms`` before its own to ``upper_ms`` after (J2), and gives a row for itself and for each of them."""
-    paid = (payment_info.select(F.col("order_id").alias("_paid"), F.struct(text_to_ms("create_time", tz).alias("at")).alias("p"))
-            .filter(F.col("p.at").isNotNull()).groupBy("_paid").agg(F.collect_list("p").alias("_payments")))
+    paid = (payment_info.select(F.col("order_id").alias("_paid"), text_to_ms("create_time", tz).alias("_at"))
+            .filter(F.col("_at").isNotNull()).groupBy("_paid").agg(F.collect_list("_at").alias("_payments")))
     at = text_to_ms("create_time", tz)
-    order = F.struct(*_feed_columns("sku_id", at, order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"),
-                                    order_id=F.col("order_id")))
-
-    def payment(p):
-        return F.struct(*_feed_columns("sku_id", p["at"], payment_amount=F.col("split_total_amount"), paid_order_id=F.col("order_id")))
-
-    mine = F.filter("_payments", lambda p: (at >= p["at"] - lower_ms) & (at <= p["at"] + upper_ms))
-    rows = F.concat(F.array(order), F.coalesce(F.transform(mine, payment), F.array().cast(f"array<{_feed_type()}>")))
-    return ow.join(paid, F.col("order_id") == F.col("_paid"), "left").select(F.explode(rows).alias("r")).select("r.*")
-
-
-def _feed_type() -> str:
-    fields = ["sku_id: bigint"] + [f"{m}: bigint" for m in PRODUCT_COUNTS] + [f"{m}: decimal(16,2)" for m in PRODUCT_AMOUNTS]
-    return f"struct<{', '.join(fields + [f'{s}: bigint' for s in PRODUCT_SETS.values()] + ['ts: bigint'])}>"
+    mine = F.filter("_payments", lambda p: (at >= p - lower_ms) & (at <= p + upper_ms))
+    # no payment time for the row itself, then one for each payment; only times are exploded
+    times = F.concat(F.array(F.lit(None).cast("bigint")), F.coalesce(mine, F.array().cast("array<bigint>")))
+    rows = ow.join(paid, F.col("order_id") == F.col("_paid"), "left").withColumn("_pay", F.explode(times))
+    own = F.col("_pay").isNull()
+
+    def order(c, other=0):
+        return F.when(own, F.col(c)).otherwise(F.lit(other))
+
+    return _feed(rows, "sku_id", F.coalesce("_pay", at), order_sku_num=order("sku_num"), order_amount=order("split_total_amount"),
+                 order_id=order("order_id", None), payment_amount=F.when(own, F.lit(0)).otherwise(F.col("split_total_amount")),
+                 paid_order_id=F.when(~own, F.col("order_id")))
 
 
 def product_refunds(refund: DataFrame, tz: str = COMMERCE_TZ) -> DataFrame:
