@@ -42,9 +42,12 @@ def _rule_of(at: str | None):
     return cond
 
 
-def _keys(at: str | None) -> list:
+def _rules(config: DataFrame, at: str | None, *columns) -> DataFrame:
+    """The keys of the rules and ``columns``, sent to every task: rules are few by nature, and so are the tables and kinds of
+    change they are joined by, so a shuffle by these would bring all changes of a table into one task."""
     out = [F.col("sourceTable").alias("_st"), F.col("operateType").alias("_ot")]
-    return out + ([F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")] if at is not None else [])
+    out += [F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")] if at is not None else []
+    return F.broadcast(config.select(*out, *columns))
 
 
 def route(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataFrame:
@@ -55,7 +58,7 @@ def route(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataF
     and each change is routed by the rule that held at its version (T4).
     Rows without a rule are dropped here (see ``unmatched``).
     """
-    cfg = config.select(*_keys(at), "sinkType", "sinkTable", "sinkColumns", F.col("sinkPk").alias("pk"))
+    cfg = _rules(config, at, "sinkType", "sinkTable", "sinkColumns", F.col("sinkPk").alias("pk"))
     j = drop_deletes(changes).join(cfg, _rule_of(at), "inner")
     return (j.withColumn("after", keep_fields("after", F.col("sinkColumns")))
              .drop("_st", "_ot", "_from", "_to", "sinkColumns"))
@@ -73,7 +76,7 @@ def route_dim(changes: DataFrame, config: DataFrame, at: str | None = None) -> D
 
 def unmatched(changes: DataFrame, config: DataFrame, at: str | None = None) -> DataFrame:
     """Q18: non-delete rows without a rule (a dead letter instead of a print)."""
-    return drop_deletes(changes).join(config.select(*_keys(at)), _rule_of(at), "left_anti")
+    return drop_deletes(changes).join(_rules(config, at), _rule_of(at), "left_anti")
 
 
 def dim_schema(sink_columns: str, sink_pk: str | None = None) -> tuple[T.StructType, str]:

@@ -97,3 +97,10 @@ def test_no_python_udf_in_batch_queries(spark):
     for name in ("visitor_stats", "keyword_stats", "product_stats", "cdc_current_state"):
         p = _plan(catalog.REGISTRY[name](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_rules_go_to_the_changes(spark):
+    """The changes of a table stay where they are read; no task gets all changes of one kind."""
+    for name in ("route_as_of", "route_fact", "route_dim", "route_prune_columns", "route_unmatched"):
+        p = _plan(catalog.REGISTRY[name](spark, SF))
+        assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p and "hashpartitioning(tableName" not in p, name
