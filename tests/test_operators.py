@@ -1,5 +1,6 @@
 """Exact answers on small inputs (FIXTURES.md section 2)."""
 
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -361,6 +362,35 @@ def test_dictionary_candidates_follow_the_prefixes(spark):
     assert chars > stems and depth(plan[chars]) > depth(plan[stems])
 
 
+def test_only_positions_of_words_become_rows(spark, monkeypatch):
+    """Other positions are left out before they are rows, and no word is missed, whatever its characters."""
+    rng = random.Random(7)
+    letters = "ab\0é数𝒳 "
+    words = sorted({"".join(rng.choices(letters, k=rng.randint(2, 5))) for _ in range(60)})
+    texts = ["".join(rng.choices(letters, k=n)) for n in (0, 1, 2, 30, 63, 400)] + [None]
+    for chunk in (5, 1000):
+        monkeypatch.setattr(keywords, "CHUNK", chunk)
+        df = spark.createDataFrame(list(enumerate(texts)), "rt int, full_word string")
+        found = keywords.dictionary_words(df, spark.createDataFrame([(w,) for w in words], "word string"))
+        want = sorted((d, i + 1, w) for d, t in enumerate(texts) for w in words for i in range(len(t or "")) if (t or "").startswith(w, i))
+        assert sorted((r.rt, r.pos, r.word) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "transform(sequence(1," not in plan
+    text = "x" * 5_000 + "needle"
+    marked = keywords.word_slots(spark.createDataFrame([("needle",), ("nail",)], "word string"), 4)
+    piece, at = keywords.likely_words([text, "nai", "l nail"], 6_000, 4, 6, marked)
+    assert {(0, 5_000), (2, 2)} <= set(zip(piece.tolist(), at.tolist())) and len(at) < 50
+
+
+def test_longest_words_are_shuffled_once(spark):
+    """The words of a text meet in one shuffle; of words of one place in texts alike in ``keep`` the greatest stays."""
+    df = spark.createDataFrame([("abcd", 1), ("abce", 1), ("abce", 1), ("xbcd", None)], "full_word string, rt int")
+    dic = spark.createDataFrame([("ab",), ("abcd",), ("abce",), ("bcd",)], "word string")
+    found = keywords.dictionary_words(df, dic, longest=True)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(rt") == 1
+    assert sorted((r.rt or 0, r.pos, r.word) for r in found.collect()) == [(0, 2, "bcd"), (1, 1, "abce")]
+
+
 def test_udtf_lateral(spark):
     keywords.register_split_udtf(spark, "SplitWords")
     spark.createDataFrame([("a b", 1)], "t string, k int").createOrReplaceTempView("kw_src")
